@@ -22,12 +22,13 @@ _BLANKS = (
 )
 
 
-def _strip(c: Column) -> Column:
+def strip(c: Column) -> Column:
+    """Leading and trailing whitespace removed, any Unicode blank included."""
     return F.trim(c, F.lit(_BLANKS))
 
 
 def _is_null_word(c: Column) -> Column:
-    return F.lower(_strip(c)).isin("null", "")
+    return F.lower(strip(c)).isin("null", "")
 
 
 def safe_str(c: Column, floating: bool = False) -> Column:
@@ -35,7 +36,7 @@ def safe_str(c: Column, floating: bool = False) -> Column:
 
     ``floating`` marks a double column, whose NaN also becomes NULL.
     """
-    text = _strip(c.cast("string"))
+    text = strip(c.cast("string"))
     out = F.when(~F.lower(text).isin("null", ""), text)
     return F.when(~F.isnan(c), out) if floating else out
 
@@ -96,7 +97,7 @@ def length_ratio(a: Column, b: Column) -> Column:
 
 
 def split_list(c: Column) -> Column:
-    parts = F.filter(F.transform(F.split(c, ","), _strip), lambda p: p != "")
+    parts = F.filter(F.transform(F.split(c, ","), strip), lambda p: p != "")
     empty = F.array().cast("array<string>")
     return F.when(c.isNull() | _is_null_word(c), empty).otherwise(parts)
 
@@ -114,7 +115,7 @@ def _unquote(c: Column) -> Column:
 
 def parse_san(c: Column) -> Column:
     """SAN text to a list: list literal, quoted literal, comma list or single value."""
-    raw = _strip(c)
+    raw = strip(c)
     empty = F.array().cast("array<string>")
     literal_items = F.transform(
         F.filter(
@@ -125,16 +126,16 @@ def parse_san(c: Column) -> Column:
             ),
             lambda t: t != "",
         ),
-        _strip,
+        strip,
     )
     comma_items = F.transform(
-        F.filter(F.transform(F.split(raw, ","), _strip), lambda t: t != ""),
+        F.filter(F.transform(F.split(raw, ","), strip), lambda t: t != ""),
         lambda t: F.regexp_replace(t, r"""^['"]+|['"]+$""", ""),
     )
     return (
         F.when(raw.isNull() | F.lower(raw).isin("null", ""), empty)
         .when(raw.rlike(_LIST_LITERAL), literal_items)
-        .when(raw.rlike(_STRING_LITERAL), F.array(_strip(_unquote(raw))))
+        .when(raw.rlike(_STRING_LITERAL), F.array(strip(_unquote(raw))))
         .when(F.contains(raw, F.lit(",")), comma_items)
         .otherwise(F.array(raw))
     )
@@ -142,7 +143,7 @@ def parse_san(c: Column) -> Column:
 
 def parse_triple(c: Column) -> Column:
     """``cluster_project_service`` to a struct; absent parts are 'unknown'."""
-    parts = F.split(_strip(c), "_", 3)
+    parts = F.split(strip(c), "_", 3)
     blank = c.isNull() | _is_null_word(c)
 
     def part(i: int) -> Column:
