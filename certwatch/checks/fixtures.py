@@ -6,6 +6,7 @@ on DuckDB, so the oracle works on the same rows.
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -86,6 +87,10 @@ def fixture_params(**overrides) -> Params:
     return Params(as_of=AS_OF, **overrides)
 
 
+def fresh_name() -> str:
+    return uuid.uuid4().hex
+
+
 def _spread(df: DataFrame) -> DataFrame:
     """A small table can be a single file split; deal it out so that every core has work."""
     cores = df.sparkSession.sparkContext.defaultParallelism
@@ -118,7 +123,8 @@ def snapshot(spark: SparkSession, sf_dir: str, cfg: Params | None = None) -> Dat
 
 
 def _derived(sql: str, source: DataFrame) -> DataFrame:
-    return source.sparkSession.sql(sql.replace("FROM certs", "FROM {certs}"), certs=source)
+    template = sql.replace("{", "{{").replace("}", "}}").replace("FROM certs", "FROM {certs}")
+    return source.sparkSession.sql(template, certs=source)
 
 
 def acks(spark: SparkSession, sf_dir: str) -> DataFrame:
