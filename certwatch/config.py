@@ -38,7 +38,8 @@ class SourceSpec:
     """Everything the engine needs to know about one inventory source.
 
     Adding a source means adding one of these to ``Params.specs``; every
-    operator evaluates all specs in a single pass over the data.
+    operator evaluates all specs in a single pass over the data. Expressions
+    are Spark SQL.
     """
 
     name: str
@@ -47,126 +48,85 @@ class SourceSpec:
     # document fields that identify the stored alert; "first_serial" is the
     # serial number of the document's first certificate
     upsert_keys: tuple[str, ...]
-    details: Callable[[], dict[str, Column]]
-    summary: Callable[[Column], Column]
+    # detail field -> expression over the snapshot columns and the parsed
+    # columns instances, san_names, triple, replicas_total, replicas_available
+    details: dict[str, str] = field(hash=False)
+    # one line for the reports: text pieces and detail field names, in order
+    summary: tuple[str, ...]
     process_rank: int
     needs_replicas: bool = False
 
 
-def _dash(c: Column) -> Column:
-    return F.coalesce(c, F.lit("—"))
-
-
-def _ssg_details() -> dict[str, Column]:
-    from certwatch.functions.text import split_list
-
-    return {
-        "domain": F.col("sp_ssg_domain"),
-        "internal_domain": F.col("sp_internal_ssg_domain"),
-        "service_name": F.col("sp_microservice_name"),
-        "url": F.col("sp_ssg_url"),
-        "url_in": F.col("sp_ssg_url_in"),
-        "url_out": F.col("sp_ssg_url_out"),
-        "instances": split_list(F.col("sp_instance_name")),
-    }
-
-
-def _hashicorp_details() -> dict[str, Column]:
-    known = lambda part: F.nullif(F.col("triple")[part], F.lit(UNKNOWN))
-    return {
-        "cluster": known("cluster"),
-        "project": known("project"),
-        "service_name": known("service_name"),
-        "replicas": F.struct(F.col("replicas_total").alias("total"),
-                             F.col("replicas_available").alias("available")),
-    }
-
-
-def _evolven_details() -> dict[str, Column]:
-    from certwatch.functions.text import split_list
-
-    return {
-        "host": F.col("sp_evolven_host"),
-        "path": F.col("sp_evolven_path"),
-        "instances": split_list(F.col("sp_instance_name")),
-    }
-
-
-def _apigee_details() -> dict[str, Column]:
-    return {
-        "domain": F.col("sp_ssg_domain"),
-        "host": F.col("sp_evolven_host"),
-        "path": F.col("sp_evolven_path"),
-        "url_in": F.col("sp_ssg_url_in"),
-        "url_out": F.col("sp_ssg_url_out"),
-    }
-
-
-def _akamai_details() -> dict[str, Column]:
-    from certwatch.functions.text import parse_san
-
-    return {
-        "certificate_owner": F.col("sp_certificate_owner"),
-        "support_group_email": F.col("sp_support_group_email"),
-        "san_names": parse_san(F.col("sp_san_names")),
-    }
-
-
-def _ssl_tracker_details() -> dict[str, Column]:
-    return {"status": F.col("sp_ssl_cm_status")}
-
-
 # Listed in report order; process_rank is the order documents are produced in.
 DEFAULT_SPECS: tuple[SourceSpec, ...] = (
     SourceSpec(
         "SSG",
-        ("sp_ssg_domain", "sp_microservice_name", "sp_internal_ssg_domain"),
-        ("sp_ssg_domain", "sp_microservice_name", "sp_internal_ssg_domain"),
-        ("domain", "service_name", "internal_domain"),
-        _ssg_details,
-        lambda d: F.concat(_dash(d["service_name"]), F.lit(" @ "), _dash(d["domain"])),
+        group_keys=("sp_ssg_domain", "sp_microservice_name", "sp_internal_ssg_domain"),
+        match_keys=("sp_ssg_domain", "sp_microservice_name", "sp_internal_ssg_domain"),
+        upsert_keys=("domain", "service_name", "internal_domain"),
+        details={
+            "domain": "sp_ssg_domain", "internal_domain": "sp_internal_ssg_domain",
+            "service_name": "sp_microservice_name", "url": "sp_ssg_url",
+            "url_in": "sp_ssg_url_in", "url_out": "sp_ssg_url_out", "instances": "instances",
+        },
+        summary=("service_name", "' @ '", "domain"),
         process_rank=0,
     ),
     SourceSpec(
         "AKAMAI",
-        ("sp_serial_number",), ("sp_serial_number",), ("first_serial",),
-        _akamai_details,
-        lambda d: F.concat(F.lit("Owner: "), _dash(d["certificate_owner"])),
+        group_keys=("sp_serial_number",),
+        match_keys=("sp_serial_number",),
+        upsert_keys=("first_serial",),
+        details={
+            "certificate_owner": "sp_certificate_owner",
+            "support_group_email": "sp_support_group_email", "san_names": "san_names",
+        },
+        summary=("'Owner: '", "certificate_owner"),
         process_rank=4,
     ),
     SourceSpec(
         "HashiCorp",
-        ("sp_openshift_namespace", "sp_microservice_name"),
-        ("sp_openshift_namespace", "sp_microservice_name"),
-        ("cluster", "project", "service_name"),
-        _hashicorp_details,
-        lambda d: F.concat_ws("/", _dash(d["cluster"]), _dash(d["project"]), _dash(d["service_name"])),
+        group_keys=("sp_openshift_namespace", "sp_microservice_name"),
+        match_keys=("sp_openshift_namespace", "sp_microservice_name"),
+        upsert_keys=("cluster", "project", "service_name"),
+        details={
+            "cluster": f"nullif(triple.cluster, '{UNKNOWN}')",
+            "project": f"nullif(triple.project, '{UNKNOWN}')",
+            "service_name": f"nullif(triple.service_name, '{UNKNOWN}')",
+            "replicas": "named_struct('total', replicas_total, 'available', replicas_available)",
+        },
+        summary=("cluster", "'/'", "project", "'/'", "service_name"),
         process_rank=1,
         needs_replicas=True,
     ),
     SourceSpec(
         "SSL Tracker",
-        ("sp_serial_number",), ("sp_serial_number",), ("first_serial",),
-        _ssl_tracker_details,
-        lambda d: F.concat(F.lit("Status: "), _dash(d["status"])),
+        group_keys=("sp_serial_number",),
+        match_keys=("sp_serial_number",),
+        upsert_keys=("first_serial",),
+        details={"status": "sp_ssl_cm_status"},
+        summary=("'Status: '", "status"),
         process_rank=5,
     ),
     SourceSpec(
         "Evolven",
-        ("sp_evolven_host", "sp_evolven_path", "sp_instance_name"),
-        ("sp_evolven_host", "sp_evolven_path"),
-        ("host", "path"),
-        _evolven_details,
-        lambda d: F.concat(_dash(d["host"]), _dash(d["path"])),
+        group_keys=("sp_evolven_host", "sp_evolven_path", "sp_instance_name"),
+        match_keys=("sp_evolven_host", "sp_evolven_path"),
+        upsert_keys=("host", "path"),
+        details={"host": "sp_evolven_host", "path": "sp_evolven_path", "instances": "instances"},
+        summary=("host", "path"),
         process_rank=2,
     ),
     SourceSpec(
         "APIGEE",
-        ("sp_evolven_host", "sp_evolven_path", "sp_ssg_domain"),
-        ("sp_evolven_host", "sp_evolven_path", "sp_ssg_domain"),
-        ("host", "path", "domain"),
-        _apigee_details,
-        lambda d: F.concat(_dash(d["domain"]), F.lit(" — "), _dash(d["host"])),
+        group_keys=("sp_evolven_host", "sp_evolven_path", "sp_ssg_domain"),
+        match_keys=("sp_evolven_host", "sp_evolven_path", "sp_ssg_domain"),
+        upsert_keys=("host", "path", "domain"),
+        details={
+            "domain": "sp_ssg_domain", "host": "sp_evolven_host", "path": "sp_evolven_path",
+            "url_in": "sp_ssg_url_in", "url_out": "sp_ssg_url_out",
+        },
+        summary=("domain", "' — '", "host"),
         process_rank=3,
     ),
 )
@@ -232,11 +192,17 @@ class Params:
         return self.table1_sort_by if known else "days_to_expiration"
 
 
-def by_source(specs: Sequence[SourceSpec], value: Callable[[SourceSpec], Column],
-              source: Column, default: Column) -> Column:
-    """One CASE over the source name, a branch per spec."""
-    out = None
-    for spec in specs:
-        cond = source == F.lit(spec.name)
-        out = F.when(cond, value(spec)) if out is None else out.when(cond, value(spec))
-    return default if out is None else out.otherwise(default)
+def by_source(specs: Sequence[SourceSpec], value: Callable[[SourceSpec], str],
+              source: str, default: str) -> Column:
+    """One CASE over the source name, a branch per spec; values are SQL text."""
+    branches = " ".join(
+        "WHEN '{}' THEN {}".format(s.name.replace("'", r"\'"), value(s)) for s in specs)
+    return F.expr(f"CASE {source} {branches} ELSE {default} END" if specs else default)
+
+
+NO_KEYS = "CAST(array() AS array<string>)"
+
+
+def key_array(columns: Sequence[str]) -> str:
+    """SQL array of key columns, empty values as NULL."""
+    return "array({})".format(", ".join(f"nullif({c}, '')" for c in columns))

@@ -10,23 +10,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from certwatch.config import Params, SourceSpec, by_source
+from certwatch.config import NO_KEYS, Params, SourceSpec, by_source, key_array
+from certwatch.functions.text import parse_san, split_list
 from certwatch.operators.enrich import alert_status, enrich_replicas, flag_acknowledged
 from certwatch.schema import DETAILS_FIELDS
 
 
-def _details_of(spec: SourceSpec) -> Column:
-    own = spec.details()
-    return F.struct(
-        F.lit(spec.name).alias("source_type"),
-        *[own.get(name, F.lit(None)).cast(kind).alias(name) for name, kind in DETAILS_FIELDS.items()],
-    )
+def _details_of(spec: SourceSpec) -> str:
+    fields = [f"'source_type', '{spec.name}'"] + [
+        f"'{name}', CAST({spec.details.get(name, 'NULL')} AS {kind})" for name, kind in DETAILS_FIELDS.items()]
+    return f"named_struct({', '.join(fields)})"
 
 
 def source_details(cfg: Params) -> Column:
     """The row's source-specific details as one tagged struct."""
-    fields = ",".join(["source_type:string"] + [f"{n}:{k}" for n, k in DETAILS_FIELDS.items()])
-    return by_source(cfg.specs, _details_of, F.col("sp_name"), F.lit(None).cast(f"struct<{fields}>"))
+    return by_source(cfg.specs, _details_of, "sp_name", "NULL")
 
 
 def _null_safe(parts: Column) -> Column:
@@ -35,30 +33,25 @@ def _null_safe(parts: Column) -> Column:
 
 
 def group_key(cfg: Params) -> Column:
-    none = F.array().cast("array<string>")
-    return _null_safe(by_source(
-        cfg.specs, lambda s: F.array(*[F.nullif(F.col(k), F.lit("")) for k in s.group_keys]),
-        F.col("sp_name"), none))
+    return _null_safe(by_source(cfg.specs, lambda s: key_array(s.group_keys), "sp_name", NO_KEYS))
 
 
 def _upsert_key(cfg: Params) -> Column:
-    rep = F.col("_rep")
-
-    def parts(spec: SourceSpec) -> Column:
-        return F.array(*[
-            rep["serial_number"] if k == "first_serial" else rep["source_details"][k]
-            for k in spec.upsert_keys
-        ])
+    def parts(spec: SourceSpec) -> str:
+        named = ("_rep.serial_number" if k == "first_serial" else f"_rep.source_details.{k}"
+                 for k in spec.upsert_keys)
+        return f"array({', '.join(named)})"
 
-    return _null_safe(by_source(cfg.specs, parts, F.col("source"), F.array().cast("array<string>")))
+    return _null_safe(by_source(cfg.specs, parts, "source", NO_KEYS))
 
 
 def assemble_certificates(outcomes: DataFrame, acks: DataFrame, replicas: DataFrame,
                           cfg: Params) -> DataFrame:
     """Match outcomes plus acknowledgement, replicas and status, in output form."""
     df = enrich_replicas(flag_acknowledged(outcomes, acks, cfg), replicas, cfg)
-    df = alert_status(df.drop("status"), cfg)
-    rank = by_source(cfg.specs, lambda s: F.lit(s.process_rank), F.col("sp_name"), F.lit(len(cfg.specs)))
+    df = alert_status(df.drop("status"), cfg).withColumns({
+        "instances": split_list(F.col("sp_instance_name")), "san_names": parse_san(F.col("sp_san_names"))})
+    rank = by_source(cfg.specs, lambda s: str(s.process_rank), "sp_name", str(len(cfg.specs)))
     r = F.col("renewal")
     return df.select(
         "id",

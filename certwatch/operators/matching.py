@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from certwatch.config import Params, by_source
+from certwatch.config import NO_KEYS, Params, by_source, key_array
 from certwatch.functions.scoring import rounded
 from certwatch.functions.text import token_sorted_clean
 from certwatch.operators.ranking import first_k, representatives
@@ -43,11 +43,7 @@ def extract_alerts(certs: DataFrame, cfg: Params) -> DataFrame:
 
 def match_keys(cfg: Params) -> Column:
     """The source's match fields as an array, empty values as NULL."""
-    none = F.array().cast("array<string>")
-    return by_source(
-        cfg.specs,
-        lambda s: F.array(*[F.nullif(F.col(k), F.lit("")) for k in s.match_keys]),
-        F.col("sp_name"), none)
+    return by_source(cfg.specs, lambda s: key_array(s.match_keys), "sp_name", NO_KEYS)
 
 
 def _alert_side(alerts: DataFrame, cfg: Params) -> DataFrame:

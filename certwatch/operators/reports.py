@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from certwatch.config import MATCHED_RENEWAL, Params, by_source
+from certwatch.config import MATCHED_RENEWAL, Params, SourceSpec, by_source
 from certwatch.functions.report import csi_changed, report_date, source_slug, status_warn, urgency
 from certwatch.operators.ranking import number_rows
 
@@ -20,7 +20,11 @@ _CERT = ["distinguished_name", "serial_number", "source"]
 
 def source_summary(cfg: Params) -> Column:
     """One line describing the document's source details."""
-    return by_source(cfg.specs, lambda s: s.summary(F.col("source_details")), F.col("source"), F.lit(""))
+    def line(spec: SourceSpec) -> str:
+        pieces = (p if p.startswith("'") else f"coalesce(source_details.{p}, '—')" for p in spec.summary)
+        return f"concat({', '.join(pieces)})"
+
+    return by_source(cfg.specs, line, "source", "''")
 
 
 def action_required(flat: DataFrame, cfg: Params) -> DataFrame:

@@ -9,6 +9,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # one extra JVM call per column expression while a plan is being built
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
