@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from certwatch.config import ACTION_REQUIRED, MATCHED_RENEWAL, MISSING_SERVICE, TABLE1_SORT_LABELS, Params
 from certwatch.functions.report import source_slug, subject
 
 
-def sources_dim(spark, cfg: Params) -> DataFrame:
+def sources_dim(spark: SparkSession, cfg: Params) -> DataFrame:
     """(source_order, source) of the active sources, in report order."""
-    rows = [(i, s.name) for i, s in enumerate(cfg.specs) if s.name in cfg.active_sources]
-    return spark.createDataFrame(rows, "source_order int, source string")
+    active = [(i, s.name) for i, s in enumerate(cfg.specs) if s.name in cfg.active_sources]
+    names = F.array(*[F.struct(F.lit(i).alias("source_order"), F.lit(n).alias("source")) for i, n in active])
+    return spark.range(1).select(F.inline(names)) if active else spark.createDataFrame(
+        [], "source_order int, source string")
 
 
 def alert_counts_by_source(alerts: DataFrame, cfg: Params) -> DataFrame:
@@ -96,7 +98,7 @@ def report_snapshot(by_source: DataFrame) -> DataFrame:
     return by_source.where("action_required > 0").select("source_order", "source", "action_required")
 
 
-def report_settings(spark, cfg: Params) -> DataFrame:
+def report_settings(spark: SparkSession, cfg: Params) -> DataFrame:
     """The (position, setting, value) rows closing the consolidated report."""
     rows = [
         ("Alert threshold", f"{cfg.alert_days_threshold} days"),
