@@ -140,7 +140,7 @@ def candidate_pairs(xs: DataFrame, ys: DataFrame, threshold: float, ratio_min: f
     """Distinct (x, y) that may reach the threshold. ``xs``/``ys`` come from with_bags."""
     bounds = _bounds(threshold, ratio_min)
     if threshold * 3 > 200:
-        left, right = substrings(xs), windows(ys, threshold)
+        left, right = substrings(xs), stage(windows(ys, threshold), "windows")
         bounds = bounds & _alignment(threshold)
     else:
         left, right = elements(xs, "x", threshold), elements(ys, "y", threshold)
@@ -148,7 +148,7 @@ def candidate_pairs(xs: DataFrame, ys: DataFrame, threshold: float, ratio_min: f
     # work here goes with matches per key, not bytes: keep the partitions small-byte stages would merge
     n = int(xs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     left, right = (side.repartition(n, "key", "salt") for side in (left, right))
-    joined = left.join(right.hint("shuffle_hash"), ["key", "salt"]).where(bounds)
+    joined = left.join(right, ["key", "salt"]).where(bounds)
     return joined.select("x", "y", "x_len", "y_len").distinct()
 
 

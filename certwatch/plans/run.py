@@ -25,15 +25,19 @@ class Run:
     summary: DataFrame
 
 
-def alert_rows(certs: DataFrame, acks: DataFrame, replicas: DataFrame, cfg: Params) -> DataFrame:
-    """Flat alert certificates, staged because the documents and every report read them."""
+def assemble(certs: DataFrame, acks: DataFrame, replicas: DataFrame, cfg: Params) -> DataFrame:
+    """Alert certificates with their outcome, staged: grouping them reads them twice."""
     return stage(
-        documents.alert_certificates(match_outcomes(certs, cfg), acks, replicas, cfg), "flat")
+        documents.assemble_certificates(match_outcomes(certs, cfg), acks, replicas, cfg), "assembled")
+
+
+def alert_rows(certs: DataFrame, acks: DataFrame, replicas: DataFrame, cfg: Params) -> DataFrame:
+    """Flat alert certificates with their documents."""
+    return documents.with_documents(assemble(certs, acks, replicas, cfg), cfg)
 
 
 def run(certs: DataFrame, acks: DataFrame, replicas: DataFrame, cfg: Params) -> Run:
-    assembled = stage(
-        documents.assemble_certificates(match_outcomes(certs, cfg), acks, replicas, cfg), "assembled")
+    assembled = assemble(certs, acks, replicas, cfg)
     valid, rejected = validate(assembled)
     flat = stage(documents.with_documents(valid, cfg), "flat")
     by_source = summary.run_summary_by_source(flat, cfg)
