@@ -1,14 +1,12 @@
 """Finding the renewal, or else the possible matches, of each alert certificate.
 
-Both searches share one similarity join over *distinct* strings and then look
-up certificates by string, so the expensive part never sees the copies of a DN.
+Strings are compared once per *distinct* string and certificates are looked up
+by string afterwards, so the expensive part never sees the copies of a DN.
 
 1. Equal strings need no scoring: alerts meet same-source, same-key candidates
    on the token-sorted DN itself (score 100, which nothing can beat).
-2. The strings of the remaining alerts go through the similarity join against
-   the strings of the candidate pool.
-3. A pair of strings becomes a renewal where source and keys agree too, and a
-   possible match where the alert has no renewal.
+2. The remaining alerts search their own source and keys for similar strings.
+3. Alerts still without a renewal search the strings of all sources.
 
 Key fields the alert leaves empty match anything. The candidate side is
 therefore keyed once per combination of filled-in fields the alerts use (at
@@ -17,6 +15,8 @@ most 2^keys per source), which keeps every lookup an equi-join.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +24,7 @@ from certwatch.config import NO_KEYS, Params, by_source, key_array
 from certwatch.functions.scoring import rounded
 from certwatch.functions.text import token_sorted_clean
 from certwatch.operators.ranking import first_k, representatives
-from certwatch.operators.similarity import similar_pairs
+from certwatch.operators.similarity import is_crowded, signatures, similar_pairs, with_bags
 from certwatch.staging import stage
 
 _POOL_FIELDS = ("cand_id", "distinguished_name", "days_to_expiration", "expiration_date",
@@ -32,6 +32,9 @@ _POOL_FIELDS = ("cand_id", "distinguished_name", "days_to_expiration", "expirati
 
 _GROUP = ["sp_name", "mask", "mkey"]
 _RENEWAL_FIELDS = ["score", *[f for f in _POOL_FIELDS if f != "sp_name"]]
+_POSSIBLE_TYPE = (
+    "array<struct<cand_id:bigint,distinguished_name:string,days_to_expiration:bigint,expiration_date:timestamp,"
+    "serial_number:string,similarity_score:double,csi_id:bigint,ssl_cm_status:string,source:string>>")
 
 
 def extract_alerts(certs: DataFrame, cfg: Params) -> DataFrame:
@@ -131,41 +134,71 @@ def equal_string_renewals(alerts: DataFrame, pool: DataFrame, cfg: Params) -> Da
     ).drop("found")
 
 
-def scored_renewals(rest: DataFrame, pairs: DataFrame, pool: DataFrame, cfg: Params) -> DataFrame:
-    """(sp_name, mask, mkey, x, found): ranked candidates of the groups in ``rest``."""
-    links = (
-        rest.select(*_GROUP, "x").distinct()
-        .join(pairs.where((F.col("x") != F.col("y"))
-                          & (F.col("score") >= cfg.renewal_score_threshold)), "x")
-    )
+def _best_tiers(threshold: float) -> list[float]:
+    return [t for t in (98.0, 95.0) if t > threshold] + [threshold]
+
+
+def _ranked(todo: DataFrame, group: Sequence[str], strings: DataFrame, on: Sequence[str], threshold: float,
+            enough: int, rank: Callable[[DataFrame, DataFrame], DataFrame], found: str,
+            cfg: Params) -> DataFrame:
+    """(*group, found): for each group of ``todo`` its ranked candidates at ``threshold``.
+
+    Where many strings resemble each other (numbered hosts, say), listing every
+    similar pair only to keep a few would be quadratic. If the data is that
+    crowded, strict thresholds are tried first; a group that already has as many
+    candidates as anybody can use leaves the search, since nothing found later
+    could outrank them.
+    """
+    ys = stage(with_bags(strings, "y"), "strings")
+    last = signatures(ys, threshold)
+    crowded = is_crowded(last, on, cfg.hot_key_rows)
+    done = None
+    for t in _best_tiers(threshold) if crowded else [threshold]:
+        sig = last if t == threshold else signatures(ys, t)
+        xs = todo.select(*on, "x").distinct()
+        ranked = rank(todo, similar_pairs(xs, sig, t, cfg.length_ratio_min, cfg.hot_key_rows, on))
+        if t > threshold:
+            ranked = stage(ranked, "tier").where(F.size(found) >= enough)
+            todo = stage(todo.join(ranked.select(*group), [*group], "left_anti"), "todo")
+        done = ranked if done is None else done.unionByName(ranked)
+    return done
+
+
+def scored_renewals(rest: DataFrame, pool: DataFrame, cfg: Params) -> DataFrame:
+    """(sp_name, mask, mkey, x, found): ranked renewal candidates of the groups in ``rest``."""
+    groups = rest.select(*_GROUP, "x").distinct()
     masks = rest.select("sp_name", "mask").distinct()
-    wanted = links.select(*_GROUP, "y").distinct()
-    rows = keyed_pool(pool, masks, cfg).join(wanted, [*_GROUP, "y"], "left_semi")
-    # within one string all scores are equal, so two serials are enough before fanning out
-    per_string = representatives(rows.withColumn("score", F.lit(0.0)), [*_GROUP, "y"], 1,
-                                 _RENEWAL_FIELDS[1:], [F.asc("cand_id")], "cands")
-    flat = (
-        links.join(per_string, [*_GROUP, "y"])
-        .select(*_GROUP, "x", "score", F.inline("cands"))
-    )
-    return representatives(flat, [*_GROUP, "x"], 1, _RENEWAL_FIELDS, _order(), "found")
+    # only the key groups an open alert belongs to can matter
+    keyed = keyed_pool(pool, masks, cfg).join(rest.select(*_GROUP).distinct(), _GROUP, "left_semi")
+
+    def rank(_: DataFrame, links: DataFrame) -> DataFrame:
+        links = stage(links, "links")
+        rows = keyed.join(links.select(*_GROUP, "y").distinct(), [*_GROUP, "y"], "left_semi")
+        # within one string all scores are equal, so two serials are enough before fanning out
+        per_string = representatives(rows, [*_GROUP, "y"], 1, _RENEWAL_FIELDS[1:], [F.asc("cand_id")], "cands")
+        flat = links.join(per_string, [*_GROUP, "y"]).select(*_GROUP, "x", "score", F.inline("cands"))
+        return representatives(flat, [*_GROUP, "x"], 1, _RENEWAL_FIELDS, _order(), "found")
 
+    return _ranked(groups, [*_GROUP, "x"], keyed.select(*_GROUP, "y").distinct(), _GROUP,
+                   cfg.renewal_score_threshold, 2, rank, "found", cfg)
 
-def scored_possibles(rest: DataFrame, pairs: DataFrame, pool: DataFrame, cfg: Params) -> DataFrame:
+
+def scored_possibles(rest: DataFrame, pool: DataFrame, cfg: Params) -> DataFrame:
     """(dn_clean, candidates): ranked cross-source candidates per distinct alert DN."""
     k = max(1, cfg.possible_k)
-    links = (
-        rest.select("dn_clean", "x").distinct()
-        .join(pairs.where(F.col("score") >= cfg.possible_match_score_threshold), "x")
-    )
-    wanted = links.select("y").distinct()
-    rows = pool.join(wanted, "y", "left_semi").withColumnRenamed("dn_clean", "cand_dn")
-    per_string = representatives(rows, ["y", "cand_dn"], k, _POOL_FIELDS, [F.asc("cand_id")], "cands")
-    flat = links.join(per_string, "y")
-    if cfg.exclude_same_dn:
-        flat = flat.where(F.col("cand_dn") != F.col("dn_clean"))
-    flat = flat.select("dn_clean", "score", F.inline("cands"))
-    return representatives(flat, ["dn_clean"], k, ["score", *_POOL_FIELDS], _order(), "candidates")
+
+    def rank(todo: DataFrame, pairs: DataFrame) -> DataFrame:
+        links = stage(todo.join(pairs, "x"), "links")
+        rows = pool.join(links.select("y").distinct(), "y", "left_semi").withColumnRenamed("dn_clean", "cand_dn")
+        per_string = representatives(rows, ["y", "cand_dn"], k, _POOL_FIELDS, [F.asc("cand_id")], "cands")
+        flat = links.join(per_string, "y")
+        if cfg.exclude_same_dn:
+            flat = flat.where(F.col("cand_dn") != F.col("dn_clean"))
+        flat = flat.select("dn_clean", "score", F.inline("cands"))
+        return representatives(flat, ["dn_clean"], k, ["score", *_POOL_FIELDS], _order(), "candidates")
+
+    return _ranked(rest.select("dn_clean", "x").distinct(), ["dn_clean"], pool.select("y").distinct(), (),
+                   cfg.possible_match_score_threshold, 2 * k, rank, "candidates", cfg)
 
 
 def match_outcomes(certs: DataFrame, cfg: Params) -> DataFrame:
@@ -175,36 +208,27 @@ def match_outcomes(certs: DataFrame, cfg: Params) -> DataFrame:
     """
     alerts = _alert_side(extract_alerts(certs, cfg), cfg)
     pool = renewal_pool(certs, cfg)
-    first = stage(equal_string_renewals(alerts, pool, cfg), "alerts")
-    rest = first.where("best IS NULL AND x IS NOT NULL")
-
-    threshold = min(cfg.renewal_score_threshold, cfg.possible_match_score_threshold)
-    pairs = stage(
-        similar_pairs(rest.select("x").distinct(), pool.select("y").distinct(),
-                      threshold, cfg.length_ratio_min, cfg.hot_key_rows),
-        "pairs")
-
-    renewals = scored_renewals(rest, pairs, pool, cfg)
-    possibles = scored_possibles(rest, pairs, pool, cfg)
     own = F.col("own_serial")
+
+    first = stage(equal_string_renewals(alerts, pool, cfg), "alerts")
+    renewals = scored_renewals(first.where("best IS NULL AND x IS NOT NULL"), pool, cfg)
     second = F.try_element_at(first_k(F.col("found"), own, 1), F.lit(1))
-    best = F.coalesce(_renewal_struct(F.col("best")), _renewal_struct(second))
+    matched = stage(
+        first.join(renewals, [*_GROUP, "x"], "left")
+        .withColumn("renewal", F.coalesce(_renewal_struct(F.col("best")), _renewal_struct(second)))
+        .select(*certs.columns, "own_serial", "x", "renewal"),
+        "matched")
+
+    possibles = scored_possibles(matched.where("renewal IS NULL AND x IS NOT NULL"), pool, cfg)
     listed = F.transform(first_k(F.col("candidates"), own, cfg.possible_k), _possible_struct)
+    has_list = F.col("renewal").isNull() & F.col("candidates").isNotNull()
     return (
-        first.join(renewals, [*_GROUP, "x"], "left").join(possibles, "dn_clean", "left")
-        .withColumn("renewal", best)
-        .withColumn("possible_matches", F.when(F.col("renewal").isNull() & F.col("candidates").isNotNull(), listed)
-                    .otherwise(F.array().cast(_possible_type())))
-        .select(*extract_alerts(certs, cfg).columns, "renewal", "possible_matches")
+        matched.join(possibles, "dn_clean", "left")
+        .withColumn("possible_matches", F.when(has_list, listed).otherwise(F.array().cast(_POSSIBLE_TYPE)))
+        .select(*certs.columns, "renewal", "possible_matches")
     )
 
 
-def _possible_type() -> str:
-    return ("array<struct<cand_id:bigint,distinguished_name:string,days_to_expiration:bigint,"
-            "expiration_date:timestamp,serial_number:string,similarity_score:double,csi_id:bigint,"
-            "ssl_cm_status:string,source:string>>")
-
-
 def find_renewals(certs: DataFrame, cfg: Params) -> DataFrame:
     """(id, renewal.*) of the alerts that have one."""
     return match_outcomes(certs, cfg).where("renewal IS NOT NULL").select(

@@ -30,6 +30,8 @@ sharing a common subsequence of length c shares c of them, so the first
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,9 +46,10 @@ _EPS = 1e-9
 
 
 def with_bags(df: DataFrame, s: str) -> DataFrame:
-    bags = char_bags(F.col(s))
-    return df.select(s, F.length(s).alias(f"{s}_len"), bags.alias("_b")).select(
-        s, f"{s}_len", F.col("_b.bag0").alias(f"{s}_bag0"), F.col("_b.bag1").alias(f"{s}_bag1"))
+    """Adds the length and the bag bits of column ``s``."""
+    return df.withColumn("_b", char_bags(F.col(s))).select(
+        *df.columns, F.length(s).alias(f"{s}_len"),
+        F.col("_b.bag0").alias(f"{s}_bag0"), F.col("_b.bag1").alias(f"{s}_bag1"))
 
 
 def _common_tokens(strings: DataFrame, s: str) -> Column:
@@ -88,7 +91,7 @@ def windows(strings: DataFrame, threshold: float) -> DataFrame:
         .withColumn("regions", F.floor(F.col("y_len") * per_char + _EPS).cast("int") + 1)
         .withColumn("w", F.explode(F.expr(parts)))
     )
-    return cut.select("y", "y_len", "y_bag0", "y_bag1", "w.*")
+    return cut.select(*strings.columns, "w.*")
 
 
 def substrings(strings: DataFrame) -> DataFrame:
@@ -97,7 +100,7 @@ def substrings(strings: DataFrame) -> DataFrame:
         f"flatten(transform(sequence(1, least({MAX_WINDOW}, x_len)), w -> "
         "transform(sequence(1, x_len - w + 1), p -> struct(p AS x_pos, substring(x, p, w) AS key))))"
     )
-    return strings.withColumn("g", F.explode(grams)).select("x", "x_len", "x_bag0", "x_bag1", "g.*")
+    return strings.withColumn("g", F.explode(grams)).select(*strings.columns, "g.*")
 
 
 def elements(strings: DataFrame, s: str, threshold: float) -> DataFrame:
@@ -135,33 +138,45 @@ def _alignment(threshold: float) -> Column:
         F.abs(F.col("x_len") - F.col("y_len") - shift) <= d - F.col("j"))
 
 
-def candidate_pairs(xs: DataFrame, ys: DataFrame, threshold: float, ratio_min: float,
-                    hot_rows: int) -> DataFrame:
-    """Distinct (x, y) that may reach the threshold. ``xs``/``ys`` come from with_bags."""
-    bounds = _bounds(threshold, ratio_min)
-    if threshold * 3 > 200:
-        left, right = substrings(xs), stage(windows(ys, threshold), "windows")
-        bounds = bounds & _alignment(threshold)
-    else:
-        left, right = elements(xs, "x", threshold), elements(ys, "y", threshold)
-    left, right = spread_hot_keys(left, right, "key", hot_rows)
-    # work here goes with matches per key, not bytes: keep the partitions small-byte stages would merge
-    n = int(xs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    left, right = (side.repartition(n, "key", "salt") for side in (left, right))
-    joined = left.join(right, ["key", "salt"]).where(bounds)
-    return joined.select("x", "y", "x_len", "y_len").distinct()
+def signatures(ys: DataFrame, threshold: float) -> DataFrame:
+    """The join keys of the candidate strings (from ``with_bags``), staged."""
+    keys = windows(ys, threshold) if _by_window(threshold) else elements(ys, "y", threshold)
+    return stage(keys, "keys")
+
+
+def _by_window(threshold: float) -> bool:
+    return threshold * 3 > 200
 
 
-def similar_pairs(xs: DataFrame, ys: DataFrame, threshold: float, ratio_min: float,
-                  hot_rows: int) -> DataFrame:
-    """(x, y, score) for all pairs of non-empty strings with score >= threshold, x = y included.
+def is_crowded(sig: DataFrame, on: Sequence[str], hot_rows: int) -> bool:
+    """Whether some join key is shared by more than ``hot_rows`` strings."""
+    return bool(
+        sig.groupBy(*on, "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_rows)
+        .limit(1).count())
 
-    ``xs`` and ``ys`` are one-column frames of distinct token-sorted strings.
+
+def similar_pairs(xs: DataFrame, sig: DataFrame, threshold: float, ratio_min: float, hot_rows: int,
+                  on: Sequence[str] = ()) -> DataFrame:
+    """(*on, x, y, score) for all pairs that agree on ``on`` and score at least the threshold.
+
+    ``xs`` holds distinct (*on, x); ``sig`` comes from ``signatures`` at the same
+    threshold. Strings are token-sorted and not empty; x = y is included.
     """
-    xs = with_bags(xs, "x")
-    ys = stage(with_bags(ys, "y"), "strings")
-    pairs = candidate_pairs(xs, ys, threshold, ratio_min, hot_rows)
+    left = with_bags(xs, "x")
+    bounds = _bounds(threshold, ratio_min)
+    if _by_window(threshold):
+        left, bounds = substrings(left), bounds & _alignment(threshold)
+    else:
+        left = elements(left, "x", threshold)
+    left, right = spread_hot_keys(left, sig, [*on, "key"], hot_rows)
+    # work here goes with matches per key, not bytes: keep the partitions small-byte stages would merge
+    n = int(xs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left, right = (side.repartition(n, *on, "key", "salt") for side in (left, right))
+    pairs = (
+        left.join(right, [*on, "key", "salt"]).where(bounds)
+        .select(*on, "x", "y", "x_len", "y_len").distinct()
+    )
     total = F.col("x_len") + F.col("y_len")
     scored = pairs.withColumn("lcs", lcs_length("x", "y"))
     return scored.where(meets(total, F.col("lcs"), threshold)).select(
-        "x", "y", indel_score(total, F.col("lcs")).alias("score"))
+        *on, "x", "y", indel_score(total, F.col("lcs")).alias("score"))

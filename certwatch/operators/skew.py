@@ -7,6 +7,8 @@ joins are spread explicitly.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,9 +16,9 @@ _MAX_HOT_KEYS = 1000
 _MAX_SPLITS = 1024
 
 
-def spread_hot_keys(left: DataFrame, right: DataFrame, key: str,
+def spread_hot_keys(left: DataFrame, right: DataFrame, key: Sequence[str],
                     hot_rows: int) -> tuple[DataFrame, DataFrame]:
-    """Add ``salt`` to both sides; joining on (key, salt) equals joining on key.
+    """Add ``salt`` to both sides; joining on (*key, salt) equals joining on key.
 
     Right rows of a hot key are dealt over n salts and the left rows of that
     key are repeated n times; other keys keep salt 0. At most 1000 keys are
@@ -24,19 +26,19 @@ def spread_hot_keys(left: DataFrame, right: DataFrame, key: str,
     on the result.
     """
     hot = (
-        right.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+        right.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
         .where(F.col("n") > hot_rows)
         .orderBy(F.desc("n")).limit(_MAX_HOT_KEYS)
-        .select(key, F.least(F.ceil(F.col("n") / hot_rows), F.lit(_MAX_SPLITS)).cast("int").alias("splits"))
+        .select(*key, F.least(F.ceil(F.col("n") / hot_rows), F.lit(_MAX_SPLITS)).cast("int").alias("splits"))
     )
     hot = F.broadcast(hot)
     left = (
-        left.join(hot, key, "left")
+        left.join(hot, [*key], "left")
         .withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("splits", F.lit(1)) - 1)))
         .drop("splits")
     )
     right = (
-        right.join(hot, key, "left")
+        right.join(hot, [*key], "left")
         .withColumn("salt", F.coalesce(
             F.pmod(F.xxhash64(*right.columns), F.col("splits")).cast("int"), F.lit(0)))
         .drop("splits")

@@ -85,6 +85,7 @@ def data(spark, cfg):
     {"max_possible_display": 1, "renewal_score_threshold": 100.0},
     {"max_possible_candidates": 0, "length_ratio_min": 0.95},
     {"possible_match_score_threshold": 60.0, "max_possible_display": 6, "hot_key_rows": 5},
+    {"possible_match_score_threshold": 70.0, "renewal_score_threshold": 70.0, "hot_key_rows": 2},
 ])
 def test_equals_brute_force(data, cfg, changes):
     certs, rows = data

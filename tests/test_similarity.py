@@ -3,7 +3,7 @@ import random
 import pytest
 from test_scoring import lcs_table
 
-from certwatch.operators.similarity import similar_pairs
+from certwatch.operators.similarity import signatures, similar_pairs, with_bags
 
 
 def mutate(rng: random.Random, s: str, edits: int) -> str:
@@ -47,8 +47,8 @@ def test_equals_brute_force(spark, threshold, ratio, hot_rows):
             total, lcs = len(x) + len(y), lcs_table(x, y)
             if 200 * lcs >= threshold * total and min(len(x), len(y)) / max(len(x), len(y)) >= ratio:
                 want.add((x, y, round(200 * lcs / total, 6)))
-    got = similar_pairs(spark.createDataFrame([(x,) for x in xs], "x string"),
-                        spark.createDataFrame([(y,) for y in ys], "y string"), threshold, ratio, hot_rows)
+    sig = signatures(with_bags(spark.createDataFrame([(y,) for y in ys], "y string"), "y"), threshold)
+    got = similar_pairs(spark.createDataFrame([(x,) for x in xs], "x string"), sig, threshold, ratio, hot_rows)
     rows = [(r["x"], r["y"], round(r["score"], 6)) for r in got.collect()]
     assert len(rows) == len(set(rows))
     assert set(rows) == want
@@ -58,5 +58,6 @@ def test_equals_brute_force(spark, threshold, ratio, hot_rows):
 def test_plan_has_no_nested_loop(spark):
     xs = spark.createDataFrame([("a b",)], "x string")
     ys = spark.createDataFrame([("a b",)], "y string")
-    plan = similar_pairs(xs, ys, 90.0, 0.6, 1000)._jdf.queryExecution().toString()
+    sig = signatures(with_bags(ys, "y"), 90.0)
+    plan = similar_pairs(xs, sig, 90.0, 0.6, 1000)._jdf.queryExecution().toString()
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
