@@ -156,7 +156,8 @@ def _ranked(todo: DataFrame, group: Sequence[str], strings: DataFrame, on: Seque
     for t in _best_tiers(threshold) if crowded else [threshold]:
         sig = last if t == threshold else signatures(ys, t)
         xs = todo.select(*on, "x").distinct()
-        ranked = rank(todo, similar_pairs(xs, sig, t, cfg.length_ratio_min, cfg.hot_key_rows, on))
+        spread = cfg.hot_key_rows if crowded else None
+        ranked = rank(todo, similar_pairs(xs, sig, t, cfg.length_ratio_min, spread, on))
         if t > threshold:
             ranked = stage(ranked, "tier").where(F.size(found) >= enough)
             todo = stage(todo.join(ranked.select(*group), [*group], "left_anti"), "todo")

@@ -155,12 +155,13 @@ def is_crowded(sig: DataFrame, on: Sequence[str], hot_rows: int) -> bool:
         .limit(1).count())
 
 
-def similar_pairs(xs: DataFrame, sig: DataFrame, threshold: float, ratio_min: float, hot_rows: int,
-                  on: Sequence[str] = ()) -> DataFrame:
+def similar_pairs(xs: DataFrame, sig: DataFrame, threshold: float, ratio_min: float,
+                  hot_rows: int | None, on: Sequence[str] = ()) -> DataFrame:
     """(*on, x, y, score) for all pairs that agree on ``on`` and score at least the threshold.
 
     ``xs`` holds distinct (*on, x); ``sig`` comes from ``signatures`` at the same
     threshold. Strings are token-sorted and not empty; x = y is included.
+    ``hot_rows`` None means no join key needs spreading.
     """
     left = with_bags(xs, "x")
     bounds = _bounds(threshold, ratio_min)
@@ -168,12 +169,14 @@ def similar_pairs(xs: DataFrame, sig: DataFrame, threshold: float, ratio_min: fl
         left, bounds = substrings(left), bounds & _alignment(threshold)
     else:
         left = elements(left, "x", threshold)
-    left, right = spread_hot_keys(left, sig, [*on, "key"], hot_rows)
+    keys, right = [*on, "key"], sig
+    if hot_rows is not None:
+        left, right = spread_hot_keys(left, sig, keys, hot_rows)
+        keys = [*keys, "salt"]
     # work here goes with matches per key, not bytes: keep the partitions small-byte stages would merge
     n = int(xs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    left, right = (side.repartition(n, *on, "key", "salt") for side in (left, right))
     pairs = (
-        left.join(right, [*on, "key", "salt"]).where(bounds)
+        left.repartition(n, *keys).join(right.repartition(n, *keys), keys).where(bounds)
         .select(*on, "x", "y", "x_len", "y_len").distinct()
     )
     total = F.col("x_len") + F.col("y_len")
