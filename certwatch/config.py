@@ -163,6 +163,8 @@ class Params:
     document_part_rows: int = 50_000
     # a join key above this many rows is spread over several tasks
     hot_key_rows: int = 200_000
+    # with a substring shared by more strings than this, strict thresholds are searched first
+    crowded_key_rows: int = 10_000
 
     def __post_init__(self) -> None:
         for name in ("renewal_score_threshold", "possible_match_score_threshold"):

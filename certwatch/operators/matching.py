@@ -24,7 +24,7 @@ from certwatch.config import NO_KEYS, Params, by_source, key_array
 from certwatch.functions.scoring import rounded
 from certwatch.functions.text import token_sorted_clean
 from certwatch.operators.ranking import first_k, representatives
-from certwatch.operators.similarity import is_crowded, signatures, similar_pairs, with_bags
+from certwatch.operators.similarity import key_load, signatures, similar_pairs, with_bags
 from certwatch.staging import stage
 
 _POOL_FIELDS = ("cand_id", "distinguished_name", "days_to_expiration", "expiration_date",
@@ -151,13 +151,12 @@ def _ranked(todo: DataFrame, group: Sequence[str], strings: DataFrame, on: Seque
     """
     ys = stage(with_bags(strings, "y"), "strings")
     last = signatures(ys, threshold)
-    crowded = is_crowded(last, on, cfg.hot_key_rows)
+    crowded = key_load(last, on)[1] > cfg.crowded_key_rows
     done = None
     for t in _best_tiers(threshold) if crowded else [threshold]:
         sig = last if t == threshold else signatures(ys, t)
         xs = todo.select(*on, "x").distinct()
-        spread = cfg.hot_key_rows if crowded else None
-        ranked = rank(todo, similar_pairs(xs, sig, t, cfg.length_ratio_min, spread, on))
+        ranked = rank(todo, similar_pairs(xs, sig, t, cfg.length_ratio_min, cfg.hot_key_rows, on))
         if t > threshold:
             ranked = stage(ranked, "tier").where(F.size(found) >= enough)
             todo = stage(todo.join(ranked.select(*group), [*group], "left_anti"), "todo")

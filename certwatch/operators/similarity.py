@@ -43,6 +43,7 @@ MAX_WINDOW = 4
 _HOT_TOKENS = 256
 _HOT_SHARE = 200  # a token is common when more than 1 in 200 strings contain it
 _EPS = 1e-9
+_BUILD_ROWS = 500_000
 
 
 def with_bags(df: DataFrame, s: str) -> DataFrame:
@@ -148,21 +149,21 @@ def _by_window(threshold: float) -> bool:
     return threshold * 3 > 200
 
 
-def is_crowded(sig: DataFrame, on: Sequence[str], hot_rows: int) -> bool:
-    """Whether some join key is shared by more than ``hot_rows`` strings."""
-    return bool(
-        sig.groupBy(*on, "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_rows)
-        .limit(1).count())
+def key_load(sig: DataFrame, on: Sequence[str] = ()) -> tuple[int, int]:
+    """(rows in all, rows of the most frequent join key)."""
+    per_key = sig.groupBy(*on, "key").agg(F.count(F.lit(1)).alias("n"))
+    load = per_key.agg(F.sum("n").alias("rows"), F.max("n").alias("largest")).first()
+    return load["rows"] or 0, load["largest"] or 0
 
 
 def similar_pairs(xs: DataFrame, sig: DataFrame, threshold: float, ratio_min: float,
-                  hot_rows: int | None, on: Sequence[str] = ()) -> DataFrame:
+                  hot_rows: int, on: Sequence[str] = ()) -> DataFrame:
     """(*on, x, y, score) for all pairs that agree on ``on`` and score at least the threshold.
 
     ``xs`` holds distinct (*on, x); ``sig`` comes from ``signatures`` at the same
     threshold. Strings are token-sorted and not empty; x = y is included.
-    ``hot_rows`` None means no join key needs spreading.
     """
+    rows, largest = key_load(sig, on)
     left = with_bags(xs, "x")
     bounds = _bounds(threshold, ratio_min)
     if _by_window(threshold):
@@ -170,13 +171,14 @@ def similar_pairs(xs: DataFrame, sig: DataFrame, threshold: float, ratio_min: fl
     else:
         left = elements(left, "x", threshold)
     keys, right = [*on, "key"], sig
-    if hot_rows is not None:
+    if largest > hot_rows:
         left, right = spread_hot_keys(left, sig, keys, hot_rows)
         keys = [*keys, "salt"]
-    # work here goes with matches per key, not bytes: keep the partitions small-byte stages would merge
-    n = int(xs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Work here goes with matches per key, not bytes, so partitions are set by row count and kept.
+    # That also bounds the hash tables: a partition holds about _BUILD_ROWS, no key over hot_rows.
+    n = max(int(xs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // _BUILD_ROWS))
     pairs = (
-        left.repartition(n, *keys).join(right.repartition(n, *keys), keys).where(bounds)
+        left.repartition(n, *keys).join(right.repartition(n, *keys).hint("shuffle_hash"), keys).where(bounds)
         .select(*on, "x", "y", "x_len", "y_len").distinct()
     )
     total = F.col("x_len") + F.col("y_len")

@@ -84,8 +84,8 @@ def data(spark, cfg):
     {"renewal_score_threshold": 95.0, "possible_match_score_threshold": 75.0},
     {"max_possible_display": 1, "renewal_score_threshold": 100.0},
     {"max_possible_candidates": 0, "length_ratio_min": 0.95},
-    {"possible_match_score_threshold": 60.0, "max_possible_display": 6, "hot_key_rows": 5},
-    {"possible_match_score_threshold": 70.0, "renewal_score_threshold": 70.0, "hot_key_rows": 2},
+    {"possible_match_score_threshold": 60.0, "max_possible_display": 6, "hot_key_rows": 5, "crowded_key_rows": 5},
+    {"possible_match_score_threshold": 70.0, "renewal_score_threshold": 70.0, "crowded_key_rows": 2},
 ])
 def test_equals_brute_force(data, cfg, changes):
     certs, rows = data
