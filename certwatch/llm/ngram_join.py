@@ -8,13 +8,14 @@ distinct shingles. The result is each document's component over these links.
   hash into k > d parts, so two linked sets have at least k - d parts in common.
   The hash of each part is the set's signature; sets meet where signatures are
   equal. A passage that many documents share fills no part on its own.
-* Sets that meet are compared by T-occurrence search: over the sets that met one
-  query set, the short inverted lists of its shingles are merged, counting; sets
-  that could still reach the needed overlap T are probed in the long lists by
-  binary search (DivideSkip).
-* Queries are first the least and the greatest class of every signature, which joins
-  groups of copies without listing their pairs. Sets that still met without being
-  in one component are then compared pair by pair, so no link is lost.
+* Sets that meet are brought together in groups: each goes with the least class it
+  shares most signatures with, and groups that follow one another are one. A group's
+  sets form inverted lists, in blocks, and are searched by T-occurrence: the short lists
+  of a query's shingles are merged, counting; sets that could still reach the needed
+  overlap T are probed in the long lists by binary search (DivideSkip).
+* A group's leading class asks first, which joins copies without listing their pairs. Then
+  every class asks each group in which it shares enough signatures with sets that are not
+  yet of its component, so no link is lost and no pairs are listed.
 
 Words are what lies between ASCII white space, A-Z in lower case. A document of fewer
 words than a shingle has the whole sequence as its one shingle; one without words, or
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from certwatch.llm.batches import mix, slices, word_bounds, word_hashes
+from certwatch.llm.batches import mix, ranges, slices, word_bounds, word_hashes
 from certwatch.staging import stage
 
 _SPACES = (32, 9, 10, 11, 12, 13)
@@ -41,6 +42,7 @@ _IS_WORD = ~np.isin(np.arange(256), _SPACES)
 _SPARE = 2  # parts beyond the least number, so that empty parts in common do no harm
 _LEVELS = np.unique(np.round(4 * 2 ** (np.arange(80) / 2)).astype(np.int64))
 _SEARCHED = 1 << 20  # shingles in one local index
+_LED = 8  # sets from which a group is searched by its leaders first
 
 
 def _sets(data: np.ndarray, offsets: np.ndarray, width: int) -> list[np.ndarray]:
@@ -81,12 +83,15 @@ def _levels(size: int, percent: int) -> np.ndarray:
     return _LEVELS[low:high + 1]
 
 
-def _signatures(members: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(signature, least number of them in common with any partner) of a set."""
+def _signatures(members: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(signature, number of parts, empty parts without a signature) of a set.
+
+    The number of parts is negative where it is not the one for the set's own size.
+    """
     size = len(members)
     if (100 - percent) * (size + 100 * size // percent) < 100 + percent:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)  # a different set is never near enough
-    found, least = [], []
+        return (np.zeros(0, np.int64),) * 3  # a different set is never near enough
+    found, parts, hidden = [], [], []
     mixed = mix(members + np.uint64(1))
     for k in _levels(size, percent):
         part = ((members >> np.uint64(32)) * np.uint64(k)) >> np.uint64(32)
@@ -98,8 +103,9 @@ def _signatures(members: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarr
             hollow = np.setdiff1d(np.arange(k, dtype=np.uint64), place)
             sums, place = np.concatenate([sums, np.zeros(empty, np.uint64)]), np.concatenate([place, hollow])
         found.append(mix(sums + mix(place + np.uint64(k) * np.uint64(1 << 20))).view(np.int64))
-        least.append(np.full(len(sums), max(1, 1 + _SPARE - empty) if empty <= _SPARE else 1))
-    return np.concatenate(found), np.concatenate(least)
+        parts.append(np.full(len(sums), -k if found[1:] else k))
+        hidden.append(np.full(len(sums), min(empty, _SPARE)))
+    return np.concatenate(found), np.concatenate(parts), np.concatenate(hidden)
 
 
 def _classes(width: int):
@@ -118,21 +124,23 @@ def _signature_rows(width: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # copies within this task are sent once
         for _, data, offsets in slices(batches, "text"):
-            signatures, classes, sizes, least = [], [], [], []
+            signatures, classes, sizes, parts, hidden = [], [], [], [], []
             for members in _sets(data, offsets, width):
                 name = _class_of(members)
                 if len(members) and name not in seen:
                     seen.add(name)
-                    own, common = _signatures(members, percent)
+                    own, dealt, empty = _signatures(members, percent)
                     signatures.append(own)
-                    least.append(common)
+                    parts.append(dealt)
+                    hidden.append(empty)
                     classes.append(np.full(len(own), name))
                     sizes.append(np.full(len(own), len(members)))
             if signatures:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(signatures)), pa.array(np.concatenate(classes)),
-                     pa.array(np.concatenate(sizes).astype(np.int32)), pa.array(np.concatenate(least).astype(np.int8))],
-                    names=["signature", "class", "size", "least"])
+                     pa.array(np.concatenate(sizes).astype(np.int32)), pa.array(np.concatenate(parts).astype(np.int32)),
+                     pa.array(np.concatenate(hidden).astype(np.int8))],
+                    names=["signature", "class", "size", "parts", "hidden"])
 
     return run
 
@@ -148,75 +156,119 @@ def _set_rows(width: int):
     return run
 
 
-def t_occurrence(query: np.ndarray, sets: list[np.ndarray], percent: int) -> np.ndarray:
-    """Which of ``sets`` link with ``query``."""
-    sizes = np.array([len(s) for s in sets])
-    needed = -(-percent * (len(query) + sizes) // (100 + percent))
-    values, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
-    place = np.minimum(np.searchsorted(query, values), len(query) - 1)
-    met = query[place] == values
-    lists, owner = place[met], owner[met]
-    length = np.bincount(lists, minlength=len(query))
-    longest = np.argsort(-length, kind="stable")
-    least = int(needed.min())
-    # DivideSkip: the more often T is asked for and the longer the lists, the fewer are merged
-    n_long = min(least - 1, int(least / (0.01 * np.log2(max(2, length.max(initial=1))) + 1)))
-    is_long = np.zeros(len(query), bool)
-    is_long[longest[:n_long]] = True
-    counts = np.bincount(owner[~is_long[lists]], minlength=len(sets))
-    alive = np.flatnonzero(counts >= needed - n_long)
-    keys = np.sort(lists[is_long[lists]] * len(sets) + owner[is_long[lists]])
-    for one in longest[:n_long].tolist():
-        wanted = one * len(sets) + alive
-        at = np.minimum(np.searchsorted(keys, wanted), max(0, len(keys) - 1))
-        counts[alive] += (keys[at] == wanted) if len(keys) else 0
-    return counts >= needed
+class Lists:
+    """The inverted lists of some sets: for each shingle, in order, the sets that hold it."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sizes = np.array([len(s) for s in sets])
+        values = np.concatenate(sets)
+        order = np.argsort(values, kind="stable")
+        self.owners = np.repeat(np.arange(len(sets)), self.sizes)[order]
+        self.shingles, self.firsts = np.unique(values[order], return_index=True)
+        self.lengths = np.diff(np.append(self.firsts, len(values)))
+
+    def search(self, query: np.ndarray, percent: int) -> np.ndarray:
+        """Which sets link with ``query``."""
+        at = np.minimum(np.searchsorted(self.shingles, query), len(self.shingles) - 1)
+        lists = at[self.shingles[at] == query]
+        needed = -(-percent * (len(query) + self.sizes) // (100 + percent))
+        # a set shares no more than it or the query holds
+        least = int(needed[needed <= np.minimum(self.sizes, len(query))].min(initial=len(query) + 1))
+        if len(lists) < least:
+            return np.zeros(0, np.int64)
+        lists = lists[np.argsort(self.lengths[lists], kind="stable")]
+        # DivideSkip: the more often T is asked for and the shorter the lists, the fewer are merged
+        n_long = min(least - 1, int(least / (0.01 * np.log2(2 + int(self.lengths[lists[-1]])) + 1)))
+        short, long_ = lists[:len(lists) - n_long], lists[len(lists) - n_long:]
+        counts = np.bincount(self.owners[ranges(self.firsts[short], self.lengths[short])], minlength=len(self.sizes))
+        alive = np.flatnonzero((counts >= needed - n_long) & (counts > 0))
+        for one in long_.tolist() if len(alive) else ():
+            own = self.owners[self.firsts[one]:self.firsts[one] + self.lengths[one]]
+            place = np.minimum(np.searchsorted(own, alive), len(own) - 1)
+            counts[alive] += own[place] == alive
+        return alive[counts[alive] >= needed[alive]]
+
+
+class _Forest:
+    """Which names are joined so far."""
+
+    def __init__(self):
+        self.above: dict[int, int] = {}
+
+    def root(self, name: int) -> int:
+        while (up := self.above.get(name, name)) != name:
+            self.above[name] = self.above.get(up, up)
+            name = up
+        return name
+
+    def join(self, a: int, b: int) -> bool:
+        """False if they were joined already."""
+        a, b = self.root(a), self.root(b)
+        self.above[a] = b
+        return a != b
 
 
 def _search(percent: int):
+    """The links found in each block, but for those that close a circle there."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, query, names, sets, held = None, None, [], [], 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            if query is not None and sets:
-                good = np.array(names)[t_occurrence(query, sets, percent)]
-                yield pa.RecordBatch.from_arrays([pa.array(good, pa.int64()), pa.array(np.full(len(good), current[0]), pa.int64())],
-                                                 names=["a", "b"])
-
+        current, names, sets, lists, forest = None, [], [], None, _Forest()
         for batch in batches:
-            rows = zip(*(batch.column(c).to_pylist() for c in ("query", "deal", "class", "members")))
-            for name, deal, other, members in rows:
-                if (name, deal) != current:
-                    yield from flush()
-                    current, query, names, sets, held = (name, deal), None, [], [], 0
-                if other is None:
-                    query = np.frombuffer(members, np.uint64)
-                    continue
-                names.append(other)
-                sets.append(np.frombuffer(members, np.uint64))
-                held += len(sets[-1])
-                if held >= _SEARCHED:
-                    yield from flush()
-                    names, sets, held = [], [], 0
-        yield from flush()
+            found: list[tuple[int, int]] = []
+            rows = zip(*(batch.column(c).to_pylist() for c in ("group", "block", "asks", "class", "members")))
+            for group, block, asks, name, members in rows:
+                if (group, block) != current:
+                    current, names, sets, lists, forest = (group, block), [], [], None, _Forest()
+                members = np.frombuffer(members, np.uint64)
+                if not asks:
+                    names.append(name)
+                    sets.append(members)
+                elif sets:
+                    lists = lists or Lists(sets)
+                    found += [(names[i], name) for i in lists.search(members, percent).tolist() if forest.join(names[i], name)]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
     return run
 
 
-def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (query, class) that link, staged. A query met by many sets is dealt out to several tasks."""
-    per_query = pairs.groupBy("query").agg(F.count(F.lit(1)).alias("n")).select(
-        F.col("query").alias("_query"), F.ceil(F.col("n") / 2000).cast("int").alias("deals"))
-    dealt = pairs.join(per_query, F.col("query") == F.col("_query")).select(
-        "query", F.pmod(F.xxhash64("class"), F.col("deals")).cast("int").alias("deal"), "class")
-    candidates = dealt.join(sets, "class").select("query", "deal", "class", "members")
-    queries = per_query.join(sets, F.col("_query") == F.col("class")).select(
-        F.col("_query").alias("query"), F.explode(F.sequence(F.lit(0), F.col("deals") - 1)).alias("deal"),
-        F.lit(None).cast("long").alias("class"), "members")
-    found = (candidates.unionByName(queries).repartition("query", "deal")
-             .sortWithinPartitions("query", "deal", F.col("class").asc_nulls_first())
-             .mapInArrow(_search(percent), "a long, b long"))
-    return stage(found, "links")
+def _sets_of(wanted: DataFrame, rows: DataFrame, chosen: DataFrame, width: int) -> DataFrame:
+    """(class, members) of the ``wanted`` classes, some of them more than once, and of a few others.
+
+    A bitmap of the wanted rows' keys, of at most 16 MB, passes over the texts, so that
+    those need no shuffle; where it fills up, more sets come along.
+    """
+    keys = chosen.join(wanted.distinct(), F.col("class") == F.col("_wanted"), "left_semi").select("key")
+    n = keys.count()
+    words = 1 << max(14, min(20, (n // 4).bit_length()))
+
+    def word(key: Column) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(words))
+
+    bit = F.shiftright(F.xxhash64("key"), 40).bitwiseAND(63).cast("int")
+    one = F.expr("shiftleft(1L, cast(shiftright(xxhash64(key), 40) & 63 as int))")
+    bitmap = keys.groupBy(word(F.col("key")).alias("_word")).agg(F.bit_or(one).alias("_bits"))
+    kept = rows.join(F.broadcast(bitmap), word(F.col("key")) == F.col("_word")).where(F.getbit("_bits", bit) == 1)
+    return kept.select("text").mapInArrow(_set_rows(width), "class long, members binary")
+
+
+def _links(asking: DataFrame, grouped: DataFrame, rows: DataFrame, chosen: DataFrame, width: int, percent: int) -> DataFrame:
+    """The links of each ``asking`` (class, group) with the sets of that group, staged.
+
+    ``grouped`` (class, group, size) is every set's group. A group's lists are dealt into blocks
+    of about a million shingles; who asks it asks every block.
+    """
+    blocks = grouped.groupBy("group").agg(F.ceil(F.sum("size") / _SEARCHED).cast("int").alias("blocks")).select(
+        F.col("group").alias("_group"), "blocks")
+    needed = asking.select(F.col("group").alias("_asked")).distinct()
+    held = grouped.join(needed, F.col("group") == F.col("_asked"), "left_semi").join(blocks, F.col("group") == F.col("_group")).select(
+        "group", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int").alias("block"), F.lit(0).alias("asks"), "class")
+    asked = asking.join(blocks, F.col("group") == F.col("_group")).select(
+        "group", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("asks"), "class")
+    both = stage(held.unionByName(asked), "asked")
+    known = _sets_of(both.select(F.col("class").alias("_wanted")), rows, chosen, width).withColumnRenamed("class", "_class")
+    met = both.join(known, F.col("class") == F.col("_class")).drop("_class")
+    return stage(met.repartition("group", "block").sortWithinPartitions("group", "block", "asks", "class")
+                 .mapInArrow(_search(percent), "a long, b long"), "links")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -250,23 +302,26 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     classes = stage(rows.mapInArrow(_classes(width), "doc_id long, key long, n_shingles long, class long"), "classes")
 
     met = rows.select("text").mapInArrow(
-        _signature_rows(width, percent), "signature long, class long, size int, least byte")
+        _signature_rows(width, percent), "signature long, class long, size int, parts int, hidden byte")
     at = Window.partitionBy("signature")
     shared = stage(met.withColumns({"low": F.min("class").over(at), "high": F.max("class").over(at)})
                    .where("low < high").distinct(), "shared")
-    first = shared.where("class <> low").select(F.col("low").alias("query"), "class").unionByName(
-        shared.where("class <> high and class <> low").select(F.col("high").alias("query"), "class")).distinct()
-
-    wanted = shared.select(F.col("class").alias("_class")).distinct()
-    chosen = classes.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("key").alias("_key"))
-    keys = chosen.join(wanted, F.col("class") == F.col("_class"), "left_semi").select("_key")
-    sets = stage(rows.join(keys, F.col("key") == F.col("_key"), "left_semi").select("text")
-                 .mapInArrow(_set_rows(width), "class long, members binary").dropDuplicates(["class"]), "sets")
-
-    links = _links(first, sets, percent)
-    joined = components(links)
-    left = _unjoined(shared, joined, percent)
-    links = links.unionByName(_links(left, sets, percent))
+    # each class follows the least class it shares most signatures with
+    most = Window.partitionBy("class").orderBy(F.col("n").desc(), "low")
+    leaders = stage(shared.groupBy("class", "size", "low").agg(F.count(F.lit(1)).alias("n"))
+                    .withColumn("_rank", F.row_number().over(most)).where("_rank = 1").select("class", "size", "low"), "leaders")
+    trees = components(leaders.select(F.col("class").alias("a"), F.col("low").alias("b")))
+    grouped = stage(leaders.join(trees, F.col("class") == F.col("node"), "left").select(
+        "class", "size", F.coalesce("component", "class").alias("group")), "groups")
+
+    chosen = classes.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("key").alias("key"))
+    # a group of few sets is asked by them all at once, below
+    large = grouped.groupBy("group").count().where(F.col("count") >= _LED).select(F.col("group").alias("_group"))
+    leading = (leaders.join(grouped.select(F.col("class").alias("_class"), "group"), F.col("class") == F.col("_class"))
+               .join(large, F.col("group") == F.col("_group"), "left_semi").select(F.col("low").alias("class"), "group").distinct())
+    first = _links(leading, grouped, rows, chosen, width, percent)
+    asking = _unjoined(shared, components(first), grouped, percent)
+    links = first.unionByName(_links(asking, grouped, rows, chosen, width, percent))
     final = components(links)
 
     named = (classes.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("doc_id").alias("least"))
@@ -278,17 +333,27 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def _unjoined(shared: DataFrame, joined: DataFrame, percent: int) -> DataFrame:
-    """Pairs (query, class) that share as many signatures as links do, but no component yet."""
-    placed = shared.join(joined, F.col("class") == F.col("node"), "left").select(
-        "signature", "class", "size", "least", F.coalesce("component", "class").alias("component"))
+def _unjoined(shared: DataFrame, joined: DataFrame, grouped: DataFrame, percent: int) -> DataFrame:
+    """(class, group) where the class shares as many parts with the group as a link takes, and not only
+    with sets of its own component.
+
+    The larger of two sets asks, and the parts counted are those at its own number of them, k:
+    linked sets of a and b <= a shingles differ in at most d = 2(100 - percent)a / (100 + percent)
+    shingles and so in d parts; of the k - d others only empty ones may have no signature.
+    """
+    placed = (shared.join(joined, F.col("class") == F.col("node"), "left")
+              .join(grouped.select(F.col("class").alias("_class"), "group"), F.col("class") == F.col("_class"))
+              .select("signature", "class", "size", "parts", "hidden", "group", F.coalesce("component", "class").alias("component")))
     several = placed.groupBy("signature").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).where(
         "_low < _high").select(F.col("signature").alias("_signature"))
     open_ = stage(placed.join(several, F.col("signature") == F.col("_signature"), "left_semi"), "open")
-    other = open_.select("signature", F.col("class").alias("query"), F.col("size").alias("_size"),
-                         F.col("least").alias("_least"), F.col("component").alias("_component"))
-    near: Column = F.least("size", "_size") * 100 >= F.greatest("size", "_size") * percent
-    pairs = open_.join(other, "signature").where((F.col("class") > F.col("query")) & (F.col("component") != F.col("_component")) & near)
-    return stage(pairs.groupBy("query", "class").agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.greatest("least", "_least")).alias("needed"))
-        .where(F.col("n") >= F.col("needed")).select("query", "class"), "unjoined")
+    present = open_.groupBy("signature", F.col("group").alias("_group")).agg(
+        F.min("component").alias("_low"), F.max("component").alias("_high"), F.min("size").alias("_size")).withColumnRenamed(
+        "signature", "_signature")
+    asks = open_.where("parts > 0").drop("group").join(present, F.col("signature") == F.col("_signature")).where(
+        ((F.col("_low") != F.col("component")) | (F.col("_high") != F.col("component"))) & (F.col("_size") <= F.col("size")))
+    differ = F.floor(2 * (100 - percent) * F.col("size") / (100 + percent))
+    needed: Column = F.col("parts") - differ - F.col("hidden")
+    return stage(asks.groupBy("class", F.col("_group").alias("group")).agg(
+        F.count(F.lit(1)).alias("n"), F.max(needed).alias("needed"))
+        .where("n >= needed").select("class", "group"), "unjoined")

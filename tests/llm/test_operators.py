@@ -226,8 +226,8 @@ def test_t_occurrence_counts_exactly():
     for _ in range(50):
         query = np.unique(rng.integers(0, 60, 40).astype(np.uint64))
         sets = [np.unique(np.concatenate([query[rng.random(len(query)) < rng.random()], rng.integers(0, 90, rng.integers(1, 20)).astype(np.uint64)])) for _ in range(30)]
-        got = ngram_join.t_occurrence(query, sets, 80)
-        want = [100 * len(np.intersect1d(query, s)) >= 80 * len(np.union1d(query, s)) for s in sets]
+        got = ngram_join.Lists(sets).search(query, 80)
+        want = [i for i, s in enumerate(sets) if 100 * len(np.intersect1d(query, s)) >= 80 * len(np.union1d(query, s))]
         assert got.tolist() == want
 
 
