@@ -306,10 +306,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     at = Window.partitionBy("signature")
     shared = stage(met.withColumns({"low": F.min("class").over(at), "high": F.max("class").over(at)})
                    .where("low < high").distinct(), "shared")
-    # each class follows the least class it shares most signatures with
+    # each class follows the least class it shares most signatures with, if these are many enough
+    # for near copies; sets that only share a passage would chain up unlike ones
     most = Window.partitionBy("class").orderBy(F.col("n").desc(), "low")
-    leaders = stage(shared.groupBy("class", "size", "low").agg(F.count(F.lit(1)).alias("n"))
-                    .withColumn("_rank", F.row_number().over(most)).where("_rank = 1").select("class", "size", "low"), "leaders")
+    leaders = stage(shared.groupBy("class", "size", "low").agg(F.count(F.lit(1)).alias("n"), F.max(F.abs("parts")).alias("parts"))
+                    .withColumn("_rank", F.row_number().over(most)).where("_rank = 1").select(
+                        "class", "size", F.expr("if(4 * n >= parts, low, class)").alias("low")), "leaders")
     trees = components(leaders.select(F.col("class").alias("a"), F.col("low").alias("b")))
     grouped = stage(leaders.join(trees, F.col("class") == F.col("node"), "left").select(
         "class", "size", F.coalesce("component", "class").alias("group")), "groups")
