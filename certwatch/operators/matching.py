@@ -201,24 +201,27 @@ def scored_possibles(rest: DataFrame, pool: DataFrame, cfg: Params) -> DataFrame
                    cfg.possible_match_score_threshold, 2 * k, rank, "candidates", cfg)
 
 
-def match_outcomes(certs: DataFrame, cfg: Params) -> DataFrame:
-    """Every alert certificate with ``renewal`` (struct or NULL) and ``possible_matches`` (array).
-
-    A renewal and possible matches never occur together.
-    """
+def with_renewals(certs: DataFrame, cfg: Params) -> DataFrame:
+    """Every alert certificate with ``renewal`` (struct or NULL), its token-sorted DN and serial; staged."""
     alerts = _alert_side(extract_alerts(certs, cfg), cfg)
     pool = renewal_pool(certs, cfg)
-    own = F.col("own_serial")
-
     first = stage(equal_string_renewals(alerts, pool, cfg), "alerts")
     renewals = scored_renewals(first.where("best IS NULL AND x IS NOT NULL"), pool, cfg)
-    second = F.try_element_at(first_k(F.col("found"), own, 1), F.lit(1))
-    matched = stage(
+    second = F.try_element_at(first_k(F.col("found"), F.col("own_serial"), 1), F.lit(1))
+    return stage(
         first.join(renewals, [*_GROUP, "x"], "left")
         .withColumn("renewal", F.coalesce(_renewal_struct(F.col("best")), _renewal_struct(second)))
         .select(*certs.columns, "own_serial", "x", "renewal"),
         "matched")
 
+
+def match_outcomes(certs: DataFrame, cfg: Params) -> DataFrame:
+    """Every alert certificate with ``renewal`` (struct or NULL) and ``possible_matches`` (array).
+
+    A renewal and possible matches never occur together.
+    """
+    pool, own = renewal_pool(certs, cfg), F.col("own_serial")
+    matched = with_renewals(certs, cfg)
     possibles = scored_possibles(matched.where("renewal IS NULL AND x IS NOT NULL"), pool, cfg)
     listed = F.transform(first_k(F.col("candidates"), own, cfg.possible_k), _possible_struct)
     has_list = F.col("renewal").isNull() & F.col("candidates").isNotNull()
@@ -231,7 +234,7 @@ def match_outcomes(certs: DataFrame, cfg: Params) -> DataFrame:
 
 def find_renewals(certs: DataFrame, cfg: Params) -> DataFrame:
     """(id, renewal.*) of the alerts that have one."""
-    return match_outcomes(certs, cfg).where("renewal IS NOT NULL").select(
+    return with_renewals(certs, cfg).where("renewal IS NOT NULL").select(
         "id", "sp_name", "days_to_expiration", "renewal")
 
 

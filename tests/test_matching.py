@@ -122,3 +122,11 @@ def test_candidate_counts(data, cfg):
 def test_plan_has_no_nested_loop(data, cfg):
     plan = match_outcomes(data[0], cfg)._jdf.queryExecution().toString()
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+
+
+def test_renewals_never_search_possible_matches(spark, monkeypatch):
+    from certwatch.checks.queries import QUERIES
+    from certwatch.operators import matching
+
+    monkeypatch.setattr(matching, "scored_possibles", lambda *_: (_ for _ in ()).throw(AssertionError("possible matches searched")))
+    QUERIES["renewals"](spark, "/root/testdata/sf0.001").count()
