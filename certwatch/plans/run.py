@@ -67,4 +67,3 @@ def publish(result: Run, cfg: Params, alert_table: str, report_dir: str) -> None
     sinks.write_report(reports.possible_match_table(result.flat, cfg), f"{consolidated}/possible_matches")
     sinks.write_report(reports.possible_match_certificates(result.flat, cfg),
                        f"{consolidated}/possible_match_certificates")
-    sinks.write_report(summary.report_settings(spark, cfg), f"{consolidated}/settings")

@@ -34,20 +34,31 @@ def add_computed(df: DataFrame, cfg: Params) -> DataFrame:
         "serial_number_upper", F.upper("sp_serial_number"))
 
 
+def _bigint(name: str) -> Column:
+    """A whole number from text; a JSON number with decimals is cut to its whole part, quoted text is not."""
+    text, whole = F.col(f"d.{name}"), safe_bigint(F.col(f"d.{name}"))
+    number = F.schema_of_variant(F.try_variant_get(F.try_parse_json("json"), f"$.{name}", "variant")) != "STRING"
+    cut = F.expr(f"try_cast(try_cast(d.{name} AS decimal(38, 10)) AS bigint)")
+    # only what is no plain integer is parsed a second time
+    return F.when(whole.isNotNull() | text.isNull() | F.col("json").isNull(), whole).when(number, cut)
+
+
 def flatten_documents(docs: DataFrame, cfg: Params, doc: str | Column = "doc") -> DataFrame:
     """(id, JSON text or struct) to (id, 37 snapshot columns); malformed values become NULL."""
     column = F.col(doc) if isinstance(doc, str) else doc
     parsed = docs.select("id", column.alias("d"))
     if dict(parsed.dtypes)["d"] == "string":
-        parsed = parsed.select("id", F.from_json("d", RAW_DOC_SCHEMA).alias("d"))
+        parsed = parsed.select("id", F.from_json("d", RAW_DOC_SCHEMA).alias("d"), F.col("d").alias("json"))
+    else:
+        parsed = parsed.withColumn("json", F.lit(None).cast("string"))
     flat = parsed.select(
         "id",
         safe_str(F.col("d.distinguished_name")).alias("distinguished_name"),
         safe_timestamp(F.col("d.start_date")).alias("start_date"),
         safe_timestamp(F.col("d.expiration_date")).alias("expiration_date"),
-        safe_bigint(F.col("d.csi_application_id")).alias("csi_application_id"),
+        _bigint("csi_application_id").alias("csi_application_id"),
         safe_str(F.col("d.status")).alias("status"),
-        safe_bigint(F.col("d.days_to_expiration")).alias("days_to_expiration"),
+        _bigint("days_to_expiration").alias("days_to_expiration"),
         safe_timestamp(F.col("d.log_date")).alias("log_date"),
         *[safe_str(F.col(f"d.source_properties.{p}")).alias(f"sp_{p}") for p in SOURCE_PROPERTIES],
     )

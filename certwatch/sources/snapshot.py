@@ -36,11 +36,13 @@ def snapshot_is_fresh(spark: SparkSession, path: str, cfg: Params) -> bool:
     try:
         newest = read_snapshot(spark, path).agg(
             F.max("snapshot_ts").cast("timestamp_ntz").alias("ts")).first()["ts"]
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return False
     if newest is None:
         return False
-    return newest >= cfg.as_of.replace(tzinfo=None) - timedelta(hours=cfg.snapshot_max_age_hours)
+    return newest >= cfg.as_of_utc - timedelta(hours=cfg.snapshot_max_age_hours)
 
 
 def get_or_build_snapshot(spark: SparkSession, path: str, build: Callable[[], DataFrame],

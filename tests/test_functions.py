@@ -103,3 +103,22 @@ def test_report_values(spark):
     assert evaluate(spark, report.status_warn, ["Pending", "Activated", None]) == [True, False, False]
     assert evaluate(spark, lambda c: report.csi_changed(c, F.lit(1)), [None, 2, 1], "bigint") == [False, True, False]
     assert evaluate(spark, report.source_slug, ["SSL Tracker"]) == ["ssl_tracker"]
+
+
+def test_json_numbers_and_quoted_numbers(spark, cfg):
+    from certwatch.sources.certificates import flatten_documents
+
+    docs = [(1, '{"days_to_expiration":5.0,"csi_application_id":12.7}'), (2, '{"days_to_expiration":"12.7","csi_application_id":"8"}'),
+            (3, '{"days_to_expiration":-3.9,"csi_application_id":7}'), (4, '{"days_to_expiration":"x"}'), (5, '{"days_to')]
+    flat = flatten_documents(spark.createDataFrame(docs, "id int, doc string"), cfg)
+    got = {r["id"]: (r["days_to_expiration"], r["csi_application_id"]) for r in flat.collect()}
+    assert got == {1: (5, 12), 2: (None, 8), 3: (-3, 7), 4: (None, None), 5: (None, None)}
+
+
+def test_as_of_is_converted_to_utc():
+    from datetime import datetime, timedelta, timezone
+
+    from certwatch.config import Params
+
+    local = datetime(2024, 6, 1, tzinfo=timezone(timedelta(hours=-5)))
+    assert Params(as_of=local).as_of_utc == datetime(2024, 6, 1, 5)

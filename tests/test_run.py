@@ -83,7 +83,7 @@ def test_publish_twice(result, cfg, spark, tmp_path):
     assert spark.read.json(str(tmp_path / "reports/summary")).count() == 1
     assert {p.name for p in (tmp_path / "reports/consolidated").iterdir()} == {
         "snapshot", "action_table", "action_table_details", "possible_matches",
-        "possible_match_certificates", "settings"}
+        "possible_match_certificates"}
 
 
 def test_summary_zero_fills(result, cfg):
@@ -130,12 +130,6 @@ def test_number_rows_with_a_hot_key(spark):
         assert [n for _, n in ordered] == list(range(1, len(ordered) + 1))
 
 
-def test_settings_rows(spark, cfg):
-    rows = summary.report_settings(spark, cfg).collect()
-    assert len(rows) == 10 and rows[0]["value"] == "7 days"
-    assert rows[9]["value"] == "Days to Expiration (most urgent first)"
-
-
 def test_validation(spark):
     df = spark.createDataFrame([(1, 5, "2024-01-01"), (2, -1, "2024-01-01"), (3, 5, None)],
                                "id int, days_to_expiration bigint, day string")
