@@ -241,7 +241,7 @@ SELECT id, first_id, lr AS length_ratio, round_even(200.0 * lcs / (length(x) + l
 FROM (SELECT a.id, c.id AS first_id, a.sorted AS x, c.sorted AS y, {_lcs('a.sorted', 'c.sorted')} AS lcs,
     round(least(length(a.sorted), length(c.sorted)) / greatest(length(a.sorted), length(c.sorted)), 6) AS lr
   FROM elig a JOIN (SELECT sp_name, sp_microservice_name, min(id) AS id FROM elig WHERE dn_clean <> '' GROUP BY ALL) f
-    ON f.sp_name = a.sp_name AND f.sp_microservice_name = a.sp_microservice_name
+    ON f.sp_name IS NOT DISTINCT FROM a.sp_name AND f.sp_microservice_name IS NOT DISTINCT FROM a.sp_microservice_name
   JOIN elig c ON c.id = f.id
   WHERE a.dn_clean <> '')""",
     "alert_extract": "SELECT id, sp_name, days_to_expiration FROM alerts",
@@ -251,10 +251,10 @@ FROM (VALUES {', '.join(f"('{s}')" for s in _SOURCES)}) s(source)
 LEFT JOIN alerts a ON a.sp_name = s.source GROUP BY s.source""",
     "renewal_candidates": f"""
 SELECT a.id, a.sp_name, count(c.id) AS n_candidates
-FROM alerts a LEFT JOIN pool c ON c.sp_name = a.sp_name AND c.serial <> coalesce(a.serial, '')
+FROM alerts a LEFT JOIN pool c ON c.sp_name = a.sp_name AND c.serial <> coalesce(a.serial, '') AND a.dn_clean <> ''
   AND ({_SAME_KEYS})
   AND least(length(a.dn_clean), length(c.dn_clean)) * 10 >= 6 * greatest(length(a.dn_clean), length(c.dn_clean))
-WHERE a.dn_clean <> '' GROUP BY a.id, a.sp_name""",
+GROUP BY a.id, a.sp_name""",
     "renewals": f"""
 SELECT r.id, a.sp_name, cand_id, cand_serial AS renewed_serial, cand_days AS renewed_days,
   {_day('cand_exp')} AS renewed_expiration, round_even(score, 2)::DOUBLE AS similarity_score,

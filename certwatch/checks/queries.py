@@ -109,14 +109,15 @@ def parse_triple(spark, sf_dir):
 
 @_query
 def token_sort_ratio_pairs(spark, sf_dir):
-    """Each certificate's similarity to the first certificate of its source and service."""
-    key = ["sp_name", "sp_microservice_name"]
+    """Each certificate's similarity to the first certificate of its source and service, if any."""
     rows = _eligible(spark, sf_dir).where("dn_clean <> ''").select(
-        "id", *key, text.token_sorted(F.col("dn_clean")).alias("x"))
-    first = rows.groupBy(*key).agg(F.min("id").alias("first_id"), F.min_by("x", "id").alias("y"))
+        "id", "sp_name", "sp_microservice_name", text.token_sorted(F.col("dn_clean")).alias("x"))
+    first = rows.groupBy(F.col("sp_name").alias("_name"), F.col("sp_microservice_name").alias("_service")).agg(
+        F.min("id").alias("first_id"), F.min_by("x", "id").alias("y"))
     total = F.length("x") + F.length("y")
     return (
-        rows.join(first, key).withColumn("lcs", lcs_length("x", "y"))
+        rows.join(first, F.col("sp_name").eqNullSafe(F.col("_name")) & F.col("sp_microservice_name").eqNullSafe(F.col("_service")))
+        .withColumn("lcs", lcs_length("x", "y"))
         .select("id", "first_id", F.round(text.length_ratio(F.col("x"), F.col("y")), 6).alias("length_ratio"),
                 rounded(indel_score(total, F.col("lcs"))).alias("score"))
     )

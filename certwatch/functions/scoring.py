@@ -19,48 +19,67 @@ from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 from certwatch.functions.text import token_sorted
 
 _WORD = 64
+_CELLS = 1 << 20  # characters of the shorter strings compared at once
 
 
-def _lcs_long(a: str, b: str) -> int:
-    """Bit-parallel LCS (Hyyrö 2004) on unbounded integers, for strings over 64 characters."""
-    positions: dict[str, int] = {}
-    for i, ch in enumerate(a):
-        positions[ch] = positions.get(ch, 0) | (1 << i)
-    full = (1 << len(a)) - 1
-    v = full
-    for ch in b:
-        u = v & positions.get(ch, 0)
-        v = ((v + u) | (v - u)) & full
-    return len(a) - v.bit_count()
+def _code_points(strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points plus one of all strings, end to end, and each string's length; 0 is free for padding."""
+    joined = "".join(strings).encode("utf-32-le", "surrogatepass")
+    sizes = np.fromiter(map(len, strings), np.int64, len(strings))
+    return np.frombuffer(joined, "<u4").astype(np.uint32) + np.uint32(1), sizes
 
 
-def _lcs_words(a: list[str], b: list[str]) -> np.ndarray:
-    """The same recurrence for a whole batch at once, one 64-bit word per pair."""
-    n = len(a)
-    ca = np.array(a, dtype=f"<U{_WORD}").view(np.uint32).reshape(n, _WORD)
-    cb = np.array(b, dtype=f"<U{_WORD}").view(np.uint32).reshape(n, _WORD)
-    v = np.full(n, np.iinfo(np.uint64).max, dtype=np.uint64)
-    for j in range(max(map(len, b), default=0)):
-        ch = cb[:, j : j + 1]
-        hit = (ca == ch) & (ch != 0)
-        m = np.packbits(hit, axis=1, bitorder="little").view("<u8").ravel()
+def _padded(codes: np.ndarray, ends: np.ndarray, sizes: np.ndarray, rows: np.ndarray, width: int) -> np.ndarray:
+    """The strings numbered ``rows`` as a matrix of ``width`` columns."""
+    own = sizes[rows]
+    column = np.arange(int(own.sum())) - np.repeat(np.cumsum(own) - own, own)
+    out = np.zeros((len(rows), width), np.uint32)
+    out[np.repeat(np.arange(len(rows)), own), column] = codes[np.repeat(ends[rows] - own, own) + column]
+    return out
+
+
+def _lcs_rows(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Bit-parallel LCS (Hyyrö 2004) of each row of a with that row of b; a's width is a multiple of 64."""
+    v = np.full((len(a), a.shape[1] // _WORD), np.iinfo(np.uint64).max, np.uint64)
+    for j in range(b.shape[1]):
+        ch = b[:, j:j + 1]
+        m = np.packbits((a == ch) & (ch != 0), axis=1, bitorder="little").view("<u8")
         u = v & m
-        v = (v + u) | (v - u)
+        total = v + u
+        carry = total < v
+        while v.shape[1] > 1 and carry[:, :-1].any():  # into the next word, seldom further
+            step = carry[:, :-1].astype(np.uint64)
+            carry = np.zeros_like(carry)
+            total[:, 1:] += step
+            carry[:, 1:] = (total[:, 1:] == 0) & (step == 1)
+        v = total | (v - u)
     # bits beyond the string never match, so they stay set and do not count
-    return np.bitwise_count(~v).astype(np.int32)
+    return np.bitwise_count(~v).sum(axis=1).astype(np.int32)
 
 
 def lcs_batch(a: pd.Series, b: pd.Series) -> pd.Series:
-    out = np.zeros(len(a), dtype=np.int32)
-    left, right = a.tolist(), b.tolist()
-    short = [
-        i for i, (x, y) in enumerate(zip(left, right))
-        if len(x) <= _WORD and len(y) <= _WORD and "\0" not in x and "\0" not in y
-    ]
-    if short:
-        out[short] = _lcs_words([left[i] for i in short], [right[i] for i in short])
-    for i in set(range(len(left))).difference(short):
-        out[i] = _lcs_long(left[i], right[i])
+    """Length of the longest common subsequence of each pair, at any length of the strings."""
+    n = len(a)
+    out = np.zeros(n, np.int32)
+    codes, sizes = _code_points([*a, *b])
+    ends = np.cumsum(sizes)
+    first = np.arange(n)
+    swap = sizes[:n] > sizes[n:]
+    short, long_ = np.where(swap, first + n, first), np.where(swap, first, first + n)
+    words = -(-sizes[short] // _WORD)
+    order = np.lexsort((sizes[long_], words))
+    order = order[words[order] > 0]
+    at = 0
+    while at < len(order):
+        width = int(words[order[at]]) * _WORD
+        same = int(np.searchsorted(words[order], words[order[at]], side="right"))
+        rows = order[at:min(same, at + max(1, _CELLS // width))]
+        # one group's longer strings may differ much in length, the matrix is cut with them
+        fit = np.arange(1, len(rows) + 1) * sizes[long_[rows]] <= 4 * _CELLS
+        rows = rows[:max(1, int(fit.sum()))]
+        out[rows] = _lcs_rows(_padded(codes, ends, sizes, short[rows], width),
+                              _padded(codes, ends, sizes, long_[rows], int(sizes[long_[rows]].max())))
+        at += len(rows)
     return pd.Series(out)
 
 
@@ -68,20 +87,24 @@ def bag_batch(text: pd.Series) -> pd.DataFrame:
     """128 parity bits over each string's (character, occurrence number) set.
 
     Inserting or deleting one character adds or removes one element of the set
-    and so flips exactly one bit.
+    and so flips exactly one bit. Work and memory go with the characters, not
+    with the longest string.
     """
-    strings = text.tolist()
-    width = max(map(len, strings), default=0) or 1
-    codes = np.array(strings, dtype=f"<U{width}").view(np.uint32).reshape(len(strings), width)
-    codes = np.sort(codes, axis=1)
-    index = np.arange(width)
-    new = np.ones_like(codes, dtype=bool)
-    new[:, 1:] = codes[:, 1:] != codes[:, :-1]
-    occurrence = index - np.maximum.accumulate(np.where(new, index, 0), axis=1)
-    bit = np.uint64(1) << ((codes * 11 + occurrence) % _WORD).astype(np.uint64)
-    bit[codes == 0] = 0  # padding
-    words = [np.bitwise_xor.reduce(np.where(codes % 2 == w, bit, np.uint64(0)), axis=1) for w in (0, 1)]
-    return pd.DataFrame({"bag0": words[0].view(np.int64), "bag1": words[1].view(np.int64)})
+    codes, sizes = _code_points(text.tolist())
+    out = np.zeros((2, len(sizes)), np.uint64)
+    if len(codes):
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        order = np.lexsort((codes, row))
+        codes, index = codes[order].astype(np.int64), np.arange(len(order))
+        new = np.ones(len(codes), bool)
+        new[1:] = (codes[1:] != codes[:-1]) | (row[1:] != row[:-1])
+        occurrence = index - np.maximum.accumulate(np.where(new, index, 0))
+        bit = np.uint64(1) << ((codes * 11 + occurrence) % _WORD).astype(np.uint64)
+        filled = np.flatnonzero(sizes)
+        starts = (np.cumsum(sizes) - sizes)[filled]
+        for w in (0, 1):
+            out[w, filled] = np.bitwise_xor.reduceat(np.where(codes % 2 == w, bit, np.uint64(0)), starts)
+    return pd.DataFrame({"bag0": out[0].view(np.int64), "bag1": out[1].view(np.int64)})
 
 
 # ship the code with the job, so executors need no copy of this package

@@ -249,11 +249,12 @@ def renewal_candidate_counts(certs: DataFrame, cfg: Params) -> DataFrame:
     """(id, n_candidates): how many certificates reach the scorer for each alert.
 
     Counted from (group, length) histograms; the pairs themselves are never
-    formed. The alert's own serial is subtracted afterwards.
+    formed. The alert's own serial is subtracted afterwards. An alert with an
+    empty DN has no candidates.
     """
-    alerts = _alert_side(extract_alerts(certs, cfg), cfg).where("x IS NOT NULL").select(
+    alerts = _alert_side(extract_alerts(certs, cfg), cfg).select(
         "id", *_GROUP, "own_serial", F.length("x").alias("n"))
-    masks = alerts.select("sp_name", "mask").distinct()
+    masks = alerts.where("n IS NOT NULL").select("sp_name", "mask").distinct()
     by_serial = keyed_pool(renewal_pool(certs, cfg), masks, cfg).groupBy(
         *_GROUP, F.length("y").alias("cn"), "serial").agg(F.count(F.lit(1)).alias("c"))
     by_length = by_serial.groupBy(*_GROUP, "cn").agg(F.sum("c").alias("c"))

@@ -44,6 +44,7 @@ _HOT_TOKENS = 256
 _HOT_SHARE = 200  # a token is common when more than 1 in 200 strings contain it
 _EPS = 1e-9
 _BUILD_ROWS = 500_000
+_PAIRS = 200_000_000  # row pairs of one key that a task may compare
 
 
 def with_bags(df: DataFrame, s: str) -> DataFrame:
@@ -171,11 +172,12 @@ def similar_pairs(xs: DataFrame, sig: DataFrame, threshold: float, ratio_min: fl
     else:
         left = elements(left, "x", threshold)
     keys, right = [*on, "key"], sig
-    if largest > hot_rows:
-        left, right = spread_hot_keys(left, sig, keys, hot_rows)
+    # the work of a key is the product of both sides' rows
+    if largest > hot_rows or largest * xs.count() > _PAIRS:
+        left, right = spread_hot_keys(left, sig, keys, hot_rows, _PAIRS)
         keys = [*keys, "salt"]
     # Work here goes with matches per key, not bytes, so partitions are set by row count and kept.
-    # That also bounds the hash tables: a partition holds about _BUILD_ROWS, no key over hot_rows.
+    # That also bounds the hash tables: a partition holds about _BUILD_ROWS, a hot key's cell hot_rows.
     n = max(int(xs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // _BUILD_ROWS))
     pairs = (
         left.repartition(n, *keys).join(right.repartition(n, *keys).hint("shuffle_hash"), keys).where(bounds)

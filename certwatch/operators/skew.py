@@ -7,40 +7,41 @@ joins are spread explicitly.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_MAX_HOT_KEYS = 1000
-_MAX_SPLITS = 1024
+_LEFT, _RIGHT = "_left_split", "_right_split"
 
 
 def spread_hot_keys(left: DataFrame, right: DataFrame, key: Sequence[str],
-                    hot_rows: int) -> tuple[DataFrame, DataFrame]:
+                    hot_rows: int, pairs: int) -> tuple[DataFrame, DataFrame]:
     """Add ``salt`` to both sides; joining on (*key, salt) equals joining on key.
 
-    Right rows of a hot key are dealt over n salts and the left rows of that
-    key are repeated n times; other keys keep salt 0. At most 1000 keys are
-    called hot, which bounds the broadcast; which ones they are has no effect
-    on the result.
+    A hot key becomes a grid: its right rows are dealt over columns of ``hot_rows`` at
+    most on average, its left rows over as many lines as keep each cell near ``pairs`` row
+    pairs. A row is repeated along its line or column only. Other keys keep salt 0. Neither
+    the number of hot keys nor that of splits is limited, so their table is not broadcast
+    by force: its size decides.
     """
+    rows = F.count(F.lit(1))
+    columns = F.greatest(F.lit(1), F.ceil(F.col("_r") / hot_rows))
+    lines = F.greatest(F.lit(1), F.ceil(F.col("_l") * F.col("_r") / (columns * pairs)))
     hot = (
-        right.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > hot_rows)
-        .orderBy(F.desc("n")).limit(_MAX_HOT_KEYS)
-        .select(*key, F.least(F.ceil(F.col("n") / hot_rows), F.lit(_MAX_SPLITS)).cast("int").alias("splits"))
+        right.groupBy(*key).agg(rows.alias("_r"))
+        .join(left.groupBy(*key).agg(rows.alias("_l")), [*key])
+        .where((F.col("_r") > hot_rows) | (F.col("_l") * F.col("_r") > pairs))
+        .select(*key, lines.cast("int").alias(_LEFT), columns.cast("int").alias(_RIGHT))
     )
-    hot = F.broadcast(hot)
-    left = (
-        left.join(hot, [*key], "left")
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("splits", F.lit(1)) - 1)))
-        .drop("splits")
-    )
-    right = (
-        right.join(hot, [*key], "left")
-        .withColumn("salt", F.coalesce(
-            F.pmod(F.xxhash64(*right.columns), F.col("splits")).cast("int"), F.lit(0)))
-        .drop("splits")
-    )
-    return left, right
+
+    def dealt(df: DataFrame, own: str, other: str, salt: Callable[[Column, Column], Column]) -> DataFrame:
+        place = F.coalesce(F.pmod(F.xxhash64(*df.columns), F.col(own)).cast("int"), F.lit(0))
+        along = F.explode(F.sequence(F.lit(0), F.coalesce(other, F.lit(1)) - 1))
+        return (df.join(hot, [*key], "left").withColumn("_place", place).withColumn("_along", along)
+                .withColumn("salt", salt(F.col("_place"), F.col("_along"))).drop("_place", "_along", _LEFT, _RIGHT))
+
+    def cell(line: Column, column: Column) -> Column:
+        return F.coalesce(line.cast("long") * F.col(_RIGHT) + column, F.lit(0).cast("long"))
+
+    return dealt(left, _LEFT, _RIGHT, cell), dealt(right, _RIGHT, _LEFT, lambda place, along: cell(along, place))

@@ -1,9 +1,12 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from test_scoring import lcs_table
 
+from certwatch.operators import similarity
 from certwatch.operators.similarity import signatures, similar_pairs, with_bags
+from certwatch.operators.skew import spread_hot_keys
 
 
 def mutate(rng: random.Random, s: str, edits: int) -> str:
@@ -35,11 +38,12 @@ def corpus(seed: int) -> tuple[list[str], list[str]]:
     return xs + ["é" * 69 + "x" * 30], ys
 
 
-@pytest.mark.parametrize("threshold, ratio, hot_rows", [
-    (90.0, 0.6, 200_000), (95.0, 0.6, 200_000), (100.0, 0.6, 200_000), (80.0, 0.9, 3), (70.0, 0.0, 10),
-    (66.0, 0.6, 10), (50.0, 0.6, 200_000), (90.0, 0.6, 1),
+@pytest.mark.parametrize("threshold, ratio, hot_rows, pairs", [
+    (90.0, 0.6, 200_000, 1 << 30), (95.0, 0.6, 200_000, 500), (100.0, 0.6, 200_000, 1 << 30), (80.0, 0.9, 3, 20),
+    (70.0, 0.0, 10, 1 << 30), (66.0, 0.6, 10, 100), (50.0, 0.6, 200_000, 1 << 30), (90.0, 0.6, 1, 1),
 ])
-def test_equals_brute_force(spark, threshold, ratio, hot_rows):
+def test_equals_brute_force(spark, monkeypatch, threshold, ratio, hot_rows, pairs):
+    monkeypatch.setattr(similarity, "_PAIRS", pairs)
     xs, ys = corpus(int(threshold))
     want = set()
     for x in xs:
@@ -61,3 +65,16 @@ def test_plan_has_no_nested_loop(spark):
     sig = signatures(with_bags(ys, "y"), 90.0)
     plan = similar_pairs(xs, sig, 90.0, 0.6, 1000)._jdf.queryExecution().toString()
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+
+
+def test_every_pair_of_a_hot_key_meets_once(spark):
+    left = spark.range(700).select(F.when(F.col("id") % 3 > 0, "hot").otherwise(F.col("id").cast("string")).alias("key"),
+                                   F.col("id").alias("a"))
+    right = spark.range(300).select(F.when(F.col("id") % 2 > 0, "hot").otherwise(F.col("id").cast("string")).alias("key"),
+                                    F.col("id").alias("b"))
+    for hot_rows, pairs in ((10, 50), (1000, 50), (10, 1 << 30), (1000, 1 << 30)):
+        x, y = spread_hot_keys(left, right, ["key"], hot_rows, pairs)
+        got = x.join(y, ["key", "salt"])
+        assert got.count() == got.distinct().count() == left.join(right, "key").count()
+        if (hot_rows, pairs) == (10, 50):
+            assert got.groupBy("key", "salt").count().agg(F.max("count")).first()[0] < 500
