@@ -50,7 +50,12 @@ SELECT id,
   '/opt/' || lower(seg) AS sp_evolven_path,
   CASE WHEN id % 6 = 0 THEN 'null' ELSE 'i' || CAST(ck AS STRING) || ', i' || CAST(id % 3 AS STRING) || ',' END AS sp_instance_name,
   CASE WHEN id % 9 = 0 THEN h || '.a.com, ' || h || '.b.com' WHEN id % 9 = 1 THEN NULL ELSE '[''' || h || '.a.com'', ''' || h || '.b.com'']' END AS sp_san_names,
-  CASE WHEN id % 8 = 0 THEN 'Pending' ELSE 'Activated' END AS sp_ssl_cm_status
+  CASE WHEN id % 8 = 0 THEN 'Pending' ELSE 'Activated' END AS sp_ssl_cm_status,
+  CASE WHEN id % 3 > 0 THEN 'owner ' || CAST(ck % 50 AS STRING) END AS sp_certificate_owner,
+  CASE WHEN id % 5 > 0 THEN 'team' || CAST(nk AS STRING) || '@example.net' END AS sp_support_group_email,
+  'https://gw' || CAST(nk AS STRING) || '.example.net/' || CAST(ck AS STRING) AS sp_ssg_url,
+  CASE WHEN id % 2 = 0 THEN 'in' || CAST(nk AS STRING) || '.example.net' END AS sp_ssg_url_in,
+  CASE WHEN id % 7 = 0 THEN ' null ' ELSE 'out' || CAST(nk AS STRING) || '.example.net' END AS sp_ssg_url_out
 FROM base
 """
 

@@ -50,7 +50,8 @@ _URGENCY = ("CASE WHEN days_to_expiration <= 3 THEN 'critical' WHEN days_to_expi
 _SOURCES = ("SSG", "AKAMAI", "HashiCorp", "SSL Tracker", "Evolven", "APIGEE")
 _TEXT = ("distinguished_name", "status", "sp_name", "sp_serial_number", "sp_environment", "sp_ssg_domain",
          "sp_microservice_name", "sp_internal_ssg_domain", "sp_openshift_namespace", "sp_evolven_host",
-         "sp_evolven_path", "sp_instance_name", "sp_san_names", "sp_ssl_cm_status")
+         "sp_evolven_path", "sp_instance_name", "sp_san_names", "sp_ssl_cm_status", "sp_certificate_owner",
+         "sp_support_group_email", "sp_ssg_url", "sp_ssg_url_in", "sp_ssg_url_out")
 
 
 def _wild(*keys: str) -> str:
@@ -90,6 +91,14 @@ def _known(c: str) -> str:
     return f"nullif({c}, 'unknown')"
 
 
+def _only(value: str, *sources: str) -> str:
+    """A detail that these sources have."""
+    return f"CASE WHEN sp_name IN {_in(sources)} THEN {value} END"
+
+
+_ITEMS = """array_to_string(list_filter(list_transform(string_split(coalesce(sp_instance_name, ''), ','),
+    lambda p: trim(p)), lambda p: p <> ''), '|')"""
+
 _CTES: dict[str, str] = {
     "certs": CERTS_SQL,
     "snap": f"""
@@ -170,7 +179,7 @@ SELECT o.*, d.csi AS doc_csi, coalesce(o.serial, '') AS serial_number,
       || '/' || coalesce({_known('d.service_name')}, '—')
     WHEN 'Evolven' THEN coalesce(d.sp_evolven_host, '—') || coalesce(d.sp_evolven_path, '—')
     WHEN 'APIGEE' THEN coalesce(d.sp_ssg_domain, '—') || ' — ' || coalesce(d.sp_evolven_host, '—')
-    WHEN 'AKAMAI' THEN 'Owner: —'
+    WHEN 'AKAMAI' THEN 'Owner: ' || coalesce(d.sp_certificate_owner, '—')
     ELSE 'Status: ' || coalesce(d.sp_ssl_cm_status, '—') END AS summary
 FROM outcomes o JOIN alerts d ON d.id = o.group_ord""",
     "docs": """
@@ -276,6 +285,29 @@ SELECT id, cluster, project, service_name, total AS replicas_total, available AS
 FROM states WHERE sp_name = 'HashiCorp'""",
     "alert_status": "SELECT id, outcome AS status, attention AS attention_required, acknowledged FROM outcomes",
     "alert_documents": "SELECT source, group_key, group_ord, csi_id, n_certs FROM docs",
+    "alert_documents_nested": f"""
+SELECT sp_name AS source, group_ord, doc_csi AS csi_id, n_certs, upsert_key, id,
+  coalesce(distinguished_name, '') AS distinguished_name, days_to_expiration, {_day('expiration_date')} AS expiration,
+  serial_number, csi AS certificate_csi_id, attention AS attention_required, outcome AS status, acknowledged,
+  score AS similarity_score, cand_dn AS renewed_distinguished_name, cand_days AS renewed_days_to_expiration,
+  {_day('cand_exp')} AS renewed_expiration, cand_serial AS renewed_serial_number, '2024-06-01' AS log_day,
+  coalesce(p.n, 0) AS n_possible, p.lowest AS lowest_possible
+FROM flat LEFT JOIN (SELECT id AS own, count(*) AS n, min(cand_id) AS lowest FROM possibles GROUP BY id) p ON p.own = id""",
+    "source_details": f"""
+SELECT sp_name AS source, id AS group_ord, sp_name AS source_type,
+  {_only('sp_ssg_domain', 'SSG', 'APIGEE')} AS domain, {_only('sp_internal_ssg_domain', 'SSG')} AS internal_domain,
+  CASE sp_name WHEN 'SSG' THEN sp_microservice_name WHEN 'HashiCorp' THEN {_known('service_name')} END AS service_name,
+  {_only('sp_ssg_url', 'SSG')} AS url, {_only('sp_ssg_url_in', 'SSG', 'APIGEE')} AS url_in,
+  {_only('sp_ssg_url_out', 'SSG', 'APIGEE')} AS url_out,
+  {_only(_ITEMS, 'SSG', 'Evolven')} AS instances,
+  {_only(_known('cluster'), 'HashiCorp')} AS cluster, {_only(_known('project'), 'HashiCorp')} AS project,
+  {_only('total', 'HashiCorp')} AS replicas_total, {_only('available', 'HashiCorp')} AS replicas_available,
+  {_only('sp_evolven_host', 'Evolven', 'APIGEE')} AS host, {_only('sp_evolven_path', 'Evolven', 'APIGEE')} AS path,
+  {_only('sp_certificate_owner', 'AKAMAI')} AS certificate_owner,
+  {_only('sp_support_group_email', 'AKAMAI')} AS support_group_email,
+  {_only("array_to_string(coalesce(regexp_extract_all(sp_san_names, '[A-Za-z0-9.-]+'), []), '|')", 'AKAMAI')} AS san_names,
+  {_only('sp_ssl_cm_status', 'SSL Tracker')} AS status
+FROM flat WHERE id = group_ord""",
     "upsert_alerts": """
 SELECT source, upsert_key, group_ord, csi_id, n_certs, CAST('2024-06-01' AS VARCHAR) AS log_day FROM docs
 QUALIFY row_number() OVER (PARTITION BY source, upsert_key ORDER BY group_ord DESC) = 1

@@ -197,7 +197,29 @@ def alert_documents(spark, sf_dir):
 
 @_query
 def alert_documents_nested(spark, sf_dir):
-    return documents.build_documents(_flat(spark, sf_dir), CFG)
+    """Every document with each of its certificates."""
+    flat = stage(_flat(spark, sf_dir), "flat")
+    key = ["source", "upsert_key", "group_ord", "log_datetime"]
+    headers = documents.document_headers(flat, CFG).drop("source_details").withColumnRenamed("csi_id", "doc_csi_id")
+    return documents.document_certificates(flat, CFG).join(headers, key).select(
+        "source", "group_ord", F.col("doc_csi_id").alias("csi_id"), "n_certs", _joined("upsert_key").alias("upsert_key"),
+        "id", "distinguished_name", "days_to_expiration", report.report_date(F.col("expiration_date")).alias("expiration"),
+        "serial_number", F.col("csi_id").alias("certificate_csi_id"), "attention_required", "status", "acknowledged",
+        "similarity_score", "renewed_distinguished_name", "renewed_days_to_expiration",
+        report.report_date(F.col("renewed_expiration_date")).alias("renewed_expiration"), "renewed_serial_number",
+        F.date_format("log_datetime", "yyyy-MM-dd").alias("log_day"),
+        F.size("possible_matches").cast("bigint").alias("n_possible"),
+        F.array_min(F.col("possible_matches.cand_id")).alias("lowest_possible"))
+
+
+@_query
+def source_details(spark, sf_dir):
+    d = F.col("source_details")
+    lists, counts = ("instances", "san_names"), ("total", "available")
+    plain = [f for f in ("source_type", *documents.details_fields(CFG.specs)) if f not in (*lists, "replicas")]
+    return documents.document_summary(_flat(spark, sf_dir)).select(
+        "source", "group_ord", *[d[f].alias(f) for f in plain], *[F.array_join(d[f], "|").alias(f) for f in lists],
+        *[d["replicas"][c].alias(f"replicas_{c}") for c in counts])
 
 
 def _docs(flat: DataFrame) -> DataFrame:

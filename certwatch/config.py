@@ -51,6 +51,8 @@ class SourceSpec:
     summary: tuple[str, ...]
     process_rank: int
     needs_replicas: bool = False
+    # SQL types of detail fields that no other source has; string where not given
+    detail_types: dict[str, str] = field(default_factory=dict, hash=False)
 
 
 # Listed in report order; process_rank is the order documents are produced in.
@@ -155,8 +157,6 @@ class Params:
     environments: tuple[str, ...] = DEFAULT_ENVIRONMENTS
     noise_words: tuple[str, ...] = DEFAULT_NOISE_WORDS
     specs: tuple[SourceSpec, ...] = field(default=DEFAULT_SPECS, repr=False)
-    # an alert document above this many certificates is stored in several parts
-    document_part_rows: int = 50_000
     # a join key above this many rows is spread over several tasks
     hot_key_rows: int = 200_000
     # with a substring shared by more strings than this, strict thresholds are searched first

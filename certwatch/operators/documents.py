@@ -1,12 +1,15 @@
 """Alert certificates grouped into documents, and the stored alert table.
 
 The flat form (one row per certificate, carrying its document's key, order and
-details) is what every count and report works on. Nested documents are built
-from it last, for storage.
+details) is what every count and report works on. For storage it is split into
+document headers and certificate rows: a document may hold any number of
+certificates, so they are rows and not a list in one cell.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,15 +19,23 @@ from certwatch.operators.enrich import alert_status, enrich_replicas, flag_ackno
 from certwatch.schema import DETAILS_FIELDS
 
 
-def _details_of(spec: SourceSpec) -> str:
-    fields = [f"'source_type', '{spec.name}'"] + [
-        f"'{name}', CAST({spec.details.get(name, 'NULL')} AS {kind})" for name, kind in DETAILS_FIELDS.items()]
-    return f"named_struct({', '.join(fields)})"
+def details_fields(specs: Sequence[SourceSpec]) -> dict[str, str]:
+    """Name and SQL type of every detail field of these sources."""
+    own = {name: spec.detail_types.get(name, "string") for spec in specs for name in spec.details}
+    return DETAILS_FIELDS | {name: kind for name, kind in own.items() if name not in DETAILS_FIELDS}
 
 
 def source_details(cfg: Params) -> Column:
     """The row's source-specific details as one tagged struct."""
-    return by_source(cfg.specs, _details_of, "sp_name", "NULL")
+    kinds = details_fields(cfg.specs)
+
+    def details_of(spec: SourceSpec) -> str:
+        tag = spec.name.replace("'", r"\'")
+        fields = [f"'source_type', '{tag}'"] + [
+            f"'{name}', CAST({spec.details.get(name, 'NULL')} AS {kind})" for name, kind in kinds.items()]
+        return f"named_struct({', '.join(fields)})"
+
+    return by_source(cfg.specs, details_of, "sp_name", "NULL")
 
 
 def _null_safe(parts: Column) -> Column:
@@ -96,6 +107,7 @@ def alert_certificates(outcomes: DataFrame, acks: DataFrame, replicas: DataFrame
     return with_documents(assemble_certificates(outcomes, acks, replicas, cfg), cfg)
 
 
+_DOCUMENT = ("source", "upsert_key", "group_ord", "log_datetime")
 _CERTIFICATE = (
     "id", "distinguished_name", "days_to_expiration", "expiration_date", "serial_number", "csi_id",
     "attention_required", "status", "similarity_score", "renewed_distinguished_name",
@@ -104,29 +116,6 @@ _CERTIFICATE = (
 )
 
 
-def build_documents(flat: DataFrame, cfg: Params) -> DataFrame:
-    """Nested documents, certificates in first-seen order.
-
-    A group above ``document_part_rows`` certificates becomes several rows with
-    the same key and ``part`` 0..n-1, so that no single row or task has to hold
-    an unbounded list.
-    """
-    parts = F.ceil(F.col("n_certs") / cfg.document_part_rows).cast("int")
-    # id is the first struct field, so sorting the structs sorts by id
-    return (
-        flat.withColumn("part", F.pmod(F.xxhash64("id"), parts).cast("int"))
-        .groupBy("source", "group_key", "group_ord", "part")
-        .agg(
-            F.first("doc_csi_id").alias("csi_id"),
-            F.first("source_details").alias("source_details"),
-            F.first("upsert_key").alias("upsert_key"),
-            F.array_sort(F.collect_list(F.struct(*_CERTIFICATE))).alias("certificates"),
-        )
-        .withColumn("log_datetime", cfg.as_of_ts)
-        .drop("group_key")
-    )
-
-
 def document_summary(flat: DataFrame) -> DataFrame:
     """(source, group_ord, csi_id, n_certs): the documents without their certificates."""
     return flat.where(F.col("id") == F.col("group_ord")).select(
@@ -134,6 +123,17 @@ def document_summary(flat: DataFrame) -> DataFrame:
         "source_details", "upsert_key")
 
 
+def document_headers(flat: DataFrame, cfg: Params) -> DataFrame:
+    """The stored form of a document, without its certificates."""
+    return document_summary(flat).withColumn("log_datetime", cfg.as_of_ts)
+
+
+def document_certificates(flat: DataFrame, cfg: Params) -> DataFrame:
+    """The stored certificates: their document's key, then the certificate. A document's
+    first-seen order is that of ``id``."""
+    return flat.select(*_DOCUMENT[:-1], *_CERTIFICATE).withColumn("log_datetime", cfg.as_of_ts)
+
+
 def latest_documents(new: DataFrame) -> DataFrame:
     """Documents that survive within one run: for equal upsert keys the last one wins."""
     key = ["source", "upsert_key"]
@@ -149,6 +149,14 @@ def upsert_alerts(existing: DataFrame, new: DataFrame) -> DataFrame:
     return kept.unionByName(latest_documents(new).select(*existing.columns))
 
 
+def upsert_certificates(existing: DataFrame, new: DataFrame, documents: DataFrame) -> DataFrame:
+    """The certificates of the alert table, given its ``documents`` after the upsert."""
+    rewritten = new.select("source", "upsert_key").distinct()
+    kept = existing.join(rewritten, ["source", "upsert_key"], "left_anti")
+    return kept.unionByName(new.select(*existing.columns)).join(
+        documents.select(*_DOCUMENT), [*_DOCUMENT], "left_semi")
+
+
 def expire_alerts(df: DataFrame, cfg: Params) -> DataFrame:
     """Alerts younger than the retention period."""
     keep_after = cfg.as_of_ts - F.make_dt_interval(secs=F.lit(cfg.alert_retention_hours * 3600))

@@ -16,11 +16,12 @@ from certwatch.staging import stage
 
 @dataclass(frozen=True)
 class Run:
-    """Everything one run produces. All fields are DataFrames; nothing has been written yet."""
+    """What one run produces. The matching has run and is staged; no table or report has been written."""
 
     flat: DataFrame
     rejected: DataFrame
     documents: DataFrame
+    certificates: DataFrame
     summary_by_source: DataFrame
     summary: DataFrame
 
@@ -40,29 +41,42 @@ def run(certs: DataFrame, acks: DataFrame, replicas: DataFrame, cfg: Params) ->
     assembled = assemble(certs, acks, replicas, cfg)
     valid, rejected = validate(assembled)
     flat = stage(documents.with_documents(valid, cfg), "flat")
+    headers = documents.document_headers(flat, cfg)
     by_source = summary.run_summary_by_source(flat, cfg)
-    return Run(flat, rejected, documents.build_documents(flat, cfg), by_source,
-               summary.run_summary(by_source, certs, cfg))
-
-
-def publish(result: Run, cfg: Params, alert_table: str, report_dir: str) -> None:
-    """Write the alert table, the summary and the reports of a run."""
-    spark = result.flat.sparkSession
-    docs = stage(result.documents, "documents")
-    try:
-        existing = spark.read.schema(docs.schema).parquet(alert_table)
-        merged = documents.upsert_alerts(documents.expire_alerts(existing, cfg), docs)
-    except Exception as missing:  # first run: there is no table yet
-        if "PATH_NOT_FOUND" not in str(missing):
-            raise
-        merged = documents.latest_documents(docs)
-    sinks.write_alert_table(merged, alert_table)
+    stats = stage(documents.upsert_stats(headers, rejected), "stats")
+    totals = summary.run_summary(by_source, certs, cfg).withColumns(
+        {name: stats.select(name).scalar() for name in stats.columns})
+    return Run(flat, rejected, headers, documents.document_certificates(flat, cfg), by_source, totals)
+
+
+def merged_alerts(result: Run, cfg: Params, alert_table: str) -> tuple[DataFrame, DataFrame]:
+    """(documents, certificates) of the alert table after this run."""
+    docs, certificates = stage(result.documents, "documents"), result.certificates
+    stored = sinks.read_alerts(docs.sparkSession, alert_table)
+    if stored is None:
+        existing, held = docs.limit(0), certificates.limit(0)
+    else:
+        existing, held = stored
+    merged = stage(documents.upsert_alerts(documents.expire_alerts(existing, cfg), docs), "merged")
+    return merged, documents.upsert_certificates(held, certificates, merged)
+
+
+def publish(result: Run, cfg: Params, alert_table: str, report_dir: str, ticket_details: DataFrame | None = None,
+            dry_run: bool = False) -> None:
+    """Write the alert table, unless this is a dry run, and the quarantined rows, the summary and the reports."""
+    if not dry_run:
+        sinks.write_alerts(*merged_alerts(result, cfg, alert_table), alert_table)
+    sinks.write_report(result.rejected, f"{report_dir}/quarantine")
     sinks.write_summary(result.summary, f"{report_dir}/summary")
-    sinks.write_source_reports(reports.source_report(result.flat, cfg), f"{report_dir}/by_source")
-    sinks.write_report(summary.source_report_counts(result.flat, cfg), f"{report_dir}/source_counts")
+    counts = stage(summary.source_report_counts(result.flat, cfg), "counts")
+    # a row per source specification
+    slugs = [r["source_slug"] for r in counts.select("source_slug").collect()]
+    sinks.write_source_reports(stage(reports.source_report(result.flat, cfg), "report"), slugs, f"{report_dir}/by_source")
+    sinks.write_report(counts, f"{report_dir}/source_counts")
     consolidated = f"{report_dir}/consolidated"
+    sinks.write_report(reports.has_action_required(result.flat, cfg), f"{consolidated}/status")
     sinks.write_report(summary.report_snapshot(result.summary_by_source), f"{consolidated}/snapshot")
-    sinks.write_report(reports.action_table(result.flat, cfg), f"{consolidated}/action_table")
+    sinks.write_report(reports.action_table(result.flat, cfg, ticket_details), f"{consolidated}/action_table")
     sinks.write_report(reports.action_table_details(result.flat, cfg), f"{consolidated}/action_table_details")
     sinks.write_report(reports.possible_match_table(result.flat, cfg), f"{consolidated}/possible_matches")
     sinks.write_report(reports.possible_match_certificates(result.flat, cfg),

@@ -56,7 +56,7 @@ REPLICA_SCHEMA = T.StructType(
     + [T.StructField(n, T.IntegerType()) for n in ("total", "available")]
 )
 
-# Superset of all source detail shapes, told apart by source_type.
+# Detail shapes of the known sources, told apart by source_type; specifications may add fields.
 DETAILS_FIELDS: dict[str, str] = {
     "domain": "string", "internal_domain": "string", "service_name": "string",
     "url": "string", "url_in": "string", "url_out": "string",

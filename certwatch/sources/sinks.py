@@ -1,19 +1,52 @@
 """Writers for the alert table, the run summary and the reports.
 
-Pipelines only return DataFrames, so a dry run is a run that calls none of these.
+Pipelines only return DataFrames; a dry run is one that leaves the alert table alone.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+from collections.abc import Iterable
 
-from certwatch.staging import stage
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+_LOG = "version string, written_at timestamp"
 
-def write_alert_table(df: DataFrame, path: str) -> None:
-    """Replace the alert table. The new content may be derived from the old."""
-    safe = stage(df, "alert-table")
-    safe.write.mode("overwrite").partitionBy("source").parquet(path)
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """The folder of the alert table's last complete version, if there is one."""
+    try:
+        log = spark.read.schema(_LOG).parquet(f"{path}/versions")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    version = log.agg(F.max_by("version", "written_at")).first()[0]
+    return f"{path}/{version}" if version else None
+
+
+def read_alerts(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame] | None:
+    """(documents, certificates) of the stored alert table, or None before its first version."""
+    folder = current_version(spark, path)
+    if folder is None:
+        return None
+    return spark.read.parquet(f"{folder}/documents"), spark.read.parquet(f"{folder}/certificates")
+
+
+def write_alerts(documents: DataFrame, certificates: DataFrame, path: str) -> None:
+    """Add a version of the alert table and then name it the current one.
+
+    Readers see the former version until both tables are complete, so a run that fails
+    midway changes nothing. Former versions are left to the owner of the folder.
+    """
+    spark = documents.sparkSession
+    version = f"version-{uuid.uuid4().hex}"
+    for name, table in (("documents", documents), ("certificates", certificates)):
+        table.write.partitionBy("source").parquet(f"{path}/{version}/{name}")
+    spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("written_at")).coalesce(1) \
+        .write.mode("append").parquet(f"{path}/versions")
 
 
 def write_summary(df: DataFrame, path: str) -> None:
@@ -21,9 +54,11 @@ def write_summary(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").json(path)
 
 
-def write_source_reports(report: DataFrame, path: str) -> None:
-    """One folder per source slug."""
-    report.write.mode("overwrite").partitionBy("source_slug").parquet(path)
+def write_source_reports(report: DataFrame, slugs: Iterable[str], path: str) -> None:
+    """One folder per source slug, also for a source without rows."""
+    for slug in slugs:
+        report.where(F.col("source_slug") == slug).drop("source_slug").write.mode("overwrite").parquet(
+            f"{path}/source_slug={slug}")
 
 
 def write_report(report: DataFrame, path: str) -> None:

@@ -10,9 +10,9 @@ from certwatch.config import DEFAULT_SPECS, Params, SourceSpec
 from certwatch.operators import documents, enrich, reports, summary
 from certwatch.operators.ranking import number_rows
 from certwatch.operators.validation import validate
-from certwatch.plans.run import publish, run
+from certwatch.plans.run import Run, merged_alerts, publish, run
 from certwatch.schema import SNAPSHOT_SCHEMA
-from certwatch.sources import snapshot
+from certwatch.sources import sinks, snapshot
 
 SF = "/root/testdata/sf0.001"
 
@@ -58,11 +58,10 @@ def test_acknowledgement_lookup(spark, cfg):
 
 
 def test_documents_hold_every_certificate(result, cfg):
-    docs = result.documents
-    assert docs.select(F.explode("certificates.id")).distinct().count() == result.flat.count()
-    small = documents.build_documents(result.flat, replace(cfg, document_part_rows=1))
-    assert small.select(F.explode("certificates.id")).distinct().count() == result.flat.count()
-    assert small.count() > docs.count()
+    per_document = result.certificates.groupBy("source", "upsert_key", "group_ord").agg(F.count("*").alias("n"))
+    assert sorted(map(str, per_document.collect())) == sorted(map(str, result.documents.select(
+        "source", "upsert_key", "group_ord", F.col("n_certs").alias("n")).collect()))
+    assert result.certificates.select("id").distinct().count() == result.flat.count()
     assert result.rejected.count() == 0
 
 
@@ -78,12 +77,35 @@ def test_upsert_is_idempotent(result):
 def test_publish_twice(result, cfg, spark, tmp_path):
     for _ in range(2):
         publish(result, cfg, str(tmp_path / "alerts"), str(tmp_path / "reports"))
-    stored = spark.read.parquet(str(tmp_path / "alerts"))
+    stored, certificates = sinks.read_alerts(spark, str(tmp_path / "alerts"))
     assert stored.count() == documents.latest_documents(result.documents).count()
-    assert spark.read.json(str(tmp_path / "reports/summary")).count() == 1
+    assert certificates.count() == stored.agg(F.sum("n_certs")).first()[0]
+    assert certificates.select("id").distinct().count() == certificates.count()
+    written = spark.read.json(str(tmp_path / "reports/summary")).collect()
+    assert [(r["upserted"], r["errors"]) for r in written] == [(result.documents.count(), 0)]
     assert {p.name for p in (tmp_path / "reports/consolidated").iterdir()} == {
-        "snapshot", "action_table", "action_table_details", "possible_matches",
+        "snapshot", "status", "action_table", "action_table_details", "possible_matches",
         "possible_match_certificates"}
+    assert spark.read.parquet(str(tmp_path / "reports/quarantine")).count() == 0
+    later = replace(cfg, as_of=cfg.as_of.replace(day=3))  # all stored alerts have expired by then
+    empty = Run(*(getattr(result, f).limit(0) for f in ("flat", "rejected", "documents", "certificates")),
+                result.summary_by_source, result.summary)
+    assert [t.count() for t in merged_alerts(empty, later, str(tmp_path / "alerts"))] == [0, 0]
+
+
+def test_dry_run_writes_reports_of_every_source(result, cfg, spark, tmp_path):
+    only = Run(result.flat.where("source = 'SSG'"), result.rejected, result.documents, result.certificates,
+               result.summary_by_source, result.summary)
+    tickets = reports.action_required(only.flat, cfg).select("id", F.lit("T-1").alias("text"))
+    publish(only, cfg, str(tmp_path / "alerts"), str(tmp_path / "reports"), tickets, dry_run=True)
+    assert not (tmp_path / "alerts").exists()
+    slugs = {p.name for p in (tmp_path / "reports/by_source").iterdir()}
+    assert len(slugs) == len(cfg.active_sources)
+    for slug in slugs:
+        rows = spark.read.parquet(str(tmp_path / "reports/by_source" / slug))
+        assert (rows.count() > 0) == (slug == "source_slug=ssg") and "summary" in rows.columns
+    table = spark.read.parquet(str(tmp_path / "reports/consolidated/action_table"))
+    assert [r[0] for r in table.select("ticket").distinct().collect()] == ["T-1"]
 
 
 def test_summary_zero_fills(result, cfg):
@@ -161,11 +183,15 @@ def test_snapshot_lifecycle(spark, cfg, tmp_path):
 
 
 def test_adding_a_source_needs_only_a_spec(spark, cfg):
-    extra = SourceSpec("Vault", ("sp_lob_domain",), ("sp_lob_domain",), ("domain",),
-                       {"domain": "sp_lob_domain"}, ("'Vault: '", "domain"), process_rank=6)
-    cfg = replace(cfg, specs=(*DEFAULT_SPECS, extra), active_sources=("Vault",), consolidated_sources=("Vault",))
-    certs = fx.certs(spark, SF).where("days_to_expiration < 200").withColumn("sp_name", F.lit("Vault")).withColumn(
+    name = "Ann's Vault"
+    extra = SourceSpec(name, ("sp_lob_domain",), ("sp_lob_domain",), ("lob",),
+                       {"lob": "sp_lob_domain", "days": "days_to_expiration"}, ("'Vault: '", "lob"), process_rank=6,
+                       detail_types={"days": "bigint"})
+    cfg = replace(cfg, specs=(*DEFAULT_SPECS, extra), active_sources=(name,), consolidated_sources=(name,))
+    certs = fx.certs(spark, SF).where("days_to_expiration < 200").withColumn("sp_name", F.lit(name)).withColumn(
         "sp_lob_domain", F.lit("lob"))
     out = run(certs, fx.acks(spark, SF), fx.replicas(spark, SF), cfg)
-    assert out.documents.count() == 1
+    stored = out.documents.collect()
+    assert [(r["upsert_key"], r["source_details"]["lob"]) for r in stored] == [(["=lob"], "lob")]
+    assert isinstance(stored[0]["source_details"]["days"], int) and stored[0]["source_details"]["source_type"] == name
     assert reports.action_table_details(out.flat, cfg).first()["summary"] == "Vault: lob"
