@@ -43,6 +43,8 @@ _SPARE = 2  # parts beyond the least number, so that empty parts in common do no
 _LEVELS = np.unique(np.round(4 * 2 ** (np.arange(80) / 2)).astype(np.int64))
 _SEARCHED = 1 << 20  # shingles in one local index
 _LED = 8  # sets from which a group is searched by its leaders first
+_SMALL_ROWS = 1 << 20  # rows of a few numbers that may be broadcast; more are shuffled
+_HELD, _ASKS = 1, 2
 
 
 def _sets(data: np.ndarray, offsets: np.ndarray, width: int) -> list[np.ndarray]:
@@ -210,27 +212,52 @@ class _Forest:
 
 def _search(percent: int):
     """The links found in each block, but for those that close a circle there."""
+    def batch_of(found: list[tuple[int, int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, names, sets, lists, forest = None, [], [], None, _Forest()
+        current, names, sets, asking, lists, forest = None, [], [], [], None, _Forest()
+
+        def ask(name: int, members: np.ndarray) -> list[tuple[int, int]]:
+            return [(names[i], name) for i in lists.search(members, percent).tolist() if forest.join(names[i], name)]
+
+        def ask_held() -> list[tuple[int, int]]:
+            nonlocal lists
+            if sets and lists is None:
+                lists = Lists(sets)
+            out = [link for i in asking for link in ask(names[i], sets[i])]
+            asking.clear()
+            return out
+
         for batch in batches:
             found: list[tuple[int, int]] = []
-            rows = zip(*(batch.column(c).to_pylist() for c in ("group", "block", "asks", "class", "members")))
-            for group, block, asks, name, members in rows:
+            rows = zip(*(batch.column(c).to_pylist() for c in ("group", "block", "role", "class", "members")))
+            for group, block, role, name, members in rows:
                 if (group, block) != current:
-                    current, names, sets, lists, forest = (group, block), [], [], None, _Forest()
+                    found += ask_held()
+                    current, names, sets, asking, lists, forest = (group, block), [], [], [], None, _Forest()
                 members = np.frombuffer(members, np.uint64)
-                if not asks:
+                if role & _HELD:  # those come first
+                    if role & _ASKS:
+                        asking.append(len(names))
                     names.append(name)
                     sets.append(members)
-                elif sets:
-                    lists = lists or Lists(sets)
-                    found += [(names[i], name) for i in lists.search(members, percent).tolist() if forest.join(names[i], name)]
+                else:
+                    found += ask_held()
+                    found += ask(name, members) if sets else []
             if found:
-                yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+                yield batch_of(found)
+        if found := ask_held():
+            yield batch_of(found)
 
     return run
 
 
+def _where_small(df: DataFrame) -> DataFrame:
+    """``df``, a staged table of a few numbers per row, broadcast if it has at most 2^20 rows."""
+    return F.broadcast(df) if df.count() <= _SMALL_ROWS else df
+
+
 def _sets_of(wanted: DataFrame, rows: DataFrame, chosen: DataFrame, width: int) -> DataFrame:
     """(class, members) of the ``wanted`` classes, some of them more than once, and of a few others.
 
@@ -255,19 +282,20 @@ def _links(asking: DataFrame, grouped: DataFrame, rows: DataFrame, chosen: DataF
     """The links of each ``asking`` (class, group) with the sets of that group, staged.
 
     ``grouped`` (class, group, size) is every set's group. A group's lists are dealt into blocks
-    of about a million shingles; who asks it asks every block.
+    of about a million shingles; who asks it asks every block. A set that both is in a block and
+    asks it is sent there once.
     """
     blocks = grouped.groupBy("group").agg(F.ceil(F.sum("size") / _SEARCHED).cast("int").alias("blocks")).select(
         F.col("group").alias("_group"), "blocks")
     needed = asking.select(F.col("group").alias("_asked")).distinct()
     held = grouped.join(needed, F.col("group") == F.col("_asked"), "left_semi").join(blocks, F.col("group") == F.col("_group")).select(
-        "group", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int").alias("block"), F.lit(0).alias("asks"), "class")
+        "group", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int").alias("block"), F.lit(_HELD).alias("role"), "class")
     asked = asking.join(blocks, F.col("group") == F.col("_group")).select(
-        "group", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("asks"), "class")
-    both = stage(held.unionByName(asked), "asked")
+        "group", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(_ASKS).alias("role"), "class")
+    both = stage(held.unionByName(asked).groupBy("group", "block", "class").agg(F.bit_or("role").alias("role")), "asked")
     known = _sets_of(both.select(F.col("class").alias("_wanted")), rows, chosen, width).withColumnRenamed("class", "_class")
-    met = both.join(known, F.col("class") == F.col("_class")).drop("_class")
-    return stage(met.repartition("group", "block").sortWithinPartitions("group", "block", "asks", "class")
+    met = known.join(_where_small(both), F.col("class") == F.col("_class")).drop("_class")
+    return stage(met.repartition("group", "block").sortWithinPartitions("group", "block", F.col("role") == _ASKS, "class")
                  .mapInArrow(_search(percent), "a long, b long"), "links")
 
 
@@ -343,17 +371,20 @@ def _unjoined(shared: DataFrame, joined: DataFrame, grouped: DataFrame, percent:
     linked sets of a and b <= a shingles differ in at most d = 2(100 - percent)a / (100 + percent)
     shingles and so in d parts; of the k - d others only empty ones may have no signature.
     """
-    placed = (shared.join(joined, F.col("class") == F.col("node"), "left")
-              .join(grouped.select(F.col("class").alias("_class"), "group"), F.col("class") == F.col("_class"))
-              .select("signature", "class", "size", "parts", "hidden", "group", F.coalesce("component", "class").alias("component")))
-    several = placed.groupBy("signature").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).where(
-        "_low < _high").select(F.col("signature").alias("_signature"))
-    open_ = stage(placed.join(several, F.col("signature") == F.col("_signature"), "left_semi"), "open")
-    present = open_.groupBy("signature", F.col("group").alias("_group")).agg(
-        F.min("component").alias("_low"), F.max("component").alias("_high"), F.min("size").alias("_size")).withColumnRenamed(
-        "signature", "_signature")
-    asks = open_.where("parts > 0").drop("group").join(present, F.col("signature") == F.col("_signature")).where(
-        ((F.col("_low") != F.col("component")) | (F.col("_high") != F.col("component"))) & (F.col("_size") <= F.col("size")))
+    places = stage(grouped.select(F.col("class").alias("_class"), "group").join(joined, F.col("_class") == F.col("node"), "left")
+                   .select("_class", "group", F.coalesce("component", "_class").alias("component")), "places")
+    at = Window.partitionBy("signature")
+    open_ = stage(shared.join(_where_small(places), F.col("class") == F.col("_class")).drop("_class")
+                  .withColumns({"low": F.min("component").over(at), "high": F.max("component").over(at)})
+                  .where("low < high").drop("low", "high"), "open")
+    # dealt by signature alone, as the join below is
+    present = open_.select(F.col("signature").alias("_signature"), F.col("group").alias("_group"), "component", "size").repartition(
+        "_signature").groupBy("_signature", "_group").agg(
+        F.min("component").alias("_low"), F.max("component").alias("_high"), F.min("size").alias("_size"), F.max("size").alias("_largest"))
+    asks = open_.where("parts > 0").select("signature", "class", "size", "parts", "hidden", "component").join(
+        present, F.col("signature") == F.col("_signature")).where(
+        ((F.col("_low") != F.col("component")) | (F.col("_high") != F.col("component"))) & (F.col("_size") <= F.col("size"))
+        & (100 * F.col("_largest") >= percent * F.col("size")))
     differ = F.floor(2 * (100 - percent) * F.col("size") / (100 + percent))
     needed: Column = F.col("parts") - differ - F.col("hidden")
     return stage(asks.groupBy("class", F.col("_group").alias("group")).agg(
