@@ -45,6 +45,7 @@ _SEARCHED = 1 << 20  # shingles in one local index
 _LED = 8  # sets from which a group is searched by its leaders first
 _SMALL_ROWS = 1 << 20  # rows of a few numbers that may be broadcast; more are shuffled
 _HELD, _ASKS = 1, 2
+_WIDE = 4  # groups above which a signature is left out of a set's search as long as the others suffice
 
 
 def _sets(data: np.ndarray, offsets: np.ndarray, width: int) -> list[np.ndarray]:
@@ -370,23 +371,33 @@ def _unjoined(shared: DataFrame, joined: DataFrame, grouped: DataFrame, percent:
     The larger of two sets asks, and the parts counted are those at its own number of them, k:
     linked sets of a and b <= a shingles differ in at most d = 2(100 - percent)a / (100 + percent)
     shingles and so in d parts; of the k - d others only empty ones may have no signature.
+
+    What many groups have, a common passage say, is left out: of a set that must share ``needed``
+    signatures up to needed - 1 may be, the widest, and a link still has the rest in common.
     """
     places = stage(grouped.select(F.col("class").alias("_class"), "group").join(joined, F.col("_class") == F.col("node"), "left")
                    .select("_class", "group", F.coalesce("component", "_class").alias("component")), "places")
     at = Window.partitionBy("signature")
     open_ = stage(shared.join(_where_small(places), F.col("class") == F.col("_class")).drop("_class")
                   .withColumns({"low": F.min("component").over(at), "high": F.max("component").over(at)})
-                  .where("low < high").drop("low", "high"), "open")
+                  .where("low < high").drop("low", "high")
+                  .withColumn("_nth", F.dense_rank().over(at.orderBy("group"))).withColumn("width", F.max("_nth").over(at))
+                  .drop("_nth"), "open")
     # dealt by signature alone, as the join below is
     present = open_.select(F.col("signature").alias("_signature"), F.col("group").alias("_group"), "component", "size").repartition(
         "_signature").groupBy("_signature", "_group").agg(
         F.min("component").alias("_low"), F.max("component").alias("_high"), F.min("size").alias("_size"), F.max("size").alias("_largest"))
-    asks = open_.where("parts > 0").select("signature", "class", "size", "parts", "hidden", "component").join(
-        present, F.col("signature") == F.col("_signature")).where(
+    differ = F.floor(2 * (100 - percent) * F.col("size") / (100 + percent))
+    own = Window.partitionBy("class")
+    left_out = (F.col("width") > _WIDE) & (F.col("_nth") < F.col("needed"))
+    searched = (
+        open_.where("parts > 0").withColumn("needed", F.col("parts") - differ - F.col("hidden"))
+        .withColumns({"_nth": F.row_number().over(own.orderBy(F.col("width").desc(), "signature")), "_all": F.count(F.lit(1)).over(own)})
+        .where("_all >= needed").withColumn("_out", F.sum(left_out.cast("int")).over(own)).where(~left_out)
+        .select("signature", "class", "size", "component", (F.col("needed") - F.col("_out")).alias("needed")))
+    asks = searched.join(present, F.col("signature") == F.col("_signature")).where(
         ((F.col("_low") != F.col("component")) | (F.col("_high") != F.col("component"))) & (F.col("_size") <= F.col("size"))
         & (100 * F.col("_largest") >= percent * F.col("size")))
-    differ = F.floor(2 * (100 - percent) * F.col("size") / (100 + percent))
-    needed: Column = F.col("parts") - differ - F.col("hidden")
     return stage(asks.groupBy("class", F.col("_group").alias("group")).agg(
-        F.count(F.lit(1)).alias("n"), F.max(needed).alias("needed"))
+        F.count(F.lit(1)).alias("n"), F.max("needed").alias("needed"))
         .where("n >= needed").select("class", "group"), "unjoined")
