@@ -217,6 +217,19 @@ def test_near_duplicates_lose_no_link(docs_of, width, percent):
     assert got == joined(texts, width, percent)
 
 
+def test_near_duplicates_with_wide_signatures_left_out(docs_of, monkeypatch):
+    monkeypatch.setattr(ngram_join, "_WIDE", 0)
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(300)]
+    passage, texts = rng.choices(words, k=90), []
+    for g in range(25):
+        own = rng.choices(words, k=rng.choice([10, 40, 150]))
+        for c in range(6):  # each follows its predecessor, so that some link through others only
+            own[rng.randrange(len(own))] = rng.choice(words)
+            texts.append((100 * g + c, " ".join(own + passage)))
+    assert sorted(rows(ngram_join.near_duplicates(docs_of(texts), 4, 85)), key=str) == joined(texts, 4, 85)
+
+
 def test_near_duplicates_of_nothing(docs_of):
     assert ngram_join.near_duplicates(docs_of([])).count() == 0
 
