@@ -1,9 +1,13 @@
 """Licence recognition by sentences, in DataFrame functions only.
 
-Texts are cut into sentences at line ends and at ``. ! ?`` before white space; a
-sentence is lower-cased (A-Z) and every run of other characters than a-z and 0-9
-becomes one space. Sentences that are known give their number; the numbers of a
-document, in order, are matched with the rules in order. A rule matches where its
+Texts are lower-cased (A-Z) and every run of other characters than a-z and 0-9
+becomes one space. Sentences end at ``. ! ?`` before white space and at blank lines.
+They may also begin or end at a line end or after ``:`` or ``;`` but run on
+there too, so notices are known wrapped, behind comment signs and on one line. Marks of a list
+(``1.``, ``(b)``) where a sentence may begin are no part of it.
+
+Sentences that are known, in their standard or another usual wording, give their number; short notices
+only as whole sentences, words of a licence itself wherever they stand. The numbers of a document, in order, are matched with the rules in order. A rule matches where its
 numbers stand next to one another, and what it matched is not matched again,
 so a longer licence text comes before a part of it.
 
@@ -15,8 +19,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SENTENCE_END = r"[.!?]+(\s+|$)|\n+"
-
 # fixed values: normalised sentences of common licence notices; a sentence's number is its place
 SENTENCES = (
     "licensed under the apache license version 2 0",
@@ -25,18 +27,53 @@ SENTENCES = (
     "licensed under cc by nc 4 0",
     "licensed under cc by 4 0",
     "licensed under cc by sa 4 0",
-    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files",
+    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions",
     "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software",
     "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
     "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer",
-    "redistributions in binary form must reproduce the above copyright notice",
-    "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products",
-    "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license",
+    "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution",
+    "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
     "you should have received a copy of the gnu general public license along with this program",
+    "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license",
+    "apache license version 2 0 january 2004",
+    "gnu general public license version 3 29 june 2007",
+    "this work is licensed under a creative commons attribution noncommercial 4 0 international license",
+    "this work is licensed under a creative commons attribution 4 0 international license",
+    "this work is licensed under a creative commons attribution sharealike 4 0 international license",
+    "all advertising materials mentioning features or use of this software must display the following acknowledgement",
 )
 
+# the sentences below this number are known only whole, the longer ones also inside a sentence
+WHOLE = 6
+
+# fixed values: patterns of other usual wordings of a sentence, by its number; ``WORDS`` stands for a name
+_DISCLAIMER = "this list of conditions and the following disclaimers?"
+_ENDORSE = "be used to endorse or promote products derived from (?:this|the) software without (?:specific )?prior (?:written )?permission"
+VARIANTS = {n: tuple(v.replace("WORDS ", "(?:[a-z0-9]+[|/ ]){1,15}?") for v in variants) for n, variants in {
+    6: ("permission is hereby granted free of charge to any person obtaining a copy of this software and (?:or )?(?:its )?(?:associated )?documentation (?:source )?files? the software to deal in the software without restriction including without limitation (?:on )?the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions?",),
+    7: ("the above copyright notices? and this permission notice (?:including the next paragraph )?shall be included in (?:all|the) copies or substantial portions of the software",),
+    8: ("redistribution and use (?:of WORDS )?in source and binary forms (?:of WORDS )?with or without modification (?:of WORDS )?(?:are|is) permitted provided that the following conditions are met",),
+    9: (f"redistributions? of source code must retain the (?:above |original )?copyright notices? {_DISCLAIMER}",),
+    10: (f"redistributions? in binary form must reproduce the (?:above |original )?copyright notices? {_DISCLAIMER} in the documentation and or (?:any )?other materials provided with the distribution",
+         "redistributions? in binary form must reproduce the (?:above |original )?copyright notices? this list of conditions and the disclaimer that follows these conditions in the documentation and or other materials provided with the distribution"),
+    11: (f"neither the names? (?:of )?WORDS (?:may|nor WORDS may) {_ENDORSE}",
+         f"the names? WORDS (?:may|must) not {_ENDORSE}"),
+    12: ("is free software you (?:can|may) redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation (?:either )?version 3",),
+    13: ("you should have received a copy of the gnu general public license (?:along|together) with",),
+    14: ("licensed under the apache license version 2 0 the license you may not use (?:this|these|the) (?:WORDS )?except in (?:compliance|accordance) with the license",
+         "licenses? (?:this|these) (?:files?|work|software) (?:to you )?under the apache license version 2 0 the license you may not use (?:this|these) (?:files?|work|software) except in compliance with the license"),
+    15: ("apache license[|/ ]version 2 0[|/ ]january 2004",),
+    16: ("gnu general public license[|/ ]version 3[|/ ]29 june 2007",),
+    17: ("licensed under (?:a|the) creative commons attribution non ?commercial 4 0 (?:international )?(?:public )?license",),
+    18: ("licensed under (?:a|the) creative commons attribution 4 0 (?:international )?(?:public )?license",),
+    19: ("licensed under (?:a|the) creative commons attribution share ?alike 4 0 (?:international )?(?:public )?license",),
+    20: ("all advertising materials mentioning features or use of this software must display the following acknowledge?ment",),
+}.items()}
+
 # fixed values: licence and the sentence numbers it needs, in the order they are tried
 RULES = (
+    ("BSD-4-Clause", (8, 9, 10, 20, 11)),
     ("BSD-3-Clause", (8, 9, 10, 11)),
     ("BSD-2-Clause", (8, 9, 10)),
     ("MIT", (6, 7)),
@@ -47,27 +84,51 @@ RULES = (
     ("CC-BY-NC-4.0", (3,)),
     ("CC-BY-SA-4.0", (5,)),
     ("CC-BY-4.0", (4,)),
+    ("Apache-2.0", (14,)),
+    ("Apache-2.0", (15,)),
+    ("GPL-3.0", (16,)),
+    ("CC-BY-NC-4.0", (17,)),
+    ("CC-BY-SA-4.0", (19,)),
+    ("CC-BY-4.0", (18,)),
 )
 
+# steps from lower-cased text to words with ``|`` where a sentence ends and ``/`` where it may end
+_STEPS = (
+    (r"(^|\n|[.:;!?]\s)[^a-z0-9\n]{0,20}(?:[0-9]{1,2}|[a-z]|i{2,3})[.)][ \t]+", "$1 "),
+    (r"[.!?](?=\s|$)", "|"),
+    (r"[:;](?=[ \t]+\S)|\n", "/"),
+    (r"[^a-z0-9|/]+", " "),
+    (r" ?[|/][ |/]*[|/] ?", "|"),
+    (r" ?([|/]) ?", "$1"),
+)
+
+
+def _pattern(number: int) -> str:
+    return "(?:" + "|".join((*VARIANTS.get(number, ()), SENTENCES[number])).replace(" ", "[ /]").replace("[|/[ /]]", "[|/ ]") + ")"
+
 
 def sentence_numbers(text: Column) -> Column:
     """The numbers of the known sentences of a text, in order."""
-    low = F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    known = F.array(*[F.lit(s) for s in SENTENCES])
-    place = F.transform(F.split(low, SENTENCE_END), lambda s: F.array_position(
-        known, F.trim(F.regexp_replace(s, "[^a-z0-9]+", " "))).cast("int") - 1)
-    return F.filter(place, lambda n: n >= 0)
+    words = F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ|/", "abcdefghijklmnopqrstuvwxyz  ")
+    words = F.concat(F.lit("\n\n"), words, F.lit("\n\n"))
+    for pattern, by in _STEPS:
+        words = F.regexp_replace(words, pattern, by)
+    whole, longer = "|".join(map(_pattern, range(WHOLE))), "|".join(map(_pattern, range(WHOLE, len(SENTENCES))))
+    known = f"(?<=[|/ ])(?:{longer})(?=[|/ ])|(?<=[|/])(?:{whole})(?=[|/])"
+    found = F.regexp_extract_all(words, F.lit(known), F.lit(0))
+    return F.transform(found, lambda s: F.coalesce(*[
+        F.when(F.rlike(s, F.lit(f"^{_pattern(n)}$")), n) for n in range(len(SENTENCES))]))
 
 
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with sentence_numbers array<int> and licences array<string>, in rule order, without repeats."""
     numbered = docs.withColumn("sentence_numbers", sentence_numbers(F.col(text)))
-    left = F.concat(F.lit(";"), F.array_join(F.transform("sentence_numbers", lambda n: F.concat(n.cast("string"), F.lit(";"))), ""))
+    left = F.array_join(F.transform("sentence_numbers", lambda n: F.concat(F.lit(";"), n.cast("string"), F.lit(";"))), "")
     found = []
     numbered = numbered.withColumn("_left", left)
     rest = F.col("_left")
     for name, numbers in RULES:
-        wanted = ";" + "".join(f"{n};" for n in numbers)
+        wanted = "".join(f";{n};" for n in numbers)
         found.append(F.when(F.contains(rest, F.lit(wanted)), F.lit(name)))
         rest = F.replace(rest, F.lit(wanted), F.lit(";-;"))
     return numbered.withColumn("licences", F.array_distinct(F.filter(F.array(*found), lambda x: x.isNotNull()))).drop("_left")

@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -257,6 +258,38 @@ def test_licences(docs_of):
     assert licences.scan(docs_of([])).count() == 0
 
 
+def test_licences_own_wording_wrapped_and_unwrapped(docs_of):
+    bsd = Path("/usr/share/common-licenses/BSD").read_text()
+    apache, gpl = (Path(f"/usr/share/common-licenses/{n}").read_text() for n in ("Apache-2.0", "GPL-3"))
+    apache_header = apache[apache.index("   Copyright [yyyy]"):]
+    gpl_header = gpl[gpl.index("    This program is free software: you"):gpl.index("Also add information")]
+    mit = """Copyright (c) 2020 Someone
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+"""
+    two = bsd[:bsd.index("3. Neither")] + bsd[bsd.index("THIS SOFTWARE"):]
+    four = bsd.replace("3. Neither", "3. All advertising materials mentioning features or use of this software\n"
+                       "   must display the following acknowledgement: This product includes software.\n4. Neither")
+    cases = [(bsd, ["BSD-3-Clause"]), (two, ["BSD-2-Clause"]), (four, ["BSD-4-Clause"]), (bsd + bsd, ["BSD-3-Clause"]),
+             (bsd.replace("the University nor", "A. B. Co., Inc. nor"), ["BSD-3-Clause"]), (mit, ["MIT"]),
+             (apache, ["Apache-2.0"]), (apache_header, ["Apache-2.0"]), (gpl, ["GPL-3.0"]), (gpl_header, ["GPL-3.0"]),
+             (gpl_header.replace("version 3", "version 2"), []), (bsd.replace("documentation", "papers"), [])]
+    layouts = (lambda t: t, lambda t: " ".join(t.split()), lambda t: t.replace("\n", "\r\n"),
+               lambda t: "\n\n".join(" ".join(p.split()) for p in re.split(r"\n\s*\n", t)),
+               lambda t: "".join(f" * {line}\n" for line in t.split("\n")), lambda t: "".join(f"# {line}\n" for line in t.split("\n")))
+    texts = [(100 * i + k, layout(text)) for i, (text, _) in enumerate(cases) for k, layout in enumerate(layouts)]
+    for doc_id, found in rows(licences.scan(docs_of(texts)).select("doc_id", "licences")):
+        assert found == cases[doc_id // 100][1], (doc_id, dict(texts)[doc_id][:200])
+
+
 # --- 7 ---
 
 def test_vector_search_recall_and_edges(spark):
