@@ -129,11 +129,9 @@ class _Plan:
                     found = self.dominating(longest)
                     if found is None:
                         break
+                    # fewer pieces leave other sets fewer choices, so the proof holds while the set has its own
                     uses = {x: found.count(x) for x in found}
-                    times = min(int(self.counts[x]) // n for x, n in uses.items())
-                    if len(found) != 1 and sum(found) != self.size:
-                        times = 1  # the proof holds for the counts as they are now
-                    self.fix(found, times)
+                    self.fix(found, min(int(self.counts[x]) // n for x, n in uses.items()))
                     changed = True
 
     def best_fit(self) -> None:
@@ -157,10 +155,16 @@ class _Plan:
 
 
 def plan_sequences(counts: np.ndarray, size: int) -> list[tuple[int, list[int]]]:
-    """Patterns for ``counts[length]`` pieces of each length up to ``size``."""
+    """Patterns for ``counts[length]`` pieces of each length up to ``size``, at most six for each length in use.
+
+    A fixed set leaves fewer of some member than it takes, at most three; a length
+    placed best-fit opens or splits at most three groups.
+    """
     plan = _Plan(counts, size)
     plan.reduce()
     plan.best_fit()
+    if len(plan.patterns) > 6 * np.count_nonzero(counts):
+        raise RuntimeError(f"{len(plan.patterns)} patterns for {np.count_nonzero(counts)} lengths")
     return plan.patterns
 
 

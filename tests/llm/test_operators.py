@@ -362,6 +362,20 @@ def test_dominance_reduction_is_optimal():
         assert sum(t for t, _ in plan.patterns) + best(left, size) == best(lengths, size)
 
 
+def test_plan_grows_with_lengths_not_with_pieces():
+    rng = random.Random(6)
+    for least in (1, 300, 600):
+        counts = np.zeros(2049, np.int64)
+        for x in [1400, 600, *(rng.randint(least, 2048) for _ in range(30))]:
+            counts[x] += rng.randint(1, 100_000)
+        patterns = packing.plan_sequences(counts, 2048)
+        assert len(patterns) <= 6 * np.count_nonzero(counts)
+        assert (sum(t * np.bincount(x, minlength=2049) for t, x in patterns) == counts).all()
+    counts = np.zeros(2049, np.int64)
+    counts[[1400, 600]] = 1_000_000
+    assert packing.plan_sequences(counts, 2048) == [(1_000_000, [1400, 600])]
+
+
 # --- 9 ---
 
 PATTERNS = (("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
