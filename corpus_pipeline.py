@@ -28,12 +28,17 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each group; five words, similarity 0.8.
 
-    Of rows that repeat an id one stays; documents without an id stay once per text.
+    Rows are told apart by a 64-bit hash of id and text, so of rows that repeat an id only
+    those go whose texts are linked or equal. Documents without an id come last in
+    their group, and stay once per text.
     """
-    groups = ngram_join.near_duplicates(docs, width=5, percent=80)
-    kept = groups.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_kept")).distinct()
-    named = docs.where(F.col("doc_id").isNotNull()).join(kept, F.col("doc_id") == F.col("_kept"), "left_semi")
-    return named.dropDuplicates(["doc_id"]).unionByName(docs.where(F.col("doc_id").isNull()).dropDuplicates(["text"]))
+    row = F.xxhash64("doc_id", F.col("doc_id").isNull(), "text", F.col("text").isNull())
+    groups = ngram_join.near_duplicates(docs.select(row.alias("doc_id"), "text"), width=5, percent=80)
+    ids = docs.select(row.alias("_row"), F.col("doc_id").alias("_id")).distinct()
+    first = groups.select("doc_id", "component_id").distinct().join(ids, F.col("doc_id") == F.col("_row")).groupBy(
+        "component_id").agg(F.min(F.struct(F.col("_id").isNull(), "_id", "_row")).alias("first"))
+    kept = docs.withColumn("_key", row).join(first.select("first._row"), F.col("_key") == F.col("_row"), "left_semi")
+    return kept.groupBy("_key").agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("_first")).select("_first.*")
 
 
 def reject_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

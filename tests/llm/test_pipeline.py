@@ -38,3 +38,17 @@ def test_stages_take_odd_rows(spark, docs_of):
         for name, function in corpus_pipeline.STAGES:
             docs = stage(function(spark, docs, SF), name)
         docs.count()
+
+
+def test_only_linked_rows_go_as_near_duplicates(spark, docs_of):
+    words = [f"w{i}" for i in range(400)]
+    one, two, three = (" ".join(words[i:i + 100]) for i in (0, 100, 200))
+    near = f"{one} more"
+    rows = [(5, one), (5, two), (5, two), (3, near), (None, three), (None, f"{three} more"), (None, three), (9, f"{three} again"),
+            (7, "short"), (7, "other"), (None, None), (None, None), (None, "x"), (None, f"{words[300]} {' '.join(words[300:])}"), (8, "")]
+    want = {(5, two), (3, near), (9, f"{three} again"), (7, "short"), (7, "other"), (None, None), (None, "x"), rows[13], (8, "")}
+    for order in (rows, rows[::-1]):
+        kept = corpus_pipeline.keep_one_of_near_duplicates(spark, docs_of(order).repartition(3), SF)
+        assert kept.columns == docs_of(order).columns
+        got = [(r["doc_id"], r["text"]) for r in kept.collect()]
+        assert len(got) == len(want) and set(got) == want
