@@ -17,10 +17,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from certwatch.llm.batches import mix, slices, word_bounds, word_hashes
+from certwatch.staging import stage
 
 SAMPLE_ROWS = 40_000  # of the labelled rows, at most
 _PREFIXES = (4, 5, 6)
@@ -233,13 +234,20 @@ def _features(lexicon: Lexicon):
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Learn from at most ``sample_rows`` labelled rows that are not held out.
 
-    The sample is the rows with the least hash of doc_id, and so small that it is broadcast.
+    The sample is the rows with the least hash of doc_id, and so small that it is broadcast. Where ids
+    repeat, each label counts once for each different text of its id, and of these
+    the least hashes of id and text are taken.
     """
     known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    same = Window.partitionBy("_id", "toxic").orderBy("_id")
     sample = known.select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("toxic")).orderBy(
-        F.xxhash64("_id"), "toxic").limit(sample_rows)
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id")).select(
-        "text", "toxic", F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(8)).cast("int").alias("part"))
+        F.xxhash64("_id"), "toxic").limit(sample_rows).withColumn("_nth", F.row_number().over(same))
+    keys = ["_id", "toxic", "_nth", "_text"]
+    met = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id")).withColumn(
+        "_text", F.xxhash64(F.coalesce("text", F.lit(""))))
+    chosen = stage(met.select(*keys).distinct().orderBy(F.xxhash64("_id", "_text"), *keys).limit(sample_rows), "sample")
+    rows = met.join(F.broadcast(chosen), keys, "left_semi").dropDuplicates(keys).select(
+        "text", "toxic", F.pmod("_text", F.lit(8)).cast("int").alias("part"))
     # copies fall into one part and count once for the lexicon
     counts = (rows.where(F.col("part") < 4).dropDuplicates(["text"]).select("text", "toxic")
               .mapInArrow(_count_terms, "term long, toxic long, clean long")
@@ -258,6 +266,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     if not 0 < y[fitting].sum() < fitting.sum():
         return Model(lexicon, None, None, share)
     x = np.stack(table["x"].to_numpy())
+    order = np.lexsort([*x.T, y, part])  # sums of floats depend on it
+    x, y, fitting, held = x[order], y[order], fitting[order], held[order]
     trees = BoostedTrees().fit(x[fitting], y[fitting])
     if not 0 < y[held].sum() < held.sum():
         held = fitting

@@ -182,6 +182,25 @@ def test_toxicity_edges(spark, docs_of):
     assert right > ((chance[3000:] > 0.5) == (y[3000:] > 0.5)).mean() - 0.08
 
 
+def test_toxicity_sample_is_bounded_with_repeated_ids(spark, docs_of, monkeypatch):
+    hot = next(i for i in range(1, 100) if not spark.range(i, i + 1).where(toxicity.held_out(F.col("id"))).count())
+    docs = docs_of([(hot, f"text {i % 300}") for i in range(1200)])
+    labels = spark.createDataFrame([(hot, 1), (hot, 0), (hot, 0)], "doc_id long, toxic int")
+    seen = []
+
+    class Trees(toxicity.BoostedTrees):
+        def fit(self, x, y):
+            seen.append((len(x), int(y.sum())))
+            return super().fit(x, y)
+
+    monkeypatch.setattr(toxicity, "BoostedTrees", Trees)
+    toxicity.fit(docs, labels)
+    toxicity.fit(docs, labels, sample_rows=100)
+    fitted = sum(r["part"] in (4, 5, 6) for r in spark.range(300).select(
+        F.pmod(F.xxhash64(F.concat(F.lit("text "), F.col("id").cast("string"))), F.lit(8)).alias("part")).collect())
+    assert seen[0] == (3 * fitted, fitted) and seen[1][0] <= 100
+
+
 # --- 5 ---
 
 def joined(texts, width, percent):
