@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from certwatch.llm.licences import RULES, SENTENCES
 from certwatch.llm.queries import URL_RULES
+from certwatch.llm.spelling import CRC_TABLE
 
 _CAPITALS, _SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -86,4 +87,31 @@ m AS (SELECT page_id, rule_host || rule_path AS rule, verdict,
 SELECT p.page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM p LEFT JOIN m ON m.page_id = p.page_id AND k = 1"""
 
 
-LLM_ORACLE = {"op1_decontamination": OP1, "op3_chat": OP3, "op5_ngram_join": OP5, "op6_licences": _op6(), "op10_url_rules": _op10()}
+def _op11() -> str:
+    table = "[" + ", ".join(str(x) for x in CRC_TABLE.tolist()) + "]"
+    return rf"""
+WITH RECURSIVE table_ AS (SELECT {table}::BIGINT[] AS t),
+runs AS (SELECT doc_id, run, count(*) AS c FROM (SELECT doc_id, unnest(regexp_extract_all({_low("text")}, '[A-Za-zÀ-ÿ]+')) AS run FROM documents)
+         GROUP BY ALL),
+bytes AS (SELECT run, c, flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''),
+            lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT] ELSE [192 | (unicode(x) >> 6), 128 | (unicode(x) & 63)]::BIGINT[] END)) AS b FROM runs),
+sums AS (SELECT run, c, xor(list_reduce(list_prepend(4294967295::BIGINT, b), lambda s, x: xor(s >> 8, t[(xor(s, x) & 255) + 1])), 4294967295::BIGINT) AS h
+         FROM bytes, table_),
+seen AS (SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word, c FROM sums),
+words AS MATERIALIZED (SELECT word, sum(c)::BIGINT AS n FROM seen WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3),
+places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words),
+holes AS (SELECT word, n, substr(word, 1, i - 1) || '*' || substr(word, i + 1) AS hole FROM places),
+cut AS (SELECT DISTINCT word, n, substr(word, 1, i - 1) || substr(word, i + 1) AS shorter FROM places),
+inserted AS (SELECT cut.word AS a, cut.n AS a_n, words.word AS b, words.n AS b_n FROM cut JOIN words ON words.word = cut.shorter),
+near AS (SELECT x.word AS a, y.word AS b, y.n AS b_n FROM holes x JOIN holes y ON x.hole = y.hole AND x.word <> y.word
+         UNION ALL SELECT a, b, b_n FROM inserted UNION ALL SELECT b, a, a_n FROM inserted),
+best AS (SELECT a, count(*) AS n_near, min(struct_pack(less := -b_n, near := b)) AS best FROM near GROUP BY a),
+forms AS MATERIALIZED (SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN -best.less >= 2 * n THEN best.near END AS form,
+            CASE WHEN -best.less >= 2 * n THEN -best.less END::BIGINT AS form_n FROM words LEFT JOIN best ON a = word),
+steps AS (SELECT word, word AS at FROM words UNION ALL SELECT steps.word, forms.form FROM steps JOIN forms ON forms.word = steps.at WHERE forms.form IS NOT NULL),
+roots AS (SELECT steps.word, steps.at AS root FROM steps JOIN forms ON forms.word = steps.at WHERE forms.form IS NULL)
+SELECT forms.word, n, form, form_n, n_near, root FROM forms JOIN roots USING (word)"""
+
+
+LLM_ORACLE = {"op1_decontamination": OP1, "op3_chat": OP3, "op5_ngram_join": OP5, "op6_licences": _op6(), "op10_url_rules": _op10(),
+              "op11_spelling": _op11()}
