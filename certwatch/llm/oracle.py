@@ -113,5 +113,27 @@ roots AS (SELECT steps.word, steps.at AS root FROM steps JOIN forms ON forms.wor
 SELECT forms.word, n, form, form_n, n_near, root FROM forms JOIN roots USING (word)"""
 
 
+OP12 = rf"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_low("text")}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS MATERIALIZED (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+f AS MATERIALIZED (SELECT lang, m, phrase, count(*) AS f FROM (
+        SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase
+        FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM w, (SELECT unnest([1, 2, 3, 4]) AS m) WHERE len(w) >= m))
+      GROUP BY ALL HAVING count(*) >= 30),
+n AS (SELECT lang, sum(len(w)) AS n FROM w GROUP BY lang),
+cuts AS (SELECT lang, phrase, m, f AS a, k, array_to_string(string_split(phrase, ' ')[1:k], ' ') AS head,
+                array_to_string(string_split(phrase, ' ')[k + 1:m], ' ') AS rest
+         FROM (SELECT *, unnest(range(1, m)) AS k FROM f WHERE m > 1)),
+cut AS (SELECT c.lang, c.phrase, c.m, c.a, c.k, x.f AS l, y.f AS r, (2000000::HUGEINT * c.a) // (x.f + y.f) AS score
+        FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = c.head JOIN f y ON y.lang = c.lang AND y.phrase = c.rest),
+weakest AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (SELECT lang, f, m, array_to_string(string_split(phrase, ' ')[i:i + s - 1], ' ') AS inner_
+           FROM (SELECT *, unnest(range(1, m - s + 2)) AS i FROM (SELECT *, unnest(range(2, m)) AS s FROM f WHERE m > 2))),
+alone AS (SELECT * FROM weakest w WHERE NOT EXISTS (SELECT 1 FROM inside i WHERE i.lang = w.lang AND i.inner_ = w.phrase AND 100 * i.f >= 80 * w.a)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM alone)
+SELECT ranked.lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM ranked JOIN n ON n.lang = ranked.lang WHERE rank <= 2000"""
+
+
 LLM_ORACLE = {"op1_decontamination": OP1, "op3_chat": OP3, "op5_ngram_join": OP5, "op6_licences": _op6(), "op10_url_rules": _op10(),
-              "op11_spelling": _op11()}
+              "op11_spelling": _op11(), "op12_collocations": OP12}

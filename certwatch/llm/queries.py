@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from certwatch.llm import chat, decontamination, licences, ngram_join, packing, personal_data, quality_rules, spelling, token_files, toxicity, url_rules, vector_index
+from certwatch.llm import chat, collocations, decontamination, licences, ngram_join, packing, personal_data, quality_rules, spelling, token_files, toxicity, url_rules, vector_index
 from certwatch.staging import stage, staging_dir
 
 
@@ -111,6 +111,10 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_variants(words).select("word", "n", "form", "form_n", "n_near", "root")
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents").select("lang", "text"))
+
+
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality_rules.fit(docs, _table(spark, sf_dir, "labels"))
@@ -120,4 +124,4 @@ def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {f.__name__: f for f in (
     op1_decontamination, op2_token_files, op3_chat, op4_toxicity, op5_ngram_join, op6_licences, op7_vector_search, op8_packing, op9_personal_data,
-    op10_url_rules, op11_spelling, op13_quality_rules)}
+    op10_url_rules, op11_spelling, op12_collocations, op13_quality_rules)}
