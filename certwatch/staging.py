@@ -1,7 +1,8 @@
 """Writing an intermediate result to shared storage and reading it back.
 
 A staged table cuts lineage, survives the loss of any executor, and gives the
-optimiser real sizes for the joins that follow.
+optimiser real sizes for the joins that follow. Its shuffle files go as soon as it is
+written, and ``drop`` removes it after its last reader.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 @cache
 def _local_dir() -> str:
@@ -30,5 +33,20 @@ def staging_dir(spark: SparkSession) -> str:
 def stage(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{staging_dir(spark).rstrip('/')}/certwatch-{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Remove staged tables that nothing will read any more, not even to make up for lost work."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(table.staged_at)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
