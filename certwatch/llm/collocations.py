@@ -34,7 +34,7 @@ from certwatch.staging import stage
 
 WORDS, LEAST, KEPT, COVERED = 4, 30, 2000, 80
 GROUP_SUFFIXES = 1 << 20
-_BLOCK_BYTES = 8 << 20
+_BLOCK_BYTES = 4 << 20
 _MOST_BITS = 27
 
 _LOW = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
@@ -55,8 +55,8 @@ class _Block:
         words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [
             None, pa.py_buffer(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)), pa.py_buffer(low)]).dictionary_encode()
         self.words = words.dictionary
-        numbers = words.indices.to_numpy() + 1
-        self.columns = np.zeros((WORDS, len(numbers)), np.int64)
+        numbers = words.indices.to_numpy() + np.int32(1)
+        self.columns = np.zeros((WORDS, len(numbers)), np.int32)
         on = np.ones(len(numbers), bool)
         for k in range(min(WORDS, len(numbers))):
             if k:
@@ -73,20 +73,18 @@ class _Block:
         ends = np.cumsum([len(x) for x in raw]).astype(np.int64)
         self.lang_hash = word_hashes(np.frombuffer(b"".join(raw), np.uint8), ends - [len(x) for x in raw], ends)
 
-    def keys(self, words: int) -> np.ndarray:
-        """The key of each suffix's first words."""
-        out = mix(self.lang_hash[self.lang] + np.uint64(1))
-        for k in range(words):
-            out = mix(out ^ (self.word_hash[self.columns[k]] + np.uint64(k)))
-        return out
+    def longer(self, key: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
+        """The keys of the prefixes of k + 1 words of the suffixes ``at``, from those of k words."""
+        return mix(key ^ (self.word_hash[self.columns[k, at]] + np.uint64(k)))
 
     def routed(self, hot: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """(words in the prefix, its key) of each suffix: prefixes in ``hot`` are extended."""
-        words, key = np.ones(self.columns.shape[1], np.int64), self.keys(1)
+        at = np.arange(self.columns.shape[1])
+        words, key = np.ones(len(at), np.int64), self.longer(mix(self.lang_hash + np.uint64(1))[self.lang], at, 0)
         for k, bits in enumerate(hot, start=1):
-            longer = (words == k) & _is_set(bits, key)
-            key = np.where(longer, self.keys(k + 1), key)
-            words[longer] = k + 1
+            at = at[_is_set(bits, key[at])]
+            key[at] = self.longer(key[at], at, k)
+            words[at] = k + 1
         return words, key
 
 
@@ -105,14 +103,11 @@ def _count_prefixes(hot: list[np.ndarray]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _blocks(batches):
             words, key = block.routed(hot)
-            at = words == len(hot) + 1
-            lang = block.lang[at]
-            order = np.lexsort([key[at], lang])
-            keys, lang = key[at][order], lang[order]
-            first = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (lang[1:] != lang[:-1])])) if len(keys) else np.zeros(0, np.int64)
+            at = np.flatnonzero(words == len(hot) + 1)
+            keys, first, n = np.unique(key[at], return_index=True, return_counts=True)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(block.langs, pa.string()).take(pa.array(lang[first])), pa.array(keys[first].view(np.int64)),
-                 pa.array(np.diff(np.append(first, len(keys))).astype(np.int64))], names=["lang", "key", "n"])
+                [pa.array(block.langs, pa.string()).take(pa.array(block.lang[at[first]])), pa.array(keys.view(np.int64)), pa.array(n)],
+                names=["lang", "key", "n"])
 
     return run
 
@@ -136,24 +131,24 @@ def _parted(hot: list[np.ndarray], groups: int):
             prefix, key = block.routed(hot)
             group = (key % np.uint64(groups)).astype(np.int64)
             kind = (group * len(block.langs) + block.lang) * (WORDS + 1) + prefix
-            front, rear = (block.columns[k] << 32 | block.columns[k + 1] for k in (0, 2))
-            order = np.lexsort([rear, front, kind])
-            kind, front, rear = kind[order], front[order], rear[order]
+            order = np.lexsort([*_pairs(block.columns), kind])
+            kind, columns = kind[order], block.columns[:, order]
             new = np.ones(len(kind), bool)
-            new[1:] = (kind[1:] != kind[:-1]) | (front[1:] != front[:-1]) | (rear[1:] != rear[:-1])
+            new[1:] = (kind[1:] != kind[:-1]) | (columns[:, 1:] != columns[:, :-1]).any(axis=0)
             first = np.flatnonzero(new)
             times = np.diff(np.append(first, len(kind))).astype("<i4")
             kinds, at = np.unique(kind[first], return_index=True)
             if len(kinds) == 0:
                 continue
             part = np.repeat(np.arange(len(kinds)), np.diff(np.append(at, len(first))))
-            suffixes = block.columns[:, order[first]].T
+            suffixes = columns[:, first].T
+            del order, columns
             # each part has its own numbers for the words it uses, from 1
             every = part[:, None] * (len(block.words) + 1) + suffixes
             used, which = np.unique(every[suffixes > 0], return_inverse=True)
             owner = used // (len(block.words) + 1)
             begin = np.searchsorted(owner, np.arange(len(kinds) + 1))
-            small = np.zeros(suffixes.shape, np.int64)
+            small = np.zeros(suffixes.shape, np.int32)
             small[suffixes > 0] = which - begin[owner[which]] + 1
             dtype = np.dtype("<u2" if small.max() < 1 << 16 else "<u4")
             spaced = pc.binary_join_element_wise(block.words, pa.scalar(b"", pa.large_binary()), pa.scalar(b" ", pa.large_binary()))
@@ -171,6 +166,11 @@ def _parted(hot: list[np.ndarray], groups: int):
     return run
 
 
+def _pairs(columns: np.ndarray) -> list[np.ndarray]:
+    """Sort keys for suffixes, the last one first."""
+    return [columns[k].astype(np.int64) << 32 | columns[k + 1] for k in (2, 0)]
+
+
 def _binary(ends: np.ndarray, data: pa.Buffer) -> pa.Array:
     return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends.astype(np.int64)), data]).cast(pa.binary())
 
@@ -190,16 +190,16 @@ def _subtrees(least: int):
 def _nodes(table: pa.Table, lang: str, prefix: int, least: int) -> pa.Table:
     blobs = [b.split(b" ")[:-1] for b in table.column("words").to_pylist()]
     words = pa.array([w for b in blobs for w in b], pa.binary()).dictionary_encode()
-    numbers = np.concatenate([[0], words.indices.to_numpy() + 1])
+    numbers = np.concatenate([np.zeros(1, np.int32), words.indices.to_numpy() + np.int32(1)])
     before = np.cumsum([0, *map(len, blobs)])
     columns = []
     for i, (width, own) in enumerate(zip(table.column("width").to_pylist(), table.column("suffixes").to_pylist())):
-        small = np.frombuffer(own, f"<u{width}").reshape(-1, WORDS).astype(np.int64)
+        small = np.frombuffer(own, f"<u{width}").reshape(-1, WORDS)
         columns.append(numbers[np.where(small > 0, small + before[i], 0)])
     suffixes = np.concatenate(columns)
+    del columns, blobs
     times = np.concatenate([np.frombuffer(t, "<i4") for t in table.column("times").to_pylist()]).astype(np.int64)
-    front, rear = (suffixes[:, k] << 32 | suffixes[:, k + 1] for k in (0, 2))
-    order = np.lexsort([rear, front])
+    order = np.lexsort(_pairs(suffixes.T))
     suffixes, times = suffixes[order], times[order]
     begins = np.zeros(len(suffixes), bool)
     begins[0] = True
