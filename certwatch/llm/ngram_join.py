@@ -8,19 +8,21 @@ distinct shingles. The result is each document's component over these links.
   hash into k > d parts, so two linked sets have at least k - d parts in common.
   The hash of each part is the set's signature; sets meet where signatures are
   equal. A passage that many documents share fills no part on its own.
-* Sets that meet are brought together in groups: each goes with the least class it
-  shares most signatures with, and groups that follow one another are one. A group's
-  sets form inverted lists, in blocks, and are searched by T-occurrence: the short lists
-  of a query's shingles are merged, counting; sets that could still reach the needed
+* A set that has fewer signatures in common with others than a link takes is left out. The larger of
+  two linked sets asks; of its signatures, all but as many as a link has to spare, the most common
+  ones, are near. Each link has a near signature in common, so the components of sets
+  with near signatures in common hold all links, and are what has to be searched.
+* Components are cut into blocks of about a million shingles, like sets together. A set asks each block
+  in which it has enough signatures in common with other sets: at most one row per set and block, whatever
+  the number of pairs. The sets of a block form inverted lists and are searched by T-occurrence: the
+  short lists of a query's shingles are merged, counting; sets that could still reach the needed
   overlap T are probed in the long lists by binary search (DivideSkip).
-* A group's leading class asks first, which joins copies without listing their pairs. Then
-  every class asks each group in which it shares enough signatures with sets that are not
-  yet of its component, so no link is lost and no pairs are listed.
+* A block reports the links that join what it had not joined yet, so no pairs are listed.
 
 Words are what lies between ASCII white space, A-Z in lower case. A document of fewer
 words than a shingle has the whole sequence as its one shingle; one without words, or
-with null text, has none and links with nothing. Sets are kept as 64-bit hashes. Null
-ids take part but name no component unless no member has an id; equal rows are
+with null text, has none and links with nothing. Shingles and sets are compared by 64-bit
+hashes. Null ids take part but name no component unless no member has an id; equal rows are
 one class. Other columns are ignored.
 """
 
@@ -34,18 +36,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from certwatch.llm.batches import mix, ranges, slices, word_bounds, word_hashes
-from certwatch.staging import stage
+from certwatch.staging import drop, stage
 
 _SPACES = (32, 9, 10, 11, 12, 13)
 _LOW = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 _IS_WORD = ~np.isin(np.arange(256), _SPACES)
 _SPARE = 2  # parts beyond the least number, so that empty parts in common do no harm
 _LEVELS = np.unique(np.round(4 * 2 ** (np.arange(80) / 2)).astype(np.int64))
-_SEARCHED = 1 << 20  # shingles in one local index
-_LED = 8  # sets from which a group is searched by its leaders first
+_SEARCHED = 1 << 20  # shingles in one local index, about
+_ASKED = 16  # times as many shingles may ask it in one task
 _SMALL_ROWS = 1 << 20  # rows of a few numbers that may be broadcast; more are shuffled
 _HELD, _ASKS = 1, 2
-_WIDE = 4  # groups above which a signature is left out of a set's search as long as the others suffice
 
 
 def _sets(data: np.ndarray, offsets: np.ndarray, width: int) -> list[np.ndarray]:
@@ -232,11 +233,11 @@ def _search(percent: int):
 
         for batch in batches:
             found: list[tuple[int, int]] = []
-            rows = zip(*(batch.column(c).to_pylist() for c in ("group", "block", "role", "class", "members")))
-            for group, block, role, name, members in rows:
-                if (group, block) != current:
+            rows = zip(*(batch.column(c).to_pylist() for c in ("block", "share", "role", "class", "members")))
+            for block, share, role, name, members in rows:
+                if (block, share) != current:
                     found += ask_held()
-                    current, names, sets, asking, lists, forest = (group, block), [], [], [], None, _Forest()
+                    current, names, sets, asking, lists, forest = (block, share), [], [], [], None, _Forest()
                 members = np.frombuffer(members, np.uint64)
                 if role & _HELD:  # those come first
                     if role & _ASKS:
@@ -279,25 +280,25 @@ def _sets_of(wanted: DataFrame, rows: DataFrame, chosen: DataFrame, width: int)
     return kept.select("text").mapInArrow(_set_rows(width), "class long, members binary")
 
 
-def _links(asking: DataFrame, grouped: DataFrame, rows: DataFrame, chosen: DataFrame, width: int, percent: int) -> DataFrame:
-    """The links of each ``asking`` (class, group) with the sets of that group, staged.
+def _links(asks: DataFrame, placed: DataFrame, rows: DataFrame, chosen: DataFrame, width: int, percent: int) -> DataFrame:
+    """The links of each of ``asks`` (class, size, block) with the sets that ``placed`` (class, size, block) has there, staged.
 
-    ``grouped`` (class, group, size) is every set's group. A group's lists are dealt into blocks
-    of about a million shingles; who asks it asks every block. A set that both is in a block and
-    asks it is sent there once.
+    Where many ask one block, they are dealt into shares, each of which has the block's lists. A set that both is
+    in a share and asks it is sent there once.
     """
-    blocks = grouped.groupBy("group").agg(F.ceil(F.sum("size") / _SEARCHED).cast("int").alias("blocks")).select(
-        F.col("group").alias("_group"), "blocks")
-    needed = asking.select(F.col("group").alias("_asked")).distinct()
-    held = grouped.join(needed, F.col("group") == F.col("_asked"), "left_semi").join(blocks, F.col("group") == F.col("_group")).select(
-        "group", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int").alias("block"), F.lit(_HELD).alias("role"), "class")
-    asked = asking.join(blocks, F.col("group") == F.col("_group")).select(
-        "group", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(_ASKS).alias("role"), "class")
-    both = stage(held.unionByName(asked).groupBy("group", "block", "class").agg(F.bit_or("role").alias("role")), "asked")
+    shares = asks.groupBy("block").agg(F.ceil(F.sum("size") / (_ASKED * _SEARCHED)).cast("int").alias("shares")).select(
+        F.col("block").alias("_block"), "shares")
+    held = placed.join(shares, F.col("block") == F.col("_block")).select(
+        "block", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.lit(_HELD).alias("role"), "class")
+    asked = asks.join(shares, F.col("block") == F.col("_block")).select(
+        "block", F.pmod(F.xxhash64("class"), F.col("shares")).cast("int").alias("share"), F.lit(_ASKS).alias("role"), "class")
+    both = stage(held.unionByName(asked).groupBy("block", "share", "class").agg(F.bit_or("role").alias("role")), "asked")
     known = _sets_of(both.select(F.col("class").alias("_wanted")), rows, chosen, width).withColumnRenamed("class", "_class")
     met = known.join(_where_small(both), F.col("class") == F.col("_class")).drop("_class")
-    return stage(met.repartition("group", "block").sortWithinPartitions("group", "block", F.col("role") == _ASKS, "class")
-                 .mapInArrow(_search(percent), "a long, b long"), "links")
+    links = stage(met.repartition("block", "share").sortWithinPartitions("block", "share", F.col("role") == _ASKS, "class")
+                  .mapInArrow(_search(percent), "a long, b long"), "links")
+    drop(both)
+    return links
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -313,13 +314,15 @@ def components(edges: DataFrame) -> DataFrame:
         return up.unionByName(joined.select("a", F.col("m").alias("b")).where("a <> b")).distinct()
 
     now = stage(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "stars")
-    mark = None
     while True:
-        same = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % 1_000_003), F.sum(F.xxhash64("b", "a") % 998_244_353)).first()
-        if same == mark or same[0] == 0:
+        # done when every node has one centre, and no centre has another
+        centres = now.select(F.col("b").alias("_b")).distinct()
+        open_ = now.groupBy("a").agg(F.count(F.lit(1)).alias("n")).join(centres, F.col("a") == F.col("_b"), "left").where("n > 1 or _b is not null")
+        if open_.isEmpty():
             break
-        mark = same
-        now = stage(stars(stars(now, True), False), "stars")
+        next_ = stage(stars(stars(now, True), False), "stars")
+        drop(now)
+        now = next_
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         now.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()
 
@@ -334,25 +337,24 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         _signature_rows(width, percent), "signature long, class long, size int, parts int, hidden byte")
     at = Window.partitionBy("signature")
     shared = stage(met.withColumns({"low": F.min("class").over(at), "high": F.max("class").over(at)})
-                   .where("low < high").distinct(), "shared")
-    # each class follows the least class it shares most signatures with, if these are many enough
-    # for near copies; sets that only share a passage would chain up unlike ones
-    most = Window.partitionBy("class").orderBy(F.col("n").desc(), "low")
-    leaders = stage(shared.groupBy("class", "size", "low").agg(F.count(F.lit(1)).alias("n"), F.max(F.abs("parts")).alias("parts"))
-                    .withColumn("_rank", F.row_number().over(most)).where("_rank = 1").select(
-                        "class", "size", F.expr("if(4 * n >= parts, low, class)").alias("low")), "leaders")
-    trees = components(leaders.select(F.col("class").alias("a"), F.col("low").alias("b")))
-    grouped = stage(leaders.join(trees, F.col("class") == F.col("node"), "left").select(
-        "class", "size", F.coalesce("component", "class").alias("group")), "groups")
+                   .where("low < high").drop("low", "high").distinct(), "shared")
+    enough = stage(_enough(shared, percent), "enough")
+    drop(shared)
+    kept = stage(_with_widths(enough), "kept")
+    drop(enough)
+    asking = stage(_asking(kept, percent), "asking")
+    near = asking.where("near").select(F.col("signature").alias("_signature")).distinct()
+    edges = kept.join(near, F.col("signature") == F.col("_signature"), "left_semi").where("class <> low").select(
+        F.col("class").alias("a"), F.col("low").alias("b")).distinct()
+    sets = stage(_members(kept, components(edges)), "sets")
+    placed = stage(_placed(sets), "placed")
+    drop(sets)
+    asks = stage(_asks(asking, kept, placed), "asks")
+    drop(kept, asking)
 
     chosen = classes.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("key").alias("key"))
-    # a group of few sets is asked by them all at once, below
-    large = grouped.groupBy("group").count().where(F.col("count") >= _LED).select(F.col("group").alias("_group"))
-    leading = (leaders.join(grouped.select(F.col("class").alias("_class"), "group"), F.col("class") == F.col("_class"))
-               .join(large, F.col("group") == F.col("_group"), "left_semi").select(F.col("low").alias("class"), "group").distinct())
-    first = _links(leading, grouped, rows, chosen, width, percent)
-    asking = _unjoined(shared, components(first), grouped, percent)
-    links = first.unionByName(_links(asking, grouped, rows, chosen, width, percent))
+    links = _links(asks, placed, rows, chosen, width, percent)
+    drop(asks, placed)
     final = components(links)
 
     named = (classes.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("doc_id").alias("least"))
@@ -364,40 +366,67 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def _unjoined(shared: DataFrame, joined: DataFrame, grouped: DataFrame, percent: int) -> DataFrame:
-    """(class, group) where the class shares as many parts with the group as a link takes, and not only
-    with sets of its own component.
+def _differ(size: Column, percent: int) -> Column:
+    """The most shingles in which a set of this size differs from one that it links with and that is not larger."""
+    return F.floor(2 * (100 - percent) * size / (100 + percent))
 
-    The larger of two sets asks, and the parts counted are those at its own number of them, k:
-    linked sets of a and b <= a shingles differ in at most d = 2(100 - percent)a / (100 + percent)
-    shingles and so in d parts; of the k - d others only empty ones may have no signature.
 
-    What many groups have, a common passage say, is left out: of a set that must share ``needed``
-    signatures up to needed - 1 may be, the widest, and a link still has the rest in common.
+def _enough(shared: DataFrame, percent: int) -> DataFrame:
+    """The rows of sets that share as many signatures at one number of parts as a link takes.
+
+    At k parts the larger of two sets has at most the size whose number of parts is k, and differs in at most
+    k - 1 - _SPARE shingles; only empty parts may have no signature.
+    """
+    parts = F.abs("parts")
+    differ = F.least(_differ(F.floor(100 * F.col("size") / percent), percent), parts - 1 - _SPARE)
+    own = Window.partitionBy("class", "parts")
+    return shared.withColumn("_n", F.count(F.lit(1)).over(own)).where(F.col("_n") >= parts - differ - F.col("hidden")).drop("_n")
+
+
+def _with_widths(rows: DataFrame) -> DataFrame:
+    """``rows`` with width (how many sets have the signature) and low (the least of them), where these are two and one may ask."""
+    widths = rows.groupBy(F.col("signature").alias("_signature")).agg(
+        F.count(F.lit(1)).alias("width"), F.min("class").alias("low"), F.max("parts").alias("_parts")).where("width > 1 and _parts > 0")
+    return rows.join(widths, F.col("signature") == F.col("_signature")).drop("_signature", "_parts")
+
+
+def _asking(kept: DataFrame, percent: int) -> DataFrame:
+    """(class, size, signature, needed, near) of the sets that may be the larger ones of links: ``needed`` signatures at
+    their own number of parts are in common with each. So up to needed - 1, the widest, may be left out: ``near`` is false.
     """
-    places = stage(grouped.select(F.col("class").alias("_class"), "group").join(joined, F.col("_class") == F.col("node"), "left")
-                   .select("_class", "group", F.coalesce("component", "_class").alias("component")), "places")
-    at = Window.partitionBy("signature")
-    open_ = stage(shared.join(_where_small(places), F.col("class") == F.col("_class")).drop("_class")
-                  .withColumns({"low": F.min("component").over(at), "high": F.max("component").over(at)})
-                  .where("low < high").drop("low", "high")
-                  .withColumn("_nth", F.dense_rank().over(at.orderBy("group"))).withColumn("width", F.max("_nth").over(at))
-                  .drop("_nth"), "open")
-    # dealt by signature alone, as the join below is
-    present = open_.select(F.col("signature").alias("_signature"), F.col("group").alias("_group"), "component", "size").repartition(
-        "_signature").groupBy("_signature", "_group").agg(
-        F.min("component").alias("_low"), F.max("component").alias("_high"), F.min("size").alias("_size"), F.max("size").alias("_largest"))
-    differ = F.floor(2 * (100 - percent) * F.col("size") / (100 + percent))
     own = Window.partitionBy("class")
-    left_out = (F.col("width") > _WIDE) & (F.col("_nth") < F.col("needed"))
-    searched = (
-        open_.where("parts > 0").withColumn("needed", F.col("parts") - differ - F.col("hidden"))
-        .withColumns({"_nth": F.row_number().over(own.orderBy(F.col("width").desc(), "signature")), "_all": F.count(F.lit(1)).over(own)})
-        .where("_all >= needed").withColumn("_out", F.sum(left_out.cast("int")).over(own)).where(~left_out)
-        .select("signature", "class", "size", "component", (F.col("needed") - F.col("_out")).alias("needed")))
-    asks = searched.join(present, F.col("signature") == F.col("_signature")).where(
-        ((F.col("_low") != F.col("component")) | (F.col("_high") != F.col("component"))) & (F.col("_size") <= F.col("size"))
-        & (100 * F.col("_largest") >= percent * F.col("size")))
-    return stage(asks.groupBy("class", F.col("_group").alias("group")).agg(
-        F.count(F.lit(1)).alias("n"), F.max("needed").alias("needed"))
-        .where("n >= needed").select("class", "group"), "unjoined")
+    return (kept.where("parts > 0").withColumn("needed", F.col("parts") - _differ(F.col("size"), percent) - F.col("hidden"))
+            .withColumns({"_all": F.count(F.lit(1)).over(own), "_nth": F.row_number().over(own.orderBy("width", "signature"))})
+            .where("_all >= needed").select("class", "size", "signature", "needed", (F.expr("_nth <= _all - needed + 1")).alias("near")))
+
+
+def _members(kept: DataFrame, trees: DataFrame) -> DataFrame:
+    """(class, size, component, leader) of each set of ``trees`` (node, component); leader is the least set with its narrowest signature."""
+    return kept.groupBy("class").agg(F.max("size").alias("size"), F.min_by("low", F.struct("width", "signature")).alias("leader")).join(
+        trees, F.col("class") == F.col("node")).drop("node")
+
+
+def _placed(sets: DataFrame) -> DataFrame:
+    """(class, size, block) of ``sets``: blocks of about _SEARCHED shingles.
+
+    Sets with one leader go together, so that a large component is cut between unlike sets where it can be.
+    """
+    led = sets.groupBy("component", "leader").agg(F.sum("size").alias("shingles"))
+    whole = led.groupBy(F.col("component").alias("_component")).agg(F.ceil(F.sum("shingles") / _SEARCHED).alias("blocks"))
+    cut = F.ceil(F.col("shingles") / _SEARCHED)
+    places = led.join(whole, F.col("component") == F.col("_component")).select(
+        "_component", F.col("leader").alias("_leader"), cut.alias("cut"),
+        F.xxhash64("component", F.when(cut > 1, F.col("leader")), F.when(cut <= 1, F.pmod(F.xxhash64("leader"), F.col("blocks")))).alias("place"))
+    on = (F.col("component") == F.col("_component")) & (F.col("leader") == F.col("_leader"))
+    return sets.join(places, on).select("class", "size", F.when(
+        F.col("cut") > 1, F.xxhash64("place", F.pmod(F.xxhash64("class"), F.col("cut")))).otherwise(F.col("place")).alias("block"))
+
+
+def _asks(asking: DataFrame, kept: DataFrame, placed: DataFrame) -> DataFrame:
+    """(class, size, block): the blocks in which a set has as many signatures in common with others as a link takes."""
+    place = placed.select(F.col("class").alias("_class"), "block")
+    present = kept.select("signature", "class").join(place, F.col("class") == F.col("_class")).groupBy(
+        F.col("signature").alias("_signature"), "block").agg(F.count(F.lit(1)).alias("_n"))
+    own = asking.join(place.withColumnRenamed("block", "home"), F.col("class") == F.col("_class"))
+    return (own.join(present, F.col("signature") == F.col("_signature")).where("block <> home or _n > 1")
+            .groupBy("class", "size", "block", "needed").agg(F.count(F.lit(1)).alias("n")).where("n >= needed").select("class", "size", "block"))

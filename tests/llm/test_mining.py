@@ -233,7 +233,7 @@ def test_quality_rules_edges(spark, docs_of):
 def test_isolation_forest_and_threshold():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(2000, 3))
-    far = np.array([[9.0, 0, 0], [0, -9, 0]])
+    far = np.array([[9.0, 9, 0], [0, -9, -9]])
     forest = quality_rules.IsolationForest(x, np.concatenate([x, far]), seed=3)
     assert forest.score(far).min() > np.quantile(forest.score(x), 0.99)
     good, bad = np.arange(1000) / 1000, np.array([0.2, 0.9955, 0.9991, 0.9999])

@@ -237,8 +237,9 @@ def test_near_duplicates_lose_no_link(docs_of, width, percent):
     assert got == joined(texts, width, percent)
 
 
-def test_near_duplicates_with_wide_signatures_left_out(docs_of, monkeypatch):
-    monkeypatch.setattr(ngram_join, "_WIDE", 0)
+def test_near_duplicates_over_many_blocks_and_shares(docs_of, monkeypatch):
+    monkeypatch.setattr(ngram_join, "_SEARCHED", 500)
+    monkeypatch.setattr(ngram_join, "_ASKED", 1)
     rng = random.Random(8)
     words = [f"w{i}" for i in range(300)]
     passage, texts = rng.choices(words, k=90), []
@@ -250,6 +251,33 @@ def test_near_duplicates_with_wide_signatures_left_out(docs_of, monkeypatch):
     assert sorted(rows(ngram_join.near_duplicates(docs_of(texts), 4, 85)), key=str) == joined(texts, 4, 85)
 
 
+def test_near_duplicates_list_no_pairs(docs_of, monkeypatch):
+    """A family of copies about the threshold: what is staged grows with its documents, not with their pairs."""
+    staged = []
+
+    def counted(df, label):
+        out = kept(df, label)
+        staged[-1][label] = max(staged[-1].get(label, 0), out.count())
+        return out
+
+    kept = ngram_join.stage
+    monkeypatch.setattr(ngram_join, "stage", counted)
+    rng = random.Random(4)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+    texts = []
+    for i in range(240):
+        own = list(base)
+        for j in rng.sample(range(120), 2):
+            own[j] = f"x{rng.randrange(10**9)}"
+        texts.append((i, " ".join(own)))
+    for n in (60, 120, 240):
+        staged.append({})
+        assert sorted(rows(ngram_join.near_duplicates(docs_of(texts[:n]), 5, 80)), key=str) == joined(texts[:n], 5, 80)
+    assert staged[2]["asks"] > 0
+    for before, after in zip(staged, staged[1:]):
+        assert all(after[label] <= 2.5 * n + 50 for label, n in before.items())
+
+
 def test_near_duplicates_of_nothing(docs_of):
     assert ngram_join.near_duplicates(docs_of([])).count() == 0
 
