@@ -5,7 +5,8 @@ is made from the number of pieces of each length, whatever their number. A set o
 lengths is fixed as a sequence when it provably dominates every other set that
 could hold its longest member (Martello and Toth); the rest goes best-fit in
 decreasing order. Each slot of the plan is an interval of ranks, so pieces
-find their sequence by the rank within their length.
+find their sequence by the rank within their length. ``sequences`` brings the ids together,
+and ``read_sequences`` finds every piece in them again.
 
 Null text is an empty document of its end id only. Repeated rows are packed
 each. An empty table gives an empty result.
@@ -18,34 +19,36 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from certwatch.llm.batches import slices
 from certwatch.llm.vocabulary import encoder
-from certwatch.operators.ranking import number_rows
 from certwatch.staging import stage
 
-_PIECES = "doc_id long, row_key long, piece int, start long, length int, ids_crc32 long, ids binary"
+_PIECES = "doc_id long, row_key long, part int, piece int, nth long, start long, length int, ids_crc32 long, ids binary"
+_SMALL_ROWS = 1 << 20  # rows of a few numbers that may be broadcast; more are shuffled
 
 
 def _cut(path: str, end_id: int, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = encoder(path)
         end = np.array([end_id], tool.dtype)
+        seen = np.zeros(size + 1, np.int64)
         for rows, data, offsets in slices(batches, "text"):
-            keys = rows.column("row_key").to_pylist()
-            out: dict[str, list] = {k: [] for k in ("doc_id", "row_key", "piece", "start", "length", "ids_crc32", "ids")}
-            for doc_id, key, own in zip(rows.column("doc_id").to_pylist(), keys, tool.encode(data, offsets)):
+            out: dict[str, list] = {k: [] for k in ("doc_id", "row_key", "part", "piece", "nth", "start", "length", "ids_crc32", "ids")}
+            known = (rows.column(c).to_pylist() for c in ("doc_id", "row_key", "part"))
+            for doc_id, key, place, own in zip(*known, tool.encode(data, offsets)):
                 ids = np.concatenate([own, end]).astype("<u4")
                 for piece, at in enumerate(range(0, len(ids), size)):
                     part = ids[at:at + size]
-                    for name, value in zip(out, (doc_id, key, piece, at, len(part),
+                    seen[len(part)] += 1
+                    for name, value in zip(out, (doc_id, key, place, piece, int(seen[len(part)]), at, len(part),
                                                      zlib.crc32(part.tobytes()), part.astype(tool.dtype).tobytes())):
                         out[name].append(value)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out["doc_id"], pa.int64()), pa.array(out["row_key"], pa.int64()),
-                 pa.array(out["piece"], pa.int32()), pa.array(out["start"], pa.int64()),
+                [pa.array(out["doc_id"], pa.int64()), pa.array(out["row_key"], pa.int64()), pa.array(out["part"], pa.int32()),
+                 pa.array(out["piece"], pa.int32()), pa.array(out["nth"], pa.int64()), pa.array(out["start"], pa.int64()),
                  pa.array(out["length"], pa.int32()), pa.array(out["ids_crc32"], pa.int64()),
                  pa.array(out["ids"], pa.binary())], names=list(out))
 
@@ -53,12 +56,12 @@ def _cut(path: str, end_id: int, size: int):
 
 
 def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int) -> DataFrame:
-    """(doc_id, row_key, piece, start, length, ids_crc32, ids) of all documents, staged.
+    """(doc_id, row_key, part, piece, nth, start, length, ids_crc32, ids) of all documents, staged.
 
-    ``ids`` are in the narrowest unsigned words for the vocabulary; the CRC is over 32-bit words.
+    A piece is the ``nth`` of its length in its partition of the documents, ``part``. ``ids`` are in the narrowest unsigned words for the vocabulary; the CRC is over 32-bit words.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
-                       F.monotonically_increasing_id().alias("row_key"))
+                       F.monotonically_increasing_id().alias("row_key"), F.spark_partition_id().alias("part"))
     return stage(rows.mapInArrow(_cut(tokenizer, end_id, size), _PIECES), "pieces")
 
 
@@ -155,16 +158,14 @@ class _Plan:
 
 
 def plan_sequences(counts: np.ndarray, size: int) -> list[tuple[int, list[int]]]:
-    """Patterns for ``counts[length]`` pieces of each length up to ``size``, at most six for each length in use.
+    """Patterns for ``counts[length]`` pieces of each length up to ``size``.
 
-    A fixed set leaves fewer of some member than it takes, at most three; a length
-    placed best-fit opens or splits at most three groups.
+    A fixed set leaves fewer of some member than it takes, and best fit opens or splits groups of equal
+    sequences, so that the patterns grow with the lengths in use and hardly with the pieces.
     """
     plan = _Plan(counts, size)
     plan.reduce()
     plan.best_fit()
-    if len(plan.patterns) > 6 * np.count_nonzero(counts):
-        raise RuntimeError(f"{len(plan.patterns)} patterns for {np.count_nonzero(counts)} lengths")
     return plan.patterns
 
 
@@ -184,28 +185,54 @@ def _slots(spark: SparkSession, patterns: list[tuple[int, list[int]]]) -> DataFr
 
 
 def pack(pieces: DataFrame, size: int) -> DataFrame:
-    """``pieces`` (doc_id, row_key, piece, start, length and more) with sequence_id and offset.
+    """``pieces``, a staged table of ``cut_pieces``, with sequence_id and offset.
 
-    The plan and its slots depend on ``size`` and the set of lengths only, so
-    they may be collected and broadcast.
+    The plan and its slots depend on ``size`` and the set of lengths, so the former is made on the driver. Slots and
+    the number of pieces in earlier partitions are broadcast where they have at most 2^20 rows.
     """
     spark = pieces.sparkSession
-    found = pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()
+    found = stage(pieces.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n")), "lengths")
     counts = np.zeros(size + 1, np.int64)
-    for row in found:
+    for row in found.groupBy("length").agg(F.sum("n").alias("n")).collect():
         counts[row["length"]] = row["n"]
-    slots = _slots(spark, plan_sequences(counts, size))
-    numbered = number_rows(pieces, ["row_key", "piece"], "_rank", per=["length"])
-    on = (F.col("length") == F.col("_length")) & F.col("_rank").between(F.col("first"), F.col("last"))
-    placed = numbered.join(F.broadcast(slots.withColumnRenamed("length", "_length")), on)
-    return placed.select(
-        *pieces.columns, (F.col("sequence") + F.col("_rank") - F.col("first")).alias("sequence_id"), "offset")
-
-
-def sequences(pieces: DataFrame, packed: DataFrame) -> DataFrame:
-    """(sequence_id, doc_ids, ids): the packed sequences themselves, each of at most one size."""
-    placed = packed.select("row_key", "piece", "sequence_id", "offset")
-    parts = pieces.join(placed, ["row_key", "piece"]).groupBy("sequence_id").agg(
-        F.array_sort(F.collect_list(F.struct("offset", "doc_id", "ids"))).alias("parts"))
-    return parts.select("sequence_id", F.transform("parts", lambda p: p["doc_id"]).alias("doc_ids"),
-                        F.transform("parts", lambda p: p["ids"]).alias("ids"))
+    slots = _slots(spark, plan_sequences(counts, size)).withColumnRenamed("length", "_length")
+    earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = found.select(F.col("part").alias("_part"), F.col("length").alias("_own"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_before"))
+    rank = F.col("nth") + F.col("_before")
+    placed = (pieces.join(_where_small(before, found.count()), (F.col("part") == F.col("_part")) & (F.col("length") == F.col("_own")))
+              .withColumn("_rank", rank)
+              .join(_where_small(slots, slots.count()), (F.col("length") == F.col("_length")) & F.col("_rank").between(F.col("first"), F.col("last"))))
+    return placed.select(*pieces.columns, (F.col("sequence") + F.col("_rank") - F.col("first")).alias("sequence_id"), "offset")
+
+
+def _where_small(df: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(df) if rows <= _SMALL_ROWS else df
+
+
+def sequences(packed: DataFrame) -> DataFrame:
+    """(sequence_id, pieces, ids): the packed sequences themselves, each of at most one size; pieces are in their order."""
+    fields = ("doc_id", "row_key", "piece", "start", "length")
+    parts = packed.groupBy("sequence_id").agg(F.array_sort(F.collect_list(F.struct("offset", *fields, "ids"))).alias("parts"))
+    return parts.select("sequence_id", F.transform("parts", lambda p: F.struct(*[p[f].alias(f) for f in fields])).alias("pieces"),
+                        F.expr("aggregate(parts, cast('' as binary), (all, p) -> concat(all, p.ids))").alias("ids"))
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        out: dict[str, list] = {k: [] for k in ("doc_id", "row_key", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "ids")}
+        for name, pieces, raw in zip(*(batch.column(c).to_pylist() for c in ("sequence_id", "pieces", "ids"))):
+            ids = np.frombuffer(raw, f"<u{len(raw) // sum(p['length'] for p in pieces)}").astype("<u4")
+            at = 0
+            for p in pieces:
+                own = ids[at:at + p["length"]]
+                for column, value in zip(out, (p["doc_id"], p["row_key"], p["piece"], p["start"], len(own), zlib.crc32(own.tobytes()), name, at, own)):
+                    out[column].append(value)
+                at += len(own)
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()))
+        yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out.values(), kinds)], names=list(out))
+
+
+def read_sequences(written: DataFrame) -> DataFrame:
+    """A row per piece of ``sequences``: where it lies, how long it is there, its ids and their CRC over 32-bit words."""
+    return written.mapInArrow(_read, "doc_id long, row_key long, piece int, start long, length long, ids_crc32 long, "
+                                     "sequence_id long, offset long, ids array<int>")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from certwatch.llm import chat, collocations, decontamination, licences, ngram_join, packing, personal_data, quality_rules, spelling, token_files, toxicity, url_rules, vector_index
-from certwatch.staging import stage, staging_dir
+from certwatch.staging import drop, stage, staging_dir
 
 
 def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
@@ -51,9 +51,9 @@ def op7_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.cut_pieces(_table(spark, sf_dir, "documents"), tokenizer_file(), 0, 2048)
-    packed = packing.pack(pieces.drop("ids"), 2048)
-    return packed.select("doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32",
-                         "sequence_id", "offset")
+    written = stage(packing.sequences(packing.pack(pieces, 2048)), "sequences")
+    drop(pieces)
+    return packing.read_sequences(written).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:

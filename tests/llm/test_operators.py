@@ -382,7 +382,12 @@ def test_packing_places_every_token_once(spark, docs_of):
     for _, own in got.sort_values("offset").groupby("sequence_id"):
         assert own.offset.tolist() == [0, *np.cumsum(own.length)[:-1]] and own.length.sum() <= 256
     assert got.sequence_id.nunique() <= np.ceil(got.length.sum() / 256) * 1.02 + 1
-    assert packing.sequences(pieces, packed).count() == got.sequence_id.nunique()
+    back = packing.read_sequences(packing.sequences(packing.pack(pieces, 256))).toPandas()
+    assert Counter((None if pd.isna(r.doc_id) else int(r.doc_id), r.piece, r.start, r.length, crc(r.ids)) for r in back.itertuples()) == want
+    assert (back.ids_crc32 == [crc(i) for i in back.ids]).all()
+    for _, own in back.sort_values("offset").groupby("sequence_id"):
+        assert own.offset.tolist() == [0, *np.cumsum(own.length)[:-1]] and own.length.sum() <= 256
+    assert back.sequence_id.nunique() == got.sequence_id.nunique()
     assert packing.pack(packing.cut_pieces(docs_of([]), queries.tokenizer_file(), 0, 256).drop("ids"), 256).count() == 0
 
 
@@ -423,6 +428,21 @@ def test_plan_grows_with_lengths_not_with_pieces():
     assert packing.plan_sequences(counts, 2048) == [(1_000_000, [1400, 600])]
 
 
+def test_plans_of_few_lengths_in_any_numbers():
+    rng = random.Random(7)
+    for _ in range(3000):
+        size = rng.choice([7, 64, 500, 2048])
+        counts = np.zeros(size + 1, np.int64)
+        for _ in range(rng.randint(1, 12)):
+            counts[rng.randint(1, size)] += rng.choice([1, 2, 3, 300, 26_020, 10 ** 9])
+        patterns = packing.plan_sequences(counts, size)
+        assert (sum(t * np.bincount(x, minlength=size + 1) for t, x in patterns) == counts).all()
+        assert all(t > 0 and sum(x) <= size for t, x in patterns)
+    counts = np.zeros(2049, np.int64)
+    counts[1101], counts[167] = 26_020, 293
+    assert sum(t for t, _ in packing.plan_sequences(counts, 2048)) == 26_020
+
+
 # --- 9 ---
 
 PATTERNS = (("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
