@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from certwatch.llm import decontamination, ngram_join, packing, personal_data, toxicity
 from certwatch.llm.batches import free_name
 from certwatch.llm.queries import tokenizer_file
-from certwatch.staging import stage
+from certwatch.staging import drop, stage
 
 ORACLE_SQL = None  # scores and packing are not SQL; tests/llm compares with plain versions
 
@@ -37,8 +37,9 @@ def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: st
     ids = docs.select(row.alias("_row"), F.col("doc_id").alias("_id")).distinct()
     first = groups.select("doc_id", "component_id").distinct().join(ids, F.col("doc_id") == F.col("_row")).groupBy(
         "component_id").agg(F.min(F.struct(F.col("_id").isNull(), "_id", "_row")).alias("first"))
-    kept = docs.withColumn("_key", row).join(first.select("first._row"), F.col("_key") == F.col("_row"), "left_semi")
-    return kept.groupBy("_key").agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("_first")).select("_first.*")
+    key = free_name(docs, "_key")
+    kept = docs.withColumn(key, row).join(first.select("first._row"), F.col(key) == F.col("_row"), "left_semi")
+    return kept.groupBy(key).agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("_first")).select("_first.*")
 
 
 def reject_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,9 +62,11 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row per piece: its place in a sequence of at most 2048 tokens."""
+    """A row per piece: its ids and its place in a sequence of at most 2048 tokens, both read from the packed sequences."""
     pieces = packing.cut_pieces(docs, tokenizer_file(), 0, 2048)
-    return packing.pack(pieces.drop("ids"), 2048).drop("row_key")
+    written = stage(packing.sequences(packing.pack(pieces, 2048)), "sequences")
+    drop(pieces)
+    return packing.read_sequences(written).drop("row_key")
 
 
 STAGES = [
@@ -76,7 +79,9 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, function in STAGES:
         docs = stage(function(spark, docs, sf_dir), name)
+        drop(*before)
+        before = [docs]
     return docs
