@@ -59,6 +59,23 @@ SELECT id,
 FROM base
 """
 
+# hosts whose names differ in a number only
+NUMBERED_SQL = r"""
+SELECT c_custkey AS id, 'CN=node-' || lpad(CAST(c_custkey AS STRING), 7, '0') || '.grid.site,O=Acme' AS distinguished_name,
+  DATE '2024-06-01' + CAST(c_custkey % 7 + 1 + CASE WHEN c_custkey % 8 = 0 THEN 0 ELSE 90 + c_custkey % 500 END AS INT) AS expiration_date,
+  CAST(c_nationkey AS STRING) AS csi_raw, 'Valid' AS status,
+  CAST(c_custkey % 7 + 1 + CASE WHEN c_custkey % 8 = 0 THEN 0 ELSE 90 + c_custkey % 500 END AS BIGINT) AS days_to_expiration,
+  DATE '2024-06-01' AS log_date, CASE WHEN c_nationkey % 3 = 0 THEN 'Evolven' ELSE 'SSG' END AS sp_name,
+  'sn' || CAST(c_custkey % 1000 AS STRING) AS sp_serial_number, 'PROD' AS sp_environment,
+  'gw' || CAST(c_nationkey % 2 AS STRING) AS sp_ssg_domain, CAST(NULL AS STRING) AS sp_microservice_name,
+  CAST(NULL AS STRING) AS sp_internal_ssg_domain, CAST(NULL AS STRING) AS sp_openshift_namespace,
+  'host' || CAST(c_nationkey AS STRING) AS sp_evolven_host, CAST(NULL AS STRING) AS sp_evolven_path,
+  CAST(NULL AS STRING) AS sp_instance_name, CAST(NULL AS STRING) AS sp_san_names, 'Activated' AS sp_ssl_cm_status,
+  CAST(NULL AS STRING) AS sp_certificate_owner, CAST(NULL AS STRING) AS sp_support_group_email, CAST(NULL AS STRING) AS sp_ssg_url,
+  CAST(NULL AS STRING) AS sp_ssg_url_in, CAST(NULL AS STRING) AS sp_ssg_url_out
+FROM customer
+"""
+
 ACKS_SQL = """
 SELECT sp_name AS source,
        CASE WHEN id % 2 = 0 THEN lower(sp_serial_number) ELSE ' ' || sp_serial_number END AS serial_number,
@@ -113,8 +130,17 @@ def raw_certs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def certs(spark: SparkSession, sf_dir: str, cfg: Params | None = None) -> DataFrame:
     """``certs`` in snapshot form: (id, 37 columns)."""
-    cfg = cfg or fixture_params()
-    raw = raw_certs(spark, sf_dir)
+    return _flattened(raw_certs(spark, sf_dir), cfg or fixture_params())
+
+
+def numbered_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The eligible ones of the numbered hosts."""
+    customer = _spread(spark.read.parquet(f"{sf_dir}/customer.parquet"))
+    raw = spark.sql(NUMBERED_SQL.replace("FROM customer", "FROM {customer}"), customer=customer)
+    return stage(scan_eligible(_flattened(raw, fixture_params()), fixture_params()), "snapshot")
+
+
+def _flattened(raw: DataFrame, cfg: Params) -> DataFrame:
     text = [c for c in raw.columns if c.startswith("sp_")] + ["distinguished_name", "status"]
     flat = raw.withColumn("csi_application_id", safe_bigint(safe_str(F.col("csi_raw")))).withColumns(
         {c: safe_str(F.col(c)) for c in text})

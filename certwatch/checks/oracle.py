@@ -8,7 +8,7 @@ already rule out (it never exceeds the insert/delete distance).
 
 from __future__ import annotations
 
-from certwatch.checks.fixtures import ACKS_SQL, CERT_DOCS_SQL, CERTS_SQL, REPLICAS_SQL
+from certwatch.checks.fixtures import ACKS_SQL, CERT_DOCS_SQL, CERTS_SQL, NUMBERED_SQL, REPLICAS_SQL
 from certwatch.config import DEFAULT_ENVIRONMENTS, DEFAULT_NOISE_WORDS
 
 
@@ -210,9 +210,9 @@ FROM open_rows GROUP BY dn_clean HAVING match_from IS NOT NULL""",
 _MATERIALIZED = {"elig", "alerts", "pool", "pairs", "scored", "renewals", "possibles", "flat", "open_rows"}
 
 
-def with_tables(select: str) -> str:
+def with_tables(select: str, **instead: str) -> str:
     ctes = ",\n".join(
-        f"{name} AS {'MATERIALIZED ' if name in _MATERIALIZED else ''}({sql})" for name, sql in _CTES.items())
+        f"{name} AS {'MATERIALIZED ' if name in _MATERIALIZED else ''}({sql})" for name, sql in (_CTES | instead).items())
     return f"WITH {ctes}\n{select}"
 
 
@@ -373,4 +373,7 @@ FROM snap WHERE id % 59 = 0 OR id % 53 = 0""",
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: with_tables(sql) for name, sql in _SELECTS.items()}
+    return {name: with_tables(sql) for name, sql in _SELECTS.items()} | {"numbered_hosts": with_tables("""
+SELECT a.id, a.sp_name, any_value(r.cand_id) AS renewal_id, any_value(round_even(r.score, 2))::DOUBLE AS similarity_score,
+  coalesce(string_agg(p.cand_id::VARCHAR, ',' ORDER BY p.match_no), '') AS possible_ids
+FROM alerts a LEFT JOIN renewals r USING (id) LEFT JOIN possibles p USING (id) GROUP BY a.id, a.sp_name""", certs=NUMBERED_SQL)}

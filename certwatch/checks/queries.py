@@ -169,6 +169,14 @@ def match_outcomes(spark, sf_dir):
         F.array_min(F.col("possible_matches.cand_id")).alias("lowest_possible"))
 
 
+@_query
+def numbered_hosts(spark, sf_dir):
+    """Renewals and possible matches where all names resemble each other."""
+    return matching.match_outcomes(fx.numbered_snapshot(spark, sf_dir), CFG).select(
+        "id", "sp_name", F.col("renewal.cand_id").alias("renewal_id"), F.col("renewal.similarity_score").alias("similarity_score"),
+        F.array_join(F.transform("possible_matches", lambda m: m["cand_id"].cast("string")), ",").alias("possible_ids"))
+
+
 @_query
 def ack_flags(spark, sf_dir):
     return enrich.flag_acknowledged(_alerts(spark, sf_dir), fx.acks(spark, sf_dir), CFG).select(

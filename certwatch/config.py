@@ -159,13 +159,11 @@ class Params:
     specs: tuple[SourceSpec, ...] = field(default=DEFAULT_SPECS, repr=False)
     # a join key above this many rows is spread over several tasks
     hot_key_rows: int = 200_000
-    # with a substring shared by more strings than this, strict thresholds are searched first
-    crowded_key_rows: int = 10_000
 
     def __post_init__(self) -> None:
         for name in ("renewal_score_threshold", "possible_match_score_threshold"):
-            if not 0.0 < getattr(self, name) <= 100.0:
-                raise ValueError(f"{name} must be in (0, 100]")
+            if not 0.0 <= getattr(self, name) <= 100.0:
+                raise ValueError(f"{name} must be in [0, 100]")
         if not 0.0 <= self.length_ratio_min <= 1.0:
             raise ValueError("length_ratio_min must be in [0, 1]")
 

@@ -8,6 +8,11 @@ by string afterwards, so the expensive part never sees the copies of a DN.
 2. The remaining alerts search their own source and keys for similar strings.
 3. Alerts still without a renewal search the strings of all sources.
 
+A search keeps, of each string's pairs, only those that can hold one of the rows asked for, before
+anything is written: what is staged grows with the alerts. It goes ring by ring. Strings a character
+apart come first; who finds enough there looks only for pairs that are at least as near. Where the
+threshold is low, strict ones come first, and who finds enough leaves the search.
+
 Key fields the alert leaves empty match anything. The candidate side is
 therefore keyed once per combination of filled-in fields the alerts use (at
 most 2^keys per source), which keeps every lookup an equi-join.
@@ -24,7 +29,7 @@ from certwatch.config import NO_KEYS, Params, by_source, key_array
 from certwatch.functions.scoring import rounded
 from certwatch.functions.text import token_sorted_clean
 from certwatch.operators.ranking import first_k, representatives
-from certwatch.operators.similarity import key_load, signatures, similar_pairs, with_bags
+from certwatch.operators.similarity import neighbours, signatures, similar_pairs, strangers, with_bags
 from certwatch.staging import stage
 
 _POOL_FIELDS = ("cand_id", "distinguished_name", "days_to_expiration", "expiration_date",
@@ -134,33 +139,64 @@ def equal_string_renewals(alerts: DataFrame, pool: DataFrame, cfg: Params) -> Da
     ).drop("found")
 
 
-def _best_tiers(threshold: float) -> list[float]:
-    return [t for t in (98.0, 95.0) if t > threshold] + [threshold]
+def _rings(threshold: float) -> list[float]:
+    return [t for t in (90.0, 70.0, 40.0) if t > threshold] + [threshold]
+
+
+def _nearest(links: DataFrame, heads: DataFrame, on: Sequence[str], group: Sequence[str], k: int) -> DataFrame:
+    """The scored ``links`` (*group, *on, x, y, score) of each group whose string y can hold one of its first k rows.
+
+    ``heads`` (*on, y, heads) has each string's first row and its first row of another serial. Whatever
+    an alert's own serial, a string is in its order where the first of these with a different serial is; so the
+    strings of the first rows, limited per serial as ``representatives`` does, are enough. An equal
+    string may be left out by its DN, so it is kept besides.
+    """
+    rest = [c for c in links.columns if c not in group]
+    rows = links.where("x <> y").join(heads, [*on, "y"]).select(*links.columns, F.inline("heads"))
+    best = representatives(rows, group, k, [*rest, "cand_id"], _order(), "best")
+    return best.select(*group, F.inline("best")).select(*links.columns).distinct().unionByName(links.where("x = y"))
 
 
-def _ranked(todo: DataFrame, group: Sequence[str], strings: DataFrame, on: Sequence[str], threshold: float,
-            enough: int, rank: Callable[[DataFrame, DataFrame], DataFrame], found: str,
-            cfg: Params) -> DataFrame:
-    """(*group, found): for each group of ``todo`` its ranked candidates at ``threshold``.
+def _ranked(todo: DataFrame, group: Sequence[str], pool: DataFrame, on: Sequence[str], threshold: float,
+            k: int, rank: Callable[[DataFrame], DataFrame], found: str, cfg: Params) -> DataFrame:
+    """(*group, found): for each group of ``todo`` (*group, *on, x) its ranked candidates among ``pool`` (*on, y, serial, cand_id).
 
-    Where many strings resemble each other (numbered hosts, say), listing every
-    similar pair only to keep a few would be quadratic. If the data is that
-    crowded, strict thresholds are tried first; a group that already has as many
-    candidates as anybody can use leaves the search, since nothing found later
-    could outrank them.
+    ``rank`` makes them of scored links (todo's columns, y, score).
     """
-    ys = stage(with_bags(strings, "y"), "strings")
-    last = signatures(ys, threshold)
-    crowded = key_load(last, on)[1] > cfg.crowded_key_rows
+    enough = 2 * k
+    heads = stage(representatives(pool, [*on, "y"], 1, ["cand_id"], [F.asc("cand_id")], "heads"), "heads")
+    ys = stage(with_bags(heads.select(*on, "y"), "y"), "strings")
+
+    def ranked(of: DataFrame, pairs: DataFrame) -> DataFrame:
+        links = of.select(*dict.fromkeys([*group, *on, "x"])).join(pairs, [*on, "x"])
+        return stage(rank(stage(_nearest(links, heads, on, group, k), "links")), "ring")
+
+    def satisfied(rows: DataFrame) -> DataFrame:
+        return rows.where(F.size(found) >= enough)
+
+    def xs_of(of: DataFrame) -> DataFrame:
+        return of.select(*on, "x").distinct()
+
+    strict = _rings(threshold)[0]
+    near = satisfied(ranked(todo, neighbours(xs_of(todo), ys, strict, cfg.length_ratio_min, on)))
+    bound = near.select(*group, F.element_at(found, -1)["score"].alias("_least"))
+    # a string may be of several groups, each of which must have enough
+    xs = stage(todo.join(bound, [*group], "left").groupBy(*on, "x").agg(
+        F.min(F.coalesce("_least", F.lit(0.0))).alias("least")), "bounds")
     done = None
-    for t in _best_tiers(threshold) if crowded else [threshold]:
-        sig = last if t == threshold else signatures(ys, t)
-        xs = todo.select(*on, "x").distinct()
-        ranked = rank(todo, similar_pairs(xs, sig, t, cfg.length_ratio_min, cfg.hot_key_rows, on))
+    for t in _rings(threshold):
+        rows = ranked(todo, similar_pairs(xs, signatures(ys, t), t, cfg.length_ratio_min, cfg.hot_key_rows, on))
         if t > threshold:
-            ranked = stage(ranked, "tier").where(F.size(found) >= enough)
-            todo = stage(todo.join(ranked.select(*group), [*group], "left_anti"), "todo")
-        done = ranked if done is None else done.unionByName(ranked)
+            rows = satisfied(rows)
+            todo = stage(todo.join(rows.select(*group), [*group], "left_anti"), "todo")
+            xs = xs_of(todo)
+        elif t == 0:
+            # who has enough is ahead of all that scores 0
+            open_ = stage(todo.join(satisfied(rows).select(*group), [*group], "left_anti"), "todo")
+            pairs = similar_pairs(xs_of(open_), signatures(ys, t), t, cfg.length_ratio_min, cfg.hot_key_rows, on)
+            rows = satisfied(rows).unionByName(ranked(open_, pairs.unionByName(
+                strangers(xs_of(open_), ys.select(*on, "y"), cfg.length_ratio_min, on))))
+        done = rows if done is None else done.unionByName(rows)
     return done
 
 
@@ -171,24 +207,22 @@ def scored_renewals(rest: DataFrame, pool: DataFrame, cfg: Params) -> DataFrame:
     # only the key groups an open alert belongs to can matter
     keyed = keyed_pool(pool, masks, cfg).join(rest.select(*_GROUP).distinct(), _GROUP, "left_semi")
 
-    def rank(_: DataFrame, links: DataFrame) -> DataFrame:
-        links = stage(links, "links")
+    def rank(links: DataFrame) -> DataFrame:
         rows = keyed.join(links.select(*_GROUP, "y").distinct(), [*_GROUP, "y"], "left_semi")
         # within one string all scores are equal, so two serials are enough before fanning out
         per_string = representatives(rows, [*_GROUP, "y"], 1, _RENEWAL_FIELDS[1:], [F.asc("cand_id")], "cands")
         flat = links.join(per_string, [*_GROUP, "y"]).select(*_GROUP, "x", "score", F.inline("cands"))
         return representatives(flat, [*_GROUP, "x"], 1, _RENEWAL_FIELDS, _order(), "found")
 
-    return _ranked(groups, [*_GROUP, "x"], keyed.select(*_GROUP, "y").distinct(), _GROUP,
-                   cfg.renewal_score_threshold, 2, rank, "found", cfg)
+    return _ranked(groups, [*_GROUP, "x"], keyed.select(*_GROUP, "y", "serial", "cand_id"), _GROUP,
+                   cfg.renewal_score_threshold, 1, rank, "found", cfg)
 
 
 def scored_possibles(rest: DataFrame, pool: DataFrame, cfg: Params) -> DataFrame:
     """(dn_clean, candidates): ranked cross-source candidates per distinct alert DN."""
     k = max(1, cfg.possible_k)
 
-    def rank(todo: DataFrame, pairs: DataFrame) -> DataFrame:
-        links = stage(todo.join(pairs, "x"), "links")
+    def rank(links: DataFrame) -> DataFrame:
         rows = pool.join(links.select("y").distinct(), "y", "left_semi").withColumnRenamed("dn_clean", "cand_dn")
         per_string = representatives(rows, ["y", "cand_dn"], k, _POOL_FIELDS, [F.asc("cand_id")], "cands")
         flat = links.join(per_string, "y")
@@ -197,8 +231,8 @@ def scored_possibles(rest: DataFrame, pool: DataFrame, cfg: Params) -> DataFrame
         flat = flat.select("dn_clean", "score", F.inline("cands"))
         return representatives(flat, ["dn_clean"], k, ["score", *_POOL_FIELDS], _order(), "candidates")
 
-    return _ranked(rest.select("dn_clean", "x").distinct(), ["dn_clean"], pool.select("y").distinct(), (),
-                   cfg.possible_match_score_threshold, 2 * k, rank, "candidates", cfg)
+    return _ranked(rest.select("dn_clean", "x").distinct(), ["dn_clean"], pool.select("y", "serial", "cand_id"), (),
+                   cfg.possible_match_score_threshold, k, rank, "candidates", cfg)
 
 
 def with_renewals(certs: DataFrame, cfg: Params) -> DataFrame:

@@ -22,10 +22,15 @@ length bound and a bag bound: each string carries 128 parity bits over its
 (character, occurrence) set, one edit flips exactly one of them, so more than
 d differing bits rule the pair out. What is left goes to the LCS.
 
+A string that brings a bound of its own (``least``: it has enough candidates of that score already) meets
+only those that can still reach it, by their lengths and bags. ``neighbours`` finds such candidates first:
+strings that are equal once a character is left out of either or both.
+
 For t <= 66.7 a string may be shorter than its number of regions. There the
 windows are replaced by single (character, occurrence) elements: a pair
 sharing a common subsequence of length c shares c of them, so the first
-``len - c + 1`` in any common order must meet.
+``len - c + 1`` in any common order must meet. At t = 0 pairs without a character in common score 0 and
+count too; ``strangers`` lists them.
 """
 
 from __future__ import annotations
@@ -122,12 +127,16 @@ def elements(strings: DataFrame, s: str, threshold: float) -> DataFrame:
     )
 
 
-def _bounds(threshold: float, ratio_min: float) -> Column:
+def _in_ratio(ratio_min: float) -> Column:
+    return F.least("x_len", "y_len") / F.greatest("x_len", "y_len") >= ratio_min
+
+
+def _bounds(threshold: Column, ratio_min: float) -> Column:
     total = F.col("x_len") + F.col("y_len")
     d = F.floor(total * ((100.0 - threshold) / 100.0) + _EPS)
     return (
         (F.abs(F.col("x_len") - F.col("y_len")) <= d)
-        & (F.least("x_len", "y_len") / F.greatest("x_len", "y_len") >= ratio_min)
+        & _in_ratio(ratio_min)
         & (F.bit_count(F.col("x_bag0").bitwiseXOR(F.col("y_bag0")))
            + F.bit_count(F.col("x_bag1").bitwiseXOR(F.col("y_bag1"))) <= d)
     )
@@ -161,12 +170,12 @@ def similar_pairs(xs: DataFrame, sig: DataFrame, threshold: float, ratio_min: fl
                   hot_rows: int, on: Sequence[str] = ()) -> DataFrame:
     """(*on, x, y, score) for all pairs that agree on ``on`` and score at least the threshold.
 
-    ``xs`` holds distinct (*on, x); ``sig`` comes from ``signatures`` at the same
-    threshold. Strings are token-sorted and not empty; x = y is included.
+    ``xs`` holds distinct (*on, x) and maybe ``least``, a score below which x needs no pairs; ``sig`` comes from
+    ``signatures`` at the same threshold. Strings are token-sorted and not empty; x = y is included.
     """
     rows, largest = key_load(sig, on)
     left = with_bags(xs, "x")
-    bounds = _bounds(threshold, ratio_min)
+    bounds = _bounds(F.greatest("least", F.lit(threshold)) if "least" in xs.columns else F.lit(threshold), ratio_min)
     if _by_window(threshold):
         left, bounds = substrings(left), bounds & _alignment(threshold)
     else:
@@ -183,7 +192,42 @@ def similar_pairs(xs: DataFrame, sig: DataFrame, threshold: float, ratio_min: fl
         left.repartition(n, *keys).join(right.repartition(n, *keys).hint("shuffle_hash"), keys).where(bounds)
         .select(*on, "x", "y", "x_len", "y_len").distinct()
     )
+    return _scored(pairs, threshold, on)
+
+
+def _scored(pairs: DataFrame, threshold: float, on: Sequence[str]) -> DataFrame:
     total = F.col("x_len") + F.col("y_len")
     scored = pairs.withColumn("lcs", lcs_length("x", "y"))
     return scored.where(meets(total, F.col("lcs"), threshold)).select(
         *on, "x", "y", indel_score(total, F.col("lcs")).alias("score"))
+
+
+def _shortened(strings: DataFrame, s: str, on: Sequence[str]) -> DataFrame:
+    """(*on, s, s_len, key): each string itself and without each of its characters, by hash."""
+    keys = F.expr(f"array_distinct(concat(array(xxhash64({s})), transform(sequence(1, length({s})), "
+                  f"i -> xxhash64(concat(substring({s}, 1, i - 1), substring({s}, i + 1))))))")
+    return strings.select(*on, s, F.length(s).alias(f"{s}_len"), F.explode(keys).alias("key"))
+
+
+def neighbours(xs: DataFrame, ys: DataFrame, threshold: float, ratio_min: float, on: Sequence[str] = ()) -> DataFrame:
+    """(*on, x, y, score) of the pairs that are equal without a character of either or both, and score the threshold.
+
+    A key is shared by strings of one place for a character, so the pairs of a string grow with its length and
+    alphabet, not with the number of strings.
+    """
+    pairs = _shortened(xs, "x", on).join(_shortened(ys, "y", on), [*on, "key"]).where(_in_ratio(ratio_min)).select(
+        *on, "x", "y", "x_len", "y_len").distinct()
+    return _scored(pairs, threshold, on)
+
+
+def strangers(xs: DataFrame, ys: DataFrame, ratio_min: float, on: Sequence[str] = ()) -> DataFrame:
+    """(*on, x, y, score = 0) of the pairs without a common character."""
+    longest = ys.agg(F.max(F.length("y")).alias("n")).scalar()
+    n = F.length("x")
+    low = F.greatest(F.lit(1), F.floor(n * ratio_min).cast("int"))
+    high = F.least(longest, F.ceil(n / ratio_min).cast("int")) if ratio_min else longest
+    lengths = F.when(low <= high, F.sequence(low, F.greatest(low, high)))
+    left = xs.select(*on, "x", n.alias("x_len"), F.explode(lengths).alias("y_len"))
+    right = ys.select(*on, "y", F.length("y").alias("y_len"))
+    return left.join(right, [*on, "y_len"]).where(_in_ratio(ratio_min)).where(
+        ~F.arrays_overlap(F.split("x", ""), F.split("y", ""))).select(*on, "x", "y", F.lit(0.0).alias("score"))

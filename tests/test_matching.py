@@ -84,8 +84,10 @@ def data(spark, cfg):
     {"renewal_score_threshold": 95.0, "possible_match_score_threshold": 75.0},
     {"max_possible_display": 1, "renewal_score_threshold": 100.0},
     {"max_possible_candidates": 0, "length_ratio_min": 0.95},
-    {"possible_match_score_threshold": 60.0, "max_possible_display": 6, "hot_key_rows": 5, "crowded_key_rows": 5},
-    {"possible_match_score_threshold": 70.0, "renewal_score_threshold": 70.0, "crowded_key_rows": 2},
+    {"possible_match_score_threshold": 60.0, "max_possible_display": 6, "hot_key_rows": 5},
+    {"possible_match_score_threshold": 70.0, "renewal_score_threshold": 70.0},
+    {"possible_match_score_threshold": 0.0, "renewal_score_threshold": 0.0},
+    {"possible_match_score_threshold": 0.0, "renewal_score_threshold": 0.0, "length_ratio_min": 0.0, "max_possible_display": 6},
 ])
 def test_equals_brute_force(data, cfg, changes):
     certs, rows = data
@@ -130,3 +132,36 @@ def test_renewals_never_search_possible_matches(spark, monkeypatch):
 
     monkeypatch.setattr(matching, "scored_possibles", lambda *_: (_ for _ in ()).throw(AssertionError("possible matches searched")))
     QUERIES["renewals"](spark, "/root/testdata/sf0.001").count()
+
+
+@pytest.mark.parametrize("threshold", [90.0, 60.0])
+def test_numbered_hosts_list_no_pairs(spark, cfg, monkeypatch, threshold):
+    """Names that differ in a number all resemble each other; what is staged grows with the alerts."""
+    from certwatch.operators import matching
+
+    staged, kept = [], matching.stage
+
+    def counted(df, label):
+        out = kept(df, label)
+        staged[-1][label] = max(staged[-1].get(label, 0), out.count())
+        return out
+
+    monkeypatch.setattr(matching, "stage", counted)
+    cfg = replace(cfg, renewal_score_threshold=threshold, possible_match_score_threshold=threshold)
+    for n in (100, 200, 400):
+        rows = [{"id": i, "distinguished_name": f"CN=node-{i * 7 % n:04d}.grid.site", "sp_name": "SSG" if i % 2 else "AKAMAI",
+                 "days_to_expiration": 5 if i % 4 == 0 else 200, "sp_serial_number": f"s{i}", "sp_ssg_domain": f"d{i % 2}"} for i in range(n)]
+        schema = ", ".join(f"{k} {'bigint' if k in ('id', 'days_to_expiration') else 'string'}" for k in rows[0])
+        certs = to_snapshot(spark.createDataFrame([tuple(r.values()) for r in rows], schema), cfg)
+        clean = {r["id"]: (r["dn_clean"], r["serial_number_upper"]) for r in certs.collect()}
+        for r in rows:
+            r["clean"], r["serial"] = clean[r["id"]]
+        staged.append({})
+        got = {r["id"]: (r["renewal"] and r["renewal"]["cand_id"], [m["cand_id"] for m in r["possible_matches"]])
+               for r in match_outcomes(certs, cfg).collect()}
+        if n < 400:
+            want = brute_force([{**{k: None for k in FIELDS}, **r} for r in rows], cfg)
+            assert got == want
+    assert staged[0]["links"] > 0
+    for before, after in zip(staged, staged[1:]):
+        assert after["links"] <= 2.2 * before["links"] + 20
