@@ -216,6 +216,7 @@ def with_tables(select: str, **instead: str) -> str:
     return f"WITH {ctes}\n{select}"
 
 
+_LATEST = "(SELECT * FROM docs QUALIFY row_number() OVER (PARTITION BY source, upsert_key ORDER BY group_ord DESC) = 1)"
 _SELECTS: dict[str, str] = {
     "eligible_scan": "SELECT id, sp_name, days_to_expiration, dn_clean, serial AS serial_number_upper FROM elig",
     "flatten_documents": f"""
@@ -313,6 +314,15 @@ SELECT source, upsert_key, group_ord, csi_id, n_certs, CAST('2024-06-01' AS VARC
 QUALIFY row_number() OVER (PARTITION BY source, upsert_key ORDER BY group_ord DESC) = 1
 UNION ALL
 SELECT source, 'old:' || upsert_key, group_ord, csi_id, n_certs, '2024-05-31' FROM docs WHERE source <> 'SSG'""",
+    "alert_table": f"""
+SELECT source, upsert_key, group_ord, csi_id, n_certs, n_certs AS n_stored, CAST('2024-06-01' AS VARCHAR) AS log_day FROM {_LATEST}
+UNION ALL
+SELECT source, 'old:' || upsert_key, group_ord, csi_id, n_certs, n_certs, '2024-05-31' FROM {_LATEST} WHERE source <> 'SSG'""",
+    "source_report_files": f"""
+SELECT replace(lower(s.source), ' ', '_') AS source_slug, count(flat.id) AS n_rows,
+  CASE WHEN count(flat.id) > 0 THEN count(flat.id) END AS last_row
+FROM (VALUES {', '.join(f"('{s}')" for s in _SOURCES)}) s(source)
+LEFT JOIN flat ON flat.sp_name = s.source AND s.source <> '{_SOURCES[0]}' GROUP BY s.source""",
     "expire_alerts": """
 SELECT source, upsert_key, group_ord FROM docs WHERE group_ord % 48 < 24""",
     "upsert_stats": """

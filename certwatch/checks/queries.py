@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +16,7 @@ from certwatch.functions.scoring import indel_score, lcs_length, rounded
 from certwatch.operators import documents, enrich, matching, reports, summary
 from certwatch.operators.validation import validate
 from certwatch.plans.run import alert_rows
-from certwatch.sources import certificates, snapshot
+from certwatch.sources import certificates, sinks, snapshot
 from certwatch.staging import stage, staging_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -247,6 +250,39 @@ def upsert_alerts(spark, sf_dir):
         F.date_format("log_datetime", "yyyy-MM-dd").alias("log_day"))
 
 
+@_query
+def alert_table(spark, sf_dir):
+    """Three runs into a stored alert table: one past retention by now, one half a day ago with the present keys and
+    retired ones, and the present one; read back with the number of certificates each document has."""
+    flat = stage(_flat(spark, sf_dir), "flat")
+    path = f"{staging_dir(spark)}/certwatch-alerts-{fx.fresh_name()}"
+    other = flat.where("source <> 'SSG'")
+    for hours, prefix, rows in ((48, "gone:", flat), (12, None, flat), (0, None, flat)):
+        cfg = replace(CFG, as_of=CFG.as_of - timedelta(hours=hours))
+        renamed = (rows if prefix else other).withColumn("upsert_key", F.array(F.concat(F.lit(prefix or "old:"), _joined("upsert_key"))))
+        rows = renamed if hours == 48 else rows.unionByName(renamed) if hours else rows
+        sinks.write_alerts(documents.document_headers(rows, cfg), documents.document_certificates(rows, cfg), path, cfg)
+    docs, certificates = sinks.read_alerts(spark, path)
+    key = ["source", "upsert_key", "group_ord"]
+    return docs.join(certificates.groupBy(*key).agg(F.count(F.lit(1)).alias("n_stored")), key, "left").select(
+        "source", _joined("upsert_key").alias("upsert_key"), "group_ord", "csi_id", "n_certs", "n_stored",
+        F.date_format("log_datetime", "yyyy-MM-dd").alias("log_day"))
+
+
+@_query
+def source_report_files(spark, sf_dir):
+    """The reports of all sources as they are written and read back, those without rows too."""
+    only = CFG.consolidated_sources[:1]
+    flat = stage(_flat(spark, sf_dir), "flat")
+    counts = summary.source_report_counts(flat.where(~F.col("source").isin(*only)), CFG).collect()
+    path = f"{staging_dir(spark)}/certwatch-reports-{fx.fresh_name()}"
+    sinks.write_source_reports(reports.source_report(flat.where(~F.col("source").isin(*only)), CFG),
+                               {r["source_slug"]: r["n_certs"] for r in counts}, path)
+    parts = [spark.read.parquet(f"{path}/source_slug={r['source_slug']}").agg(F.count(F.lit(1)).alias("n_rows"), F.max("row_no").alias("last_row"))
+             .select(F.lit(r["source_slug"]).alias("source_slug"), "n_rows", F.col("last_row").cast("long").alias("last_row")) for r in counts]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @_query
 def expire_alerts(spark, sf_dir):
     """Documents aged 0 to 47 hours."""

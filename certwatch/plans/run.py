@@ -50,7 +50,7 @@ def run(certs: DataFrame, acks: DataFrame, replicas: DataFrame, cfg: Params) ->
 
 
 def merged_alerts(result: Run, cfg: Params, alert_table: str) -> tuple[DataFrame, DataFrame]:
-    """(documents, certificates) of the alert table after this run."""
+    """(documents, certificates) that the alert table will have after this run, without writing it."""
     docs, certificates = stage(result.documents, "documents"), result.certificates
     stored = sinks.read_alerts(docs.sparkSession, alert_table)
     if stored is None:
@@ -65,13 +65,13 @@ def publish(result: Run, cfg: Params, alert_table: str, report_dir: str, ticket_
             dry_run: bool = False) -> None:
     """Write the alert table, unless this is a dry run, and the quarantined rows, the summary and the reports."""
     if not dry_run:
-        sinks.write_alerts(*merged_alerts(result, cfg, alert_table), alert_table)
+        sinks.write_alerts(stage(result.documents, "documents"), result.certificates, alert_table, cfg)
     sinks.write_report(result.rejected, f"{report_dir}/quarantine")
     sinks.write_summary(result.summary, f"{report_dir}/summary")
     counts = stage(summary.source_report_counts(result.flat, cfg), "counts")
     # a row per source specification
-    slugs = [r["source_slug"] for r in counts.select("source_slug").collect()]
-    sinks.write_source_reports(stage(reports.source_report(result.flat, cfg), "report"), slugs, f"{report_dir}/by_source")
+    rows_of = {r["source_slug"]: r["n_certs"] for r in counts.select("source_slug", "n_certs").collect()}
+    sinks.write_source_reports(reports.source_report(result.flat, cfg), rows_of, f"{report_dir}/by_source")
     sinks.write_report(counts, f"{report_dir}/source_counts")
     consolidated = f"{report_dir}/consolidated"
     sinks.write_report(reports.has_action_required(result.flat, cfg), f"{consolidated}/status")

@@ -5,48 +5,54 @@ Pipelines only return DataFrames; a dry run is one that leaves the alert table a
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Iterable
+from collections.abc import Mapping
+from datetime import timedelta
+from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_LOG = "version string, written_at timestamp"
+from certwatch.config import Params
+from certwatch.operators.documents import latest_documents
+from certwatch.sources import versions
 
-
-def current_version(spark: SparkSession, path: str) -> str | None:
-    """The folder of the alert table's last complete version, if there is one."""
-    try:
-        log = spark.read.schema(_LOG).parquet(f"{path}/versions")
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-    version = log.agg(F.max_by("version", "written_at")).first()[0]
-    return f"{path}/{version}" if version else None
+_KEY = ("source", "upsert_key")
 
 
 def read_alerts(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame] | None:
-    """(documents, certificates) of the stored alert table, or None before its first version."""
-    folder = current_version(spark, path)
-    if folder is None:
+    """(documents, certificates) of the stored alert table, or None before its first version.
+
+    The table is a series of batches, one per run; of documents with one key that of the last batch counts.
+    """
+    folders = versions.live_folders(spark, path)
+    if folders is None:
         return None
-    return spark.read.parquet(f"{folder}/documents"), spark.read.parquet(f"{folder}/certificates")
+    if not folders:
+        raise ValueError(f"{path} has no batch left")
+
+    def table(name: str) -> DataFrame:
+        parts = [spark.read.parquet(f"{path}/{r['folder']}/{name}").withColumn("_batch", F.lit(i)) for i, r in enumerate(folders)]
+        return reduce(DataFrame.unionByName, parts)
+
+    documents, certificates = table("documents"), table("certificates")
+    last = documents.groupBy(*_KEY).agg(F.max("_batch").alias("_batch"))
+    documents = documents.join(last, [*_KEY, "_batch"], "left_semi")
+    certificates = certificates.join(documents.select(*_KEY, "group_ord", "_batch"), [*_KEY, "group_ord", "_batch"], "left_semi")
+    return documents.drop("_batch"), certificates.drop("_batch")
 
 
-def write_alerts(documents: DataFrame, certificates: DataFrame, path: str) -> None:
-    """Add a version of the alert table and then name it the current one.
+def write_alerts(documents: DataFrame, certificates: DataFrame, path: str, cfg: Params) -> None:
+    """Add a run's documents and certificates to the alert table, as a batch, and drop batches past retention.
 
-    Readers see the former version until both tables are complete, so a run that fails
-    midway changes nothing. Former versions are left to the owner of the folder.
+    Nothing stored is read or rewritten: what the batch brings again replaces its key when the table is read.
     """
     spark = documents.sparkSession
-    version = f"version-{uuid.uuid4().hex}"
-    for name, table in (("documents", documents), ("certificates", certificates)):
-        table.write.partitionBy("source").parquet(f"{path}/{version}/{name}")
-    spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("written_at")).coalesce(1) \
-        .write.mode("append").parquet(f"{path}/versions")
+    folder = versions.new_folder()
+    for name, table in (("documents", latest_documents(documents)), ("certificates", certificates)):
+        table.write.partitionBy("source").parquet(f"{path}/{folder}/{name}")
+    keep_after = cfg.as_of_utc - timedelta(hours=cfg.alert_retention_hours)
+    kept = [(r["folder"], r["as_of"]) for r in versions.live_folders(spark, path) or () if r["as_of"] > keep_after]
+    versions.publish(spark, path, [*kept, (folder, cfg.as_of_utc)])
 
 
 def write_summary(df: DataFrame, path: str) -> None:
@@ -54,11 +60,19 @@ def write_summary(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").json(path)
 
 
-def write_source_reports(report: DataFrame, slugs: Iterable[str], path: str) -> None:
-    """One folder per source slug, also for a source without rows."""
-    for slug in slugs:
-        report.where(F.col("source_slug") == slug).drop("source_slug").write.mode("overwrite").parquet(
-            f"{path}/source_slug={slug}")
+def write_source_reports(report: DataFrame, rows_of: Mapping[str, int], path: str) -> None:
+    """One folder per source slug, all from one job; slugs without rows (``rows_of``: slug to rows) get a file of no rows."""
+    spark, quiet = report.sparkSession, "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    report.write.mode("overwrite").option(quiet, "false").partitionBy("source_slug").parquet(path)
+    empty = [slug for slug, n in rows_of.items() if not n]
+    if not empty:
+        return
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    first = jvm.org.apache.hadoop.fs.Path(f"{path}/source_slug={empty[0]}")
+    files = first.getFileSystem(conf)
+    spark.createDataFrame([], report.drop("source_slug").schema).coalesce(1).write.option(quiet, "false").parquet(first.toString())
+    for slug in empty[1:]:
+        jvm.org.apache.hadoop.fs.FileUtil.copy(files, first, files, jvm.org.apache.hadoop.fs.Path(f"{path}/source_slug={slug}"), False, conf)
 
 
 def write_report(report: DataFrame, path: str) -> None:

@@ -1,16 +1,19 @@
-"""The certificate snapshot: written once per run, read by everything else."""
+"""The certificate snapshot: written once per run, read by everything else.
+
+Each snapshot is a folder of its own that the version log names once it is complete; a build that fails
+leaves the former one in place.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import timedelta
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from certwatch.config import Params
 from certwatch.schema import STORED_SNAPSHOT_SCHEMA
+from certwatch.sources import versions
 
 
 def write_snapshot(df: DataFrame, path: str, cfg: Params) -> None:
@@ -19,30 +22,28 @@ def write_snapshot(df: DataFrame, path: str, cfg: Params) -> None:
     Alerts (a few days left) and the candidate pool (90 days and more) then sit
     in different row groups, so either scan skips most of the other.
     """
+    folder = versions.new_folder()
     (
         df.withColumn("snapshot_ts", cfg.as_of_ts)
         .sortWithinPartitions("sp_name", "days_to_expiration")
-        .write.mode("overwrite").partitionBy("sp_name").parquet(path)
+        .write.partitionBy("sp_name").parquet(f"{path}/{folder}")
     )
+    versions.publish(df.sparkSession, path, [(folder, cfg.as_of_utc)])
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     """The stored snapshot; a missing path raises."""
+    folders = versions.live_folders(spark, path)
+    if not folders:
+        raise FileNotFoundError(f"no snapshot at {path}")
     names = STORED_SNAPSHOT_SCHEMA.fieldNames()
-    return spark.read.schema(STORED_SNAPSHOT_SCHEMA).parquet(path).select(*names)
+    return spark.read.schema(STORED_SNAPSHOT_SCHEMA).parquet(f"{path}/{folders[0]['folder']}").select(*names)
 
 
 def snapshot_is_fresh(spark: SparkSession, path: str, cfg: Params) -> bool:
-    try:
-        newest = read_snapshot(spark, path).agg(
-            F.max("snapshot_ts").cast("timestamp_ntz").alias("ts")).first()["ts"]
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return False
-    if newest is None:
-        return False
-    return newest >= cfg.as_of_utc - timedelta(hours=cfg.snapshot_max_age_hours)
+    """By the version log alone, so that an empty snapshot can be fresh too."""
+    folders = versions.live_folders(spark, path)
+    return bool(folders) and folders[0]["as_of"] >= cfg.as_of_utc - timedelta(hours=cfg.snapshot_max_age_hours)
 
 
 def get_or_build_snapshot(spark: SparkSession, path: str, build: Callable[[], DataFrame],

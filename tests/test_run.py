@@ -28,7 +28,8 @@ def test_schema_width():
 
 def test_parameters_are_checked(cfg):
     with pytest.raises(ValueError):
-        replace(cfg, renewal_score_threshold=0.0)
+        replace(cfg, renewal_score_threshold=-1.0)
+    assert replace(cfg, renewal_score_threshold=0.0, possible_match_score_threshold=0.0).possible_k == cfg.possible_k
     assert replace(cfg, table1_sort_by="nonsense").sort_mode == "days_to_expiration"
 
 
@@ -182,6 +183,42 @@ def test_snapshot_lifecycle(spark, cfg, tmp_path):
         snapshot.read_snapshot(spark, str(tmp_path / "absent")).count()
 
 
+def test_a_failing_build_leaves_the_snapshot(spark, cfg, tmp_path):
+    path = str(tmp_path / "snap")
+    empty = snapshot.get_or_build_snapshot(spark, path, lambda: fx.certs(spark, SF).limit(0), cfg)
+    assert empty.count() == 0 and snapshot.snapshot_is_fresh(spark, path, cfg)
+    later = replace(cfg, as_of=cfg.as_of.replace(hour=9))
+    assert not snapshot.snapshot_is_fresh(spark, path, later)
+    stored = snapshot.get_or_build_snapshot(spark, path, lambda: fx.certs(spark, SF), later)
+    with pytest.raises(Exception):
+        broken = fx.certs(spark, SF).withColumn("days_to_expiration", F.raise_error(F.lit("no source")).cast("bigint"))
+        snapshot.get_or_build_snapshot(spark, path, lambda: broken, later, force=True)
+    assert snapshot.read_snapshot(spark, path).count() == stored.count() == 1500
+    for _ in range(3):
+        snapshot.write_snapshot(fx.certs(spark, SF), path, later)
+    # what the last two versions do not name is removed, all but the folder that the failed build left
+    assert len([p for p in (tmp_path / "snap").iterdir() if p.name.startswith("data-")]) == 3
+
+
+def test_a_run_writes_what_it_brings(result, cfg, spark, tmp_path):
+    """A run with a hundredth of the documents adds a hundredth, and expiry only names fewer folders."""
+    path, size = tmp_path / "alerts", lambda: {p.name: sum(f.stat().st_size for f in p.rglob("*.parquet")) for p in path.glob("data-*")}
+    docs, certificates = documents.latest_documents(result.documents), result.certificates
+    sinks.write_alerts(docs, certificates, str(path), cfg)
+    before = size()
+    some = docs.orderBy("group_ord").limit(2)
+    later = replace(cfg, as_of=cfg.as_of.replace(hour=1))
+    sinks.write_alerts(some.withColumn("csi_id", F.lit(-5).cast("bigint")), certificates.join(
+        some.select("source", "upsert_key"), ["source", "upsert_key"], "left_semi").select(*certificates.columns), str(path), later)
+    after = size()
+    assert all(after[k] == n for k, n in before.items()) and len(after) == 2
+    stored, held = sinks.read_alerts(spark, str(path))
+    assert stored.count() == docs.count() and stored.where("csi_id = -5").count() == 2
+    assert held.count() == stored.agg(F.sum("n_certs")).first()[0]
+    sinks.write_alerts(some, certificates.limit(0), str(path), replace(cfg, as_of=cfg.as_of.replace(day=2, hour=0, minute=30)))
+    assert sinks.read_alerts(spark, str(path))[0].count() == 2  # the first run has expired
+
+
 def test_adding_a_source_needs_only_a_spec(spark, cfg):
     name = "Ann's Vault"
     extra = SourceSpec(name, ("sp_lob_domain",), ("sp_lob_domain",), ("lob",),
