@@ -8,7 +8,8 @@ move together, so that a step of the search is one array operation.
 
 Null text has no words. Rows keep their number and columns; repeated rows are
 judged each. Items without words or with a null id: the former never occur, the
-latter mark words but are not listed. Repeated item ids count once.
+latter mark words but are not listed. Repeated item ids count once. Where the name of the new column
+is taken, it gets underscores before it.
 """
 
 from __future__ import annotations
@@ -20,7 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from certwatch.llm.batches import mix, ranges, slices, word_bounds, word_hashes
+from certwatch.llm.batches import free_name, mix, ranges, slices, word_bounds, word_hashes
+from certwatch.staging import drop, stage
 
 _TABLE_BITS = 18
 _LANE = 256
@@ -154,11 +156,10 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-_HITS = pa.struct([("n_words", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                   ("item_ids", pa.list_(pa.int64()))])
+def _search(searcher: _Searcher, item_ids: list[list], id_type: pa.DataType, text: str, out: str):
+    hit_type = pa.struct([("n_words", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+                          ("item_ids", pa.list_(id_type))])
 
-
-def _search(searcher: _Searcher, item_ids: list[list[int]], text: str, out: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in slices(batches, text):
             words = _Words(data, offsets)
@@ -177,7 +178,7 @@ def _search(searcher: _Searcher, item_ids: list[list[int]], text: str, out: str)
                 hits[d]["spans"] = [{"start": a, "end": b} for a, b in _merged(list(pairs))]
                 found = {i for k in set(item[own].tolist()) for i in item_ids[k]}
                 hits[d]["item_ids"] = sorted(found | set(hits[d]["item_ids"]))
-            columns = [pa.array(hits, _HITS) if name == out else rows.column(i)
+            columns = [pa.array(hits, hit_type) if name == out else rows.column(i)
                        for i, name in enumerate(rows.schema.names)]
             yield pa.RecordBatch.from_arrays(columns, names=rows.schema.names)
 
@@ -188,20 +189,28 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, window: int = 13, text:
                   out: str = "passages") -> DataFrame:
     """``docs`` with ``out``: n_words, the hit word ranges (start, end exclusive) and the item_ids.
 
-    The benchmark is searched in blocks of at most 8 MB of different texts; each
-    block is one more pass over the same rows, without a shuffle.
+    item_ids are whole numbers or else strings, as in ``benchmark``. It is searched in blocks of about 8 MB of
+    different texts; each block is one more pass over the same rows, without a shuffle. Only one block's tables, some
+    13 times its text, are on the driver and in the tasks at a time: between blocks the rows are staged.
     """
-    items = (benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text"))
+    id_kind = "bigint" if dict(benchmark.dtypes)["item_id"] in ("tinyint", "smallint", "int", "bigint") else "string"
+    out = free_name(docs, out)
+    items = (benchmark.select(F.col("item_id").cast(id_kind).alias("item_id"), F.col("text"))
              .where(F.col("text").isNotNull())
              .groupBy("text").agg(F.sort_array(F.collect_set("item_id")).alias("item_ids")))
     size = items.agg(F.sum(F.octet_length("text") + 8 * F.size("item_ids"))).first()[0] or 0
     blocks = -(-size // _BLOCK_BYTES) or 1
-    kind = "struct<n_words:bigint,spans:array<struct<start:bigint,end:bigint>>,item_ids:array<bigint>>"
+    kind = f"struct<n_words:bigint,spans:array<struct<start:bigint,end:bigint>>,item_ids:array<{id_kind}>>"
     found = docs.withColumn(out, F.lit(None).cast(kind))
     for k in range(blocks):
         block = items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == k).collect()
         searcher = _Searcher([r["text"] for r in block], window)
-        found = found.mapInArrow(_search(searcher, [r["item_ids"] for r in block], text, out), found.schema)
+        search = _search(searcher, [r["item_ids"] for r in block], pa.int64() if id_kind == "bigint" else pa.string(), text, out)
+        before, found = found, found.mapInArrow(search, found.schema)
+        if k < blocks - 1:
+            found = stage(found, "passages")
+            if k:
+                drop(before)
     return found
 
 

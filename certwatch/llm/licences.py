@@ -11,7 +11,8 @@ only as whole sentences, words of a licence itself wherever they stand. The numb
 numbers stand next to one another, and what it matched is not matched again,
 so a longer licence text comes before a part of it.
 
-Null text has no sentences. Each row is judged on its own.
+Null text has no sentences. Each row is judged on its own. New columns whose names are taken get
+underscores before them.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from certwatch.llm.batches import free_name
+
 # fixed values: normalised sentences of common licence notices; a sentence's number is its place
 SENTENCES = (
     "licensed under the apache license version 2 0",
@@ -122,13 +125,15 @@ def sentence_numbers(text: Column) -> Column:
 
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with sentence_numbers array<int> and licences array<string>, in rule order, without repeats."""
-    numbered = docs.withColumn("sentence_numbers", sentence_numbers(F.col(text)))
-    left = F.array_join(F.transform("sentence_numbers", lambda n: F.concat(F.lit(";"), n.cast("string"), F.lit(";"))), "")
+    numbers_name, left_name = free_name(docs, "sentence_numbers"), free_name(docs, "_left")
+    numbered = docs.withColumn(numbers_name, sentence_numbers(F.col(text)))
+    left = F.array_join(F.transform(numbers_name, lambda n: F.concat(F.lit(";"), n.cast("string"), F.lit(";"))), "")
     found = []
-    numbered = numbered.withColumn("_left", left)
-    rest = F.col("_left")
+    numbered = numbered.withColumn(left_name, left)
+    rest = F.col(left_name)
     for name, numbers in RULES:
         wanted = "".join(f";{n};" for n in numbers)
         found.append(F.when(F.contains(rest, F.lit(wanted)), F.lit(name)))
         rest = F.replace(rest, F.lit(wanted), F.lit(";-;"))
-    return numbered.withColumn("licences", F.array_distinct(F.filter(F.array(*found), lambda x: x.isNotNull()))).drop("_left")
+    names = F.array_distinct(F.filter(F.array(*found), lambda x: x.isNotNull()))
+    return numbered.withColumn(free_name(docs, "licences"), names).drop(left_name)

@@ -7,7 +7,8 @@ gradient ascent on a small labelled table that is written by rule below, and dec
 Viterbi over all chains of a batch at once. It adds spans that touch no pattern's
 span and takes none away.
 
-Null text is empty. Positions are code points, end exclusive.
+Null text is empty. Positions are code points, end exclusive. New columns whose names are taken get
+underscores before them.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from certwatch.llm.batches import per_process, slices, word_bounds
+from certwatch.llm.batches import free_name, per_process, slices, word_bounds
 
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -310,6 +311,7 @@ def _find(crf: Crf, text: str, names: tuple[str, str]):
 def find_spans(docs: DataFrame, text: str = "text", names: tuple[str, str] = ("base_spans", "spans"),
                crf: Crf | None = None) -> DataFrame:
     """``docs`` with the patterns' spans and all spans."""
+    names = tuple(free_name(docs, n) for n in names)
     fields = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes)
     return docs.mapInArrow(_find(crf or per_process(("crf",), trained), text, names),
                            f"{fields}, `{names[0]}` {_SPAN}, `{names[1]}` {_SPAN}")

@@ -350,8 +350,8 @@ def group_variants(words: DataFrame) -> DataFrame:
     ``form`` is the near word of largest n, of equal ones the first in code-point order, if that is at least twice
     the word's own; ``root`` is where following forms ends.
     """
-    pairs = near_words(words)
-    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("b_n").alias("a_n"), F.col("a").alias("b"), F.col("a_n").alias("b_n")))
+    both = near_words(words).select(F.inline(F.array(F.struct("a", "b", "b_n"), F.struct(
+        F.col("b").alias("a"), F.col("a").alias("b"), F.col("a_n").alias("b_n")))))
     best = F.min(F.struct((-F.col("b_n")).alias("less"), F.col("b").alias("near")))
     near = both.groupBy(F.col("a").alias("_word")).agg(F.count(F.lit(1)).alias("n_near"), best.alias("best"))
     has_form = -F.col("best")["less"] >= 2 * F.col("n")

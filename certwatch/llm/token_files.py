@@ -1,10 +1,10 @@
 """Token-id files: concatenated ids with Elias-Fano document boundaries.
 
 A file set is a folder of Parquet shards. Each row is one block: the ids of
-consecutive documents, little-endian, back to back, and where each document
+consecutive documents, little-endian, back to back, how many ids its shard has before it, and where each document
 ends as an Elias-Fano sequence, about ``2 + log2(mean length)`` bits a document
 instead of 64. Documents are in ascending doc_id order over all blocks (nulls
-first, equal ids by text), so ``block`` numbers (shard, place) order the set.
+first, equal ids by text within a shard and by its hash between shards), so (shard, block) orders the set.
 
 Null text is an empty document; every document gets ``end_id`` appended. Repeated
 doc_ids stay separate documents. An empty table gives an empty set.
@@ -24,7 +24,7 @@ from certwatch.llm.vocabulary import encoder
 
 _SELECT_STEP = 256
 _BLOCK_TOKENS = 1 << 20
-_BLOCK_SCHEMA = ("shard int, block int, n_docs long, n_tokens long, width int, doc_ids array<bigint>, "
+_BLOCK_SCHEMA = ("shard int, block int, before long, n_docs long, n_tokens long, width int, doc_ids array<bigint>, "
                  "ids binary, low_bits int, low binary, high binary, samples binary")
 
 
@@ -89,17 +89,17 @@ class EliasFano:
 def _write_blocks(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = encoder(path)
-        block, docs, ids, size = 0, [], [], 0
+        block, before, docs, ids, size = 0, 0, [], [], 0
 
         def flush() -> pa.RecordBatch:
             ends = EliasFano.of(np.cumsum([len(x) for x in ids]))
-            row = {"shard": shard, "block": block, "n_docs": len(docs), "n_tokens": size,
+            row = {"shard": shard, "block": block, "before": before, "n_docs": len(docs), "n_tokens": size,
                    "width": tool.dtype.itemsize, "doc_ids": docs, "ids": b"".join(x.tobytes() for x in ids),
                    "low_bits": ends.low_bits, "low": ends.low.tobytes(), "high": ends.high.tobytes(),
                    "samples": ends.samples.tobytes()}
             return pa.RecordBatch.from_pylist([row], schema)
 
-        schema = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("n_docs", pa.int64()),
+        schema = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("before", pa.int64()), ("n_docs", pa.int64()),
                             ("n_tokens", pa.int64()), ("width", pa.int32()),
                             ("doc_ids", pa.list_(pa.int64())), ("ids", pa.binary()), ("low_bits", pa.int32()),
                             ("low", pa.binary()), ("high", pa.binary()), ("samples", pa.binary())])
@@ -112,7 +112,7 @@ def _write_blocks(path: str, end_id: int):
                 size += len(own) + 1
                 if size >= _BLOCK_TOKENS:
                     yield flush()
-                    block, docs, ids, size = block + 1, [], [], 0
+                    block, before, docs, ids, size = block + 1, before + size, [], [], 0
         if docs:
             yield flush()
 
@@ -133,13 +133,14 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
             ids = np.frombuffer(row["ids"], f"<u{row['width']}").astype("<u4")
-            ends = EliasFano(row["n_docs"], row["low_bits"], row["low"], row["high"], row["samples"]).all()
+            bounds = EliasFano(row["n_docs"], row["low_bits"], row["low"], row["high"], row["samples"])
+            ends = np.fromiter((bounds.select(i) for i in range(row["n_docs"])), np.int64, row["n_docs"])
             starts = np.concatenate([[0], ends[:-1]])
             own = memoryview(ids).cast("B")
             bounds = zip((starts * 4).tolist(), (ends * 4).tolist())
             yield pa.RecordBatch.from_pydict({
                 "doc_id": pa.array(row["doc_ids"], pa.int64()),
-                "start": pa.array(starts + row["before"], pa.int64()),
+                "start": pa.array(starts + row["before"] + row["shard_start"], pa.int64()),
                 "n_tokens": pa.array(ends - starts, pa.int64()),
                 "ids": pa.array([bytes(own[a:b]) for a, b in bounds], pa.binary()),
             })
@@ -148,20 +149,14 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids) of every document; ids as little-endian 32-bit words.
 
-    ``start`` counts the ids of all documents before it. The running total is over
-    one short row per block.
+    ``start`` counts the ids of all documents before it. Document ends come from the blocks' select structures, the
+    ids before a block in its shard stand in the file, and the running total is over one short row per shard.
     """
     blocks = spark.read.parquet(path)
     counts = blocks.groupBy("shard").agg(F.sum("n_tokens").alias("n"))
     shards = counts.select("shard", F.coalesce(F.sum("n").over(
         Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("shard_start"))
-    places = blocks.select("shard", "block", F.coalesce(F.sum("n_tokens").over(
-        Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0)).alias("block_start"))
-    before = places.join(shards, "shard").select(
-        "shard", "block", (F.col("shard_start") + F.col("block_start")).alias("before"))
-    # one short row per block, far smaller than any block's ids
-    return blocks.join(before.hint("broadcast"), ["shard", "block"]).mapInArrow(
+    return blocks.join(shards, "shard").mapInArrow(
         _documents, "doc_id long, start long, n_tokens long, ids binary")
 
 

@@ -8,7 +8,8 @@ lexicon as strangers do. Rows that are held out never reach the sample.
 
 Null text is empty text; an empty text gets a score too. A null doc_id is not
 held out. Labels that are null are left out; repeated labels count each. Without
-labels of both kinds every score is the share of toxic labels, 0 if there are none.
+labels of both kinds every score is the share of toxic labels, 0 if there are none. Where the name of the
+score's column is taken, it gets underscores before it.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from certwatch.llm.batches import mix, slices, word_bounds, word_hashes
+from certwatch.llm.batches import free_name, mix, slices, word_bounds, word_hashes
 from certwatch.staging import stage
 
 SAMPLE_ROWS = 40_000  # of the labelled rows, at most
@@ -191,7 +192,7 @@ class BoostedTrees:
 
 
 class Isotonic:
-    """The non-decreasing step function nearest to the labels, pooled from adjacent violators."""
+    """The non-decreasing function nearest to the labels, pooled from adjacent violators; linear between the margins seen."""
 
     def __init__(self, margin: np.ndarray, y: np.ndarray):
         order = np.argsort(margin, kind="stable")
@@ -285,5 +286,6 @@ def _score(model: Model, text: str, out: str):
 
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
     """``docs`` with a toxicity score from 0 to 1 of each whole text."""
+    out = free_name(docs, out)
     fields = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes)
     return docs.mapInArrow(_score(model, text, out), f"{fields}, `{out}` double")

@@ -83,6 +83,25 @@ def test_decontamination_in_several_blocks(spark, docs_of, monkeypatch):
     assert all(len(r["passages"]["spans"]) == 2 for r in got)
 
 
+def test_new_columns_never_replace_others(spark, docs_of):
+    docs = docs_of(ODD_TEXTS).selectExpr("*", "1 as passages", "2 as base_spans", "3 as sentence_numbers", "4 as licences", "5 as _left", "6 as _score")
+    bench = spark.createDataFrame([(1, "one")], "item_id int, text string")
+    for out, new in ((decontamination.find_passages(docs, bench), ["_passages"]), (toxicity.score(docs, toxicity.Model(None, None, None, 0.5)), ["__score"]),
+                     (personal_data.find_spans(docs), ["_base_spans", "_spans"]), (licences.scan(docs), ["_sentence_numbers", "_licences"])):
+        assert out.columns == [*docs.columns, *new]
+        kept = [r for r in out.select("passages", "base_spans", "sentence_numbers", "licences", "_left", "_score").distinct().collect()]
+        assert [tuple(r) for r in kept] == [(1, 2, 3, 4, 5, 6)]
+
+
+def test_benchmark_in_blocks_with_string_ids(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(decontamination, "_BLOCK_BYTES", 60)
+    texts = [(i, f"a{i} b{i} c{i % 3} common words and more of them to fill this up") for i in range(6)]
+    items = [(f"x{i}", t) for i, t in texts[:5]]
+    got = decontamination.find_passages(docs_of(texts), spark.createDataFrame(items, "item_id string, text string"))
+    found = {r["doc_id"]: sorted(r["passages"]["item_ids"]) for r in got.collect()}
+    assert found == {i: [f"x{i}"] if i < 5 else [] for i in range(6)}
+
+
 # --- 2 ---
 
 def test_token_files_round_trip(spark, docs_of, tmp_path):
