@@ -49,7 +49,8 @@ def write_alerts(documents: DataFrame, certificates: DataFrame, path: str, cfg:
     spark = documents.sparkSession
     folder = versions.new_folder()
     for name, table in (("documents", latest_documents(documents)), ("certificates", certificates)):
-        table.write.partitionBy("source").parquet(f"{path}/{folder}/{name}")
+        # no folders per source: a run without alerts must leave a table with columns too
+        table.sortWithinPartitions("source").write.parquet(f"{path}/{folder}/{name}")
     keep_after = cfg.as_of_utc - timedelta(hours=cfg.alert_retention_hours)
     kept = [(r["folder"], r["as_of"]) for r in versions.live_folders(spark, path) or () if r["as_of"] > keep_after]
     versions.publish(spark, path, [*kept, (folder, cfg.as_of_utc)])
