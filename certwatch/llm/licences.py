@@ -45,10 +45,39 @@ SENTENCES = (
     "this work is licensed under a creative commons attribution 4 0 international license",
     "this work is licensed under a creative commons attribution sharealike 4 0 international license",
     "all advertising materials mentioning features or use of this software must display the following acknowledgement",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+    "this source code form is subject to the terms of the mozilla public license v 2 0",
+    "this is free and unencumbered software released into the public domain",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version",
+    "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version",
+    "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version",
 )
 
-# the sentences below this number are known only whole, the longer ones also inside a sentence
-WHOLE = 6
+# fixed values: SPDX identifiers as they read when normalised, with other usual names of the licence (patterns)
+NAMES = (
+    ("MIT", "mit", "(?:mit|expat) licen[cs]e"),
+    ("ISC", "isc", "isc licen[cs]e"),
+    ("Apache-2.0", "apache 2 0", "(?:apache(?: software)? licen[cs]e(?: version| v)? ?2(?: 0)?|apache 2(?: 0)? licen[cs]e)"),
+    ("BSD-2-Clause", "bsd 2 clause", "(?:simplified bsd|bsd 2 clause|2 clause bsd) licen[cs]e"),
+    ("BSD-3-Clause", "bsd 3 clause", "(?:(?:new|modified|revised) bsd|bsd 3 clause|3 clause bsd) licen[cs]e"),
+    ("MPL-2.0", "mpl 2 0", "mozilla public licen[cs]e(?: version| v)? ?2(?: 0)?"),
+    ("GPL-2.0", "gpl 2 0", "(?:gnu )?(?:general public licen[cs]e|gpl)(?: version| v)? ?2(?: 0)?"),
+    ("GPL-3.0", "gpl 3 0", "(?:gnu )?(?:general public licen[cs]e|gpl)(?: version| v)? ?3(?: 0)?"),
+    ("LGPL-2.1", "lgpl 2 1", "(?:gnu )?(?:lesser general public licen[cs]e|lgpl)(?: version| v)? ?2 1"),
+    ("LGPL-3.0", "lgpl 3 0", "(?:gnu )?(?:lesser general public licen[cs]e|lgpl)(?: version| v)? ?3(?: 0)?"),
+    ("AGPL-3.0", "agpl 3 0", "(?:gnu )?(?:affero general public licen[cs]e|agpl)(?: version| v)? ?3(?: 0)?"),
+    ("Unlicense", "unlicense", "unlicense"),
+    ("CC0-1.0", "cc0 1 0", "(?:creative commons zero|cc0)(?: version| v)?(?: 1 0)?(?: universal)?(?: licen[cs]e)?"),
+    ("CC-BY-4.0", "cc by 4 0", "creative commons attribution 4 0(?: international)?(?: licen[cs]e)?"),
+    ("CC-BY-SA-4.0", "cc by sa 4 0", "creative commons attribution share ?alike 4 0(?: international)?(?: licen[cs]e)?"),
+    ("CC-BY-NC-4.0", "cc by nc 4 0", "creative commons attribution non ?commercial 4 0(?: international)?(?: licen[cs]e)?"),
+)
+_TAGS = len(SENTENCES)  # numbers of the identifiers begin here, those of the notices that name a licence after them
+SENTENCES += tuple(f"spdx license identifier {tag}" for _, tag, _ in NAMES) + tuple(f"licensed under {tag}" for _, tag, _ in NAMES)
+
+# these are known only whole, the other sentences also inside a sentence
+WHOLE = (*range(6), *range(_TAGS, len(SENTENCES)))
 
 # fixed values: patterns of other usual wordings of a sentence, by its number; ``WORDS`` stands for a name
 _DISCLAIMER = "this list of conditions and the following disclaimers?"
@@ -71,8 +100,17 @@ VARIANTS = {n: tuple(v.replace("WORDS ", "(?:[a-z0-9]+[|/ ]){1,15}?") for v in v
     17: ("licensed under (?:a|the) creative commons attribution non ?commercial 4 0 (?:international )?(?:public )?license",),
     18: ("licensed under (?:a|the) creative commons attribution 4 0 (?:international )?(?:public )?license",),
     19: ("licensed under (?:a|the) creative commons attribution share ?alike 4 0 (?:international )?(?:public )?license",),
+    21: ("permission to use copy modify (?:and or|and) distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",),
+    22: ("subject to the terms of the mozilla public license v[|/ ]?2[|/ ]0",),
+    24: ("under the terms of the gnu general public license as published by the free software foundation (?:either )?version 2",),
+    25: ("under the terms of the gnu (?:lesser|library) general public license as published by the free software foundation (?:either )?version 2[|/ ]1",),
+    26: ("under the terms of the gnu lesser general public license as published by the free software foundation (?:either )?version 3",),
+    27: ("under the terms of the gnu affero general public license as published by the free software foundation (?:either )?version 3",),
     20: ("all advertising materials mentioning features or use of this software must display the following acknowledge?ment",),
 }.items()}
+_UNDER = "(?:(?:this|the) [a-z0-9]+ (?:is|are) )?(?:licen[cs]ed|released|distributed|available|published|provided) under (?:the )?(?:terms of the )?"
+VARIANTS |= {_TAGS + i: (f"spdx licen[cs]e identifier {tag}(?: only| or later)?",) for i, (_, tag, _) in enumerate(NAMES)}
+VARIANTS |= {_TAGS + len(NAMES) + i: (f"{_UNDER}(?:{tag}|{name})(?: only| or later)?",) for i, (_, tag, name) in enumerate(NAMES)}
 
 # fixed values: licence and the sentence numbers it needs, in the order they are tried
 RULES = (
@@ -93,6 +131,14 @@ RULES = (
     ("CC-BY-NC-4.0", (17,)),
     ("CC-BY-SA-4.0", (19,)),
     ("CC-BY-4.0", (18,)),
+    ("ISC", (21,)),
+    ("MPL-2.0", (22,)),
+    ("Unlicense", (23,)),
+    ("GPL-2.0", (24,)),
+    ("LGPL-2.1", (25,)),
+    ("LGPL-3.0", (26,)),
+    ("AGPL-3.0", (27,)),
+    *((name, (k + i,)) for k in (_TAGS, _TAGS + len(NAMES)) for i, (name, _, _) in enumerate(NAMES)),
 )
 
 # steps from lower-cased text to words with ``|`` where a sentence ends and ``/`` where it may end
@@ -116,7 +162,8 @@ def sentence_numbers(text: Column) -> Column:
     words = F.concat(F.lit("\n\n"), words, F.lit("\n\n"))
     for pattern, by in _STEPS:
         words = F.regexp_replace(words, pattern, by)
-    whole, longer = "|".join(map(_pattern, range(WHOLE))), "|".join(map(_pattern, range(WHOLE, len(SENTENCES))))
+    whole = "|".join(map(_pattern, WHOLE))
+    longer = "|".join(_pattern(n) for n in range(len(SENTENCES)) if n not in WHOLE)
     known = f"(?<=[|/ ])(?:{longer})(?=[|/ ])|(?<=[|/])(?:{whole})(?=[|/])"
     found = F.regexp_extract_all(words, F.lit(known), F.lit(0))
     return F.transform(found, lambda s: F.coalesce(*[

@@ -324,6 +324,25 @@ def test_licences(docs_of):
     assert licences.scan(docs_of([])).count() == 0
 
 
+def test_licences_named_in_one_line(docs_of):
+    cases = [("This project is licensed under the MIT License.", "MIT"), ("Licensed under the MIT license", "MIT"),
+             ("// SPDX-License-Identifier: MIT", "MIT"), ("# SPDX-License-Identifier: GPL-2.0-only\nint x;", "GPL-2.0"),
+             ("/* SPDX-License-Identifier: LGPL-3.0-or-later */", "LGPL-3.0"), ("The code is released under the terms of the ISC licence.", "ISC"),
+             ("This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not", "MPL-2.0"),
+             ("This is free and unencumbered software released into the public domain.\n\nAnyone is free", "Unlicense"),
+             ("Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, "
+              "provided that the above\ncopyright notice and this permission notice appear in all copies.", "ISC"),
+             ("This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\n"
+              "License as published by the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version.", "LGPL-2.1"),
+             ("This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published "
+              "by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.", "GPL-2.0"),
+             ("Distributed under the GNU Affero General Public License v3.0.", "AGPL-3.0"), ("Released under the 3-Clause BSD License.", "BSD-3-Clause"),
+             ("Licensed under CC0 1.0 Universal.", "CC0-1.0"), ("Published under the Creative Commons Attribution-ShareAlike 4.0 International License.", "CC-BY-SA-4.0"),
+             ("We were not licensed under the MIT License until now, they said.", None), ("A permit under the MIT rule.", None)]
+    got = {r[0]: r[1] for r in licences.scan(docs_of([(i, t) for i, (t, _) in enumerate(cases)])).select("doc_id", "licences").collect()}
+    assert got == {i: [name] if name else [] for i, (_, name) in enumerate(cases)}
+
+
 def test_licences_own_wording_wrapped_and_unwrapped(docs_of):
     bsd = Path("/usr/share/common-licenses/BSD").read_text()
     apache, gpl = (Path(f"/usr/share/common-licenses/{n}").read_text() for n in ("Apache-2.0", "GPL-3"))
@@ -347,7 +366,7 @@ copies or substantial portions of the Software.
     cases = [(bsd, ["BSD-3-Clause"]), (two, ["BSD-2-Clause"]), (four, ["BSD-4-Clause"]), (bsd + bsd, ["BSD-3-Clause"]),
              (bsd.replace("the University nor", "A. B. Co., Inc. nor"), ["BSD-3-Clause"]), (mit, ["MIT"]),
              (apache, ["Apache-2.0"]), (apache_header, ["Apache-2.0"]), (gpl, ["GPL-3.0"]), (gpl_header, ["GPL-3.0"]),
-             (gpl_header.replace("version 3", "version 2"), []), (bsd.replace("documentation", "papers"), [])]
+             (gpl_header.replace("version 3", "version 2"), ["GPL-2.0"]), (gpl_header.replace("version 3", "version 1"), []), (bsd.replace("documentation", "papers"), [])]
     layouts = (lambda t: t, lambda t: " ".join(t.split()), lambda t: t.replace("\n", "\r\n"),
                lambda t: "\n\n".join(" ".join(p.split()) for p in re.split(r"\n\s*\n", t)),
                lambda t: "".join(f" * {line}\n" for line in t.split("\n")), lambda t: "".join(f"# {line}\n" for line in t.split("\n")))
