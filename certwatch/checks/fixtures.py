@@ -95,13 +95,27 @@ FROM certs
 WHERE sp_name = 'HashiCorp' AND sp_microservice_name LIKE 'cl%' AND sp_microservice_name NOT LIKE '%3'
 """
 
+# some documents are cut short, or no object; dates and numbers come in several forms
 CERT_DOCS_SQL = """
-SELECT id, '{"distinguished_name":"' || distinguished_name || '","csi_application_id":'
-  || CASE WHEN id % 3 = 0 THEN CAST(id % 500 AS STRING) ELSE '"' || csi_raw || '"' END
+SELECT id, CASE WHEN id % 83 = 0 THEN substr(d, 1, length(d) - 5) WHEN id % 89 = 0 THEN '[1, 2]' ELSE d END AS doc
+FROM (SELECT id, '{"distinguished_name":"' || distinguished_name || '","csi_application_id":'
+  || CASE WHEN id % 3 = 0 THEN CAST(id % 500 AS STRING) WHEN id % 7 = 0 THEN CAST(id % 500 AS STRING) || '.625' ELSE '"' || csi_raw || '"' END
+  || CASE id % 4 WHEN 0 THEN ',"start_date":"2023-06-0' || CAST(id % 9 + 1 AS STRING) || 'T08:30:00"'
+       WHEN 1 THEN ',"start_date":"2023-01-15"' WHEN 2 THEN ',"start_date":"soon"' ELSE ',"start_date":null' END
+  || ',"expiration_date":"' || CAST(expiration_date AS STRING) || '","log_date":"' || CAST(log_date AS STRING) || 'T23:59:59","status":"'
+  || status || '","days_to_expiration":'
+  || CASE id % 5 WHEN 0 THEN '"' || CAST(days_to_expiration AS STRING) || '"' WHEN 1 THEN CAST(days_to_expiration AS STRING) || '.75'
+       WHEN 2 THEN '"' || CAST(days_to_expiration AS STRING) || ' days"' ELSE CAST(days_to_expiration AS STRING) END
   || ',"source_properties":{"name":"' || sp_name || '","instance_name":'
   || CASE WHEN id % 5 = 0 THEN CAST(id AS STRING) ELSE '"' || sp_instance_name || '"' END
-  || CASE WHEN id % 4 = 0 THEN '' ELSE ',"environment":" ' || sp_environment || ' "' END || '}}' AS doc
-FROM certs
+  || CASE WHEN id % 4 = 0 THEN '' ELSE ',"environment":" ' || sp_environment || ' "' END
+  || coalesce(',"serial_number":"' || sp_serial_number || '"', '') || coalesce(',"microservice_name":"' || sp_microservice_name || '"', '')
+  || coalesce(',"san_names":"' || sp_san_names || '"', ',"san_names":null') || coalesce(',"internal_ssg_domain":"' || sp_internal_ssg_domain || '"', '')
+  || ',"ssg_domain":"' || sp_ssg_domain || '","openshift_namespace":"' || sp_openshift_namespace || '","evolven_host":"' || sp_evolven_host
+  || '","evolven_path":"' || sp_evolven_path || '","ssl_cm_status":"' || sp_ssl_cm_status || '","ssg_url":"' || sp_ssg_url || '"'
+  || coalesce(',"certificate_owner":"' || sp_certificate_owner || '"', '') || coalesce(',"support_group_email":"' || sp_support_group_email || '"', '')
+  || coalesce(',"ssg_url_in":"' || sp_ssg_url_in || '"', '') || coalesce(',"ssg_url_out":"' || sp_ssg_url_out || '"', '') || '}}' AS d
+FROM certs) AS whole
 """
 
 

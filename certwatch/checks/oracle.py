@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from certwatch.checks.fixtures import ACKS_SQL, CERT_DOCS_SQL, CERTS_SQL, NUMBERED_SQL, REPLICAS_SQL
 from certwatch.config import DEFAULT_ENVIRONMENTS, DEFAULT_NOISE_WORDS
+from certwatch.schema import SOURCE_PROPERTIES
 
 
 def _in(values) -> str:
@@ -54,6 +55,17 @@ _TEXT = ("distinguished_name", "status", "sp_name", "sp_serial_number", "sp_envi
          "sp_support_group_email", "sp_ssg_url", "sp_ssg_url_in", "sp_ssg_url_out")
 
 
+def _whole(name: str) -> str:
+    """A whole number of a document; numbers are cut, quoted ones are not."""
+    text = f"doc->>'$.{name}'"
+    return (f"CASE WHEN json_type(doc, '$.{name}') = 'VARCHAR' THEN {_bigint(_safe(text))} "
+            f"ELSE CAST(trunc(TRY_CAST({text} AS DOUBLE)) AS BIGINT) END")
+
+
+def _property(name: str) -> str:
+    return f"doc->>'$.source_properties.{name}'"
+
+
 def _wild(*keys: str) -> str:
     return " AND ".join(f"(a.{k} IS NULL OR c.{k} = a.{k})" for k in keys)
 
@@ -221,13 +233,20 @@ _SELECTS: dict[str, str] = {
     "eligible_scan": "SELECT id, sp_name, days_to_expiration, dn_clean, serial AS serial_number_upper FROM elig",
     "flatten_documents": f"""
 SELECT id, {_safe("doc->>'$.distinguished_name'")} AS distinguished_name,
-  {_bigint(_safe("doc->>'$.csi_application_id'"))} AS csi_application_id,
-  {_safe("doc->>'$.source_properties.name'")} AS sp_name,
-  {_safe("doc->>'$.source_properties.instance_name'")} AS sp_instance_name,
-  {_safe("doc->>'$.source_properties.environment'")} AS sp_environment,
-  {_safe("doc->>'$.source_properties.ssg_url'")} AS sp_ssg_url,
-  {_dn_clean(_safe("doc->>'$.distinguished_name'"))} AS dn_clean
-FROM cert_docs""",
+  {', '.join(f"strftime(TRY_CAST(doc->>'$.{c}' AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS {c}" for c in ('start_date', 'expiration_date', 'log_date'))},
+  {', '.join(f"{_whole(c)} AS {c}" for c in ('csi_application_id', 'days_to_expiration'))}, {_safe("doc->>'$.status'")} AS status,
+  {', '.join(f"{_safe(_property(p))} AS sp_{p}" for p in SOURCE_PROPERTIES)},
+  {_dn_clean(_safe("doc->>'$.distinguished_name'"))} AS dn_clean, upper({_safe(_property('serial_number'))}) AS serial_number_upper
+FROM (SELECT * FROM cert_docs WHERE json_valid(doc) AND doc LIKE '{{%')""",
+    "document_issues": f"""
+SELECT id, 'unreadable document' AS reason, false AS kept FROM cert_docs WHERE NOT json_valid(doc) OR doc NOT LIKE '{{%'
+UNION ALL
+SELECT id, 'malformed ' || array_to_string(lost, ', '), true FROM (
+  SELECT id, list_filter([CASE WHEN TRY_CAST(doc->>'$.start_date' AS TIMESTAMP) IS NULL AND doc->>'$.start_date' <> '' THEN 'start_date' END,
+    CASE WHEN {_whole('csi_application_id')} IS NULL AND {_safe("doc->>'$.csi_application_id'")} <> '' THEN 'csi_application_id' END,
+    CASE WHEN {_whole('days_to_expiration')} IS NULL AND {_safe("doc->>'$.days_to_expiration'")} <> '' THEN 'days_to_expiration' END],
+    lambda x: x IS NOT NULL) AS lost
+  FROM (SELECT * FROM cert_docs WHERE json_valid(doc) AND doc LIKE '{{%')) WHERE len(lost) > 0""",
     "dn_clean": f"SELECT id, {_dn_clean('distinguished_name')} AS dn_clean FROM certs",
     "serial_norm": f"SELECT id, upper({_safe('sp_serial_number')}) AS serial_norm FROM certs",
     "safe_casts": f"""

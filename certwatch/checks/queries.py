@@ -53,9 +53,14 @@ def eligible_scan(spark, sf_dir):
 
 @_query
 def flatten_documents(spark, sf_dir):
-    return certificates.flatten_documents(fx.cert_docs(spark, sf_dir), CFG).select(
-        "id", "distinguished_name", "csi_application_id", "sp_name", "sp_instance_name",
-        "sp_environment", "sp_ssg_url", "dn_clean")
+    """All 38 columns; moments as text."""
+    flat = certificates.flatten_documents(fx.cert_docs(spark, sf_dir), CFG)
+    return flat.select(*[F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) if t == "timestamp" else F.col(c) for c, t in flat.dtypes])
+
+
+@_query
+def document_issues(spark, sf_dir):
+    return certificates.document_issues(fx.cert_docs(spark, sf_dir))
 
 
 @_query

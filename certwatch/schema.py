@@ -35,17 +35,6 @@ KEYED_SNAPSHOT_SCHEMA = T.StructType([T.StructField("id", _L)] + SNAPSHOT_SCHEMA
 STORED_SNAPSHOT_SCHEMA = T.StructType(
     KEYED_SNAPSHOT_SCHEMA.fields + [T.StructField("snapshot_ts", _TS)])
 
-# JSON text is read all-string first; casts come afterwards and never fail a row.
-RAW_DOC_SCHEMA = T.StructType(
-    [
-        T.StructField(n, _S)
-        for n in ("distinguished_name", "start_date", "expiration_date",
-                  "csi_application_id", "status", "days_to_expiration", "log_date")
-    ]
-    + [T.StructField("source_properties",
-                     T.StructType([T.StructField(p, _S) for p in SOURCE_PROPERTIES]))]
-)
-
 ACK_SCHEMA = T.StructType(
     [T.StructField(n, _S) for n in ("source", "serial_number", "distinguished_name", "user")]
     + [T.StructField("log_datetime", _TS)]

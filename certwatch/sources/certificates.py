@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from certwatch.config import STATUS_VALID, Params
 from certwatch.functions.text import conform, dn_clean, safe_bigint, safe_str, safe_timestamp
-from certwatch.schema import KEYED_SNAPSHOT_SCHEMA, RAW_DOC_SCHEMA, SOURCE_PROPERTIES
+from certwatch.schema import KEYED_SNAPSHOT_SCHEMA, SOURCE_PROPERTIES
 
 
 def scan_eligible(certs: DataFrame, cfg: Params) -> DataFrame:
@@ -34,37 +34,65 @@ def add_computed(df: DataFrame, cfg: Params) -> DataFrame:
         "serial_number_upper", F.upper("sp_serial_number"))
 
 
+_DATES, _NUMBERS = ("start_date", "expiration_date", "log_date"), ("csi_application_id", "days_to_expiration")
+
+
+def _text(name: str) -> Column:
+    return F.try_variant_get("v", f"$.{name}", "string")
+
+
 def _bigint(name: str) -> Column:
-    """A whole number from text; a JSON number with decimals is cut to its whole part, quoted text is not."""
-    text, whole = F.col(f"d.{name}"), safe_bigint(F.col(f"d.{name}"))
-    number = F.schema_of_variant(F.try_variant_get(F.try_parse_json("json"), f"$.{name}", "variant")) != "STRING"
-    cut = F.expr(f"try_cast(try_cast(d.{name} AS decimal(38, 10)) AS bigint)")
-    # only what is no plain integer is parsed a second time
-    return F.when(whole.isNotNull() | text.isNull() | F.col("json").isNull(), whole).when(number, cut)
+    """A whole number; a JSON number with decimals is cut to its whole part, quoted text is not."""
+    kind = F.schema_of_variant(F.try_variant_get("v", f"$.{name}", "variant"))
+    return F.when(kind == "STRING", safe_bigint(_text(name))).otherwise(
+        F.try_variant_get("v", f"$.{name}", "decimal(38,10)").try_cast("bigint"))
 
 
-def flatten_documents(docs: DataFrame, cfg: Params, doc: str | Column = "doc") -> DataFrame:
-    """(id, JSON text or struct) to (id, 37 snapshot columns); malformed values become NULL."""
+def _parsed(docs: DataFrame, doc: str | Column) -> DataFrame:
+    """(id, v): the document as a variant, parsed once; NULL where it is no JSON object."""
     column = F.col(doc) if isinstance(doc, str) else doc
     parsed = docs.select("id", column.alias("d"))
-    if dict(parsed.dtypes)["d"] == "string":
-        parsed = parsed.select("id", F.from_json("d", RAW_DOC_SCHEMA).alias("d"), F.col("d").alias("json"))
-    else:
-        parsed = parsed.withColumn("json", F.lit(None).cast("string"))
-    flat = parsed.select(
+    kind = dict(parsed.dtypes)["d"]
+    if kind == "string":
+        is_object = F.startswith(F.ltrim("d", F.lit(" \t\r\n")), F.lit("{"))
+        return parsed.select("id", F.when(is_object, F.try_parse_json("d")).alias("v"))
+    return parsed.select("id", (F.col("d") if kind == "variant" else F.to_variant_object("d")).alias("v"))
+
+
+def flatten_documents(docs: DataFrame, cfg: Params, doc: str | Column = "doc") -> DataFrame:
+    """(id, JSON text or struct) to (id, 37 snapshot columns); malformed values become NULL.
+
+    Documents that cannot be read have no row here; ``document_issues`` names them.
+    """
+    # a generator, as a filter would be pushed below the parsing and repeat it
+    readable = _parsed(docs, doc).select("id", F.explode(F.array_compact(F.array("v"))).alias("v"))
+    flat = readable.select(
         "id",
-        safe_str(F.col("d.distinguished_name")).alias("distinguished_name"),
-        safe_timestamp(F.col("d.start_date")).alias("start_date"),
-        safe_timestamp(F.col("d.expiration_date")).alias("expiration_date"),
+        safe_str(_text("distinguished_name")).alias("distinguished_name"),
+        safe_timestamp(_text("start_date")).alias("start_date"),
+        safe_timestamp(_text("expiration_date")).alias("expiration_date"),
         _bigint("csi_application_id").alias("csi_application_id"),
-        safe_str(F.col("d.status")).alias("status"),
+        safe_str(_text("status")).alias("status"),
         _bigint("days_to_expiration").alias("days_to_expiration"),
-        safe_timestamp(F.col("d.log_date")).alias("log_date"),
-        *[safe_str(F.col(f"d.source_properties.{p}")).alias(f"sp_{p}") for p in SOURCE_PROPERTIES],
+        safe_timestamp(_text("log_date")).alias("log_date"),
+        *[safe_str(_text(f"source_properties.{p}")).alias(f"sp_{p}") for p in SOURCE_PROPERTIES],
     )
     return to_snapshot(flat, cfg)
 
 
+def document_issues(docs: DataFrame, doc: str | Column = "doc") -> DataFrame:
+    """(id, reason, kept): documents that cannot be read, and those whose dates or numbers cannot, with their fields.
+
+    The latter are kept, with NULL there.
+    """
+    values = [(n, safe_timestamp(_text(n))) for n in _DATES] + [(n, _bigint(n)) for n in _NUMBERS]
+    lost = F.array_compact(F.array(*[F.when(safe_str(_text(n)).isNotNull() & v.isNull(), F.lit(n)) for n, v in values]))
+    checked = _parsed(docs, doc).select("id", F.col("v").isNotNull().alias("kept"), lost.alias("lost"))
+    reason = F.when(~F.col("kept"), "unreadable document").when(
+        F.size("lost") > 0, F.concat(F.lit("malformed "), F.array_join("lost", ", ")))
+    return checked.select("id", "kept", F.explode(F.array_compact(F.array(reason))).alias("reason")).select("id", "reason", "kept")
+
+
 def to_snapshot(flat: DataFrame, cfg: Params) -> DataFrame:
     """Conform flattened rows to (id, 37 snapshot columns) and compute the derived two."""
     return conform(add_computed(flat, cfg), KEYED_SNAPSHOT_SCHEMA)

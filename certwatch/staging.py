@@ -30,13 +30,13 @@ def staging_dir(spark: SparkSession) -> str:
     return _local_dir()
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     spark = df.sparkSession
     path = f"{staging_dir(spark).rstrip('/')}/certwatch-{label}-{uuid.uuid4().hex}"
     before = spark.conf.get(_CLEANUP, "false")
     spark.conf.set(_CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        df.write.parquet(path, compression=compression)
     finally:
         spark.conf.set(_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)

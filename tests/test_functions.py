@@ -112,7 +112,18 @@ def test_json_numbers_and_quoted_numbers(spark, cfg):
             (3, '{"days_to_expiration":-3.9,"csi_application_id":7}'), (4, '{"days_to_expiration":"x"}'), (5, '{"days_to')]
     flat = flatten_documents(spark.createDataFrame(docs, "id int, doc string"), cfg)
     got = {r["id"]: (r["days_to_expiration"], r["csi_application_id"]) for r in flat.collect()}
-    assert got == {1: (5, 12), 2: (None, 8), 3: (-3, 7), 4: (None, None), 5: (None, None)}
+    assert got == {1: (5, 12), 2: (None, 8), 3: (-3, 7), 4: (None, None)}
+
+
+def test_documents_that_cannot_be_read_are_named(spark):
+    from certwatch.sources.certificates import document_issues
+
+    docs = [(1, '{"start_date":"2024-01-01","log_date":null,"days_to_expiration":3}'), (2, '{"days_to'), (3, None), (4, "[]"), (5, '"x"'), (6, ""),
+            (7, '{"start_date":"soon","days_to_expiration":"3.5","csi_application_id":" null "}'), (8, "{}")]
+    got = {r["id"]: (r["reason"], r["kept"]) for r in document_issues(spark.createDataFrame(docs, "id int, doc string")).collect()}
+    assert got == {i: ("unreadable document", False) for i in (2, 3, 4, 5, 6)} | {7: ("malformed start_date, days_to_expiration", True)}
+    struct = spark.sql("SELECT 1 AS id, named_struct('start_date', 'soon', 'source_properties', named_struct('name', 'SSG')) AS doc")
+    assert [r["reason"] for r in document_issues(struct).collect()] == ["malformed start_date"]
 
 
 def test_as_of_is_converted_to_utc():
