@@ -62,7 +62,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int) -> DataF
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
                        F.monotonically_increasing_id().alias("row_key"), F.spark_partition_id().alias("part"))
-    return stage(rows.mapInArrow(_cut(tokenizer, end_id, size), _PIECES), "pieces")
+    return stage(rows.mapInArrow(_cut(tokenizer, end_id, size), _PIECES), "pieces", "zstd")
 
 
 class _Plan:

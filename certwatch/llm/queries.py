@@ -51,7 +51,7 @@ def op7_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.cut_pieces(_table(spark, sf_dir, "documents"), tokenizer_file(), 0, 2048)
-    written = stage(packing.sequences(packing.pack(pieces, 2048)), "sequences")
+    written = stage(packing.sequences(packing.pack(pieces, 2048)), "sequences", "zstd")
     drop(pieces)
     return packing.read_sequences(written).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
