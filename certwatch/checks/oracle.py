@@ -8,6 +8,8 @@ already rule out (it never exceeds the insert/delete distance).
 
 from __future__ import annotations
 
+import json
+
 from certwatch.checks.fixtures import ACKS_SQL, CERT_DOCS_SQL, CERTS_SQL, NUMBERED_SQL, REPLICAS_SQL
 from certwatch.config import DEFAULT_ENVIRONMENTS, DEFAULT_NOISE_WORDS
 from certwatch.schema import SOURCE_PROPERTIES
@@ -348,9 +350,14 @@ SELECT source, upsert_key, group_ord FROM docs WHERE group_ord % 48 < 24""",
 SELECT count(*) AS upserted, count(*) - count(DISTINCT source || upsert_key) AS collisions, 0::BIGINT AS errors FROM docs""",
     "run_summary_by_source": """
 SELECT *, action_required + matched_renewal + missing_service AS total_alerts FROM by_source""",
-    "run_summary_totals": """
+    "run_summary_totals": f"""
 SELECT (SELECT count(*) FROM elig) AS snapshot_row_count, sum(action_required)::BIGINT AS total_action_required,
-  sum(matched_renewal)::BIGINT AS total_matched_renewal, sum(missing_service)::BIGINT AS total_missing_service
+  sum(matched_renewal)::BIGINT AS total_matched_renewal, sum(missing_service)::BIGINT AS total_missing_service,
+  'the/snapshot' AS snapshot_path, '2024-06-01 00:00:00' AS run_datetime,
+  string_agg(source || ':' || action_required || ':' || matched_renewal || ':' || missing_service || ':'
+    || (action_required + matched_renewal + missing_service), ';' ORDER BY source_order) AS sources,
+  90.0::DOUBLE AS renewal_score_threshold, 0.6::DOUBLE AS length_ratio_min, 1095::BIGINT AS alert_days_max,
+  '{'|'.join(_SOURCES)}' AS active_sources, '{json.dumps(list(DEFAULT_ENVIRONMENTS), separators=(",", ":"))}' AS environments
 FROM by_source""",
     "report_snapshot": "SELECT source_order, source, action_required FROM by_source WHERE action_required > 0",
     "action_table": f"""

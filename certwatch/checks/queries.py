@@ -41,7 +41,7 @@ def _alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.extract_alerts(_eligible(spark, sf_dir), CFG)
 
 
-def _joined(c: str) -> Column:
+def _joined(c: str | Column) -> Column:
     return F.array_join(c, "|")
 
 
@@ -313,8 +313,15 @@ def run_summary_by_source(spark, sf_dir):
 def run_summary_totals(spark, sf_dir):
     snap = fx.snapshot(spark, sf_dir)
     flat = alert_rows(snap, fx.acks(spark, sf_dir), fx.replicas(spark, sf_dir), CFG)
-    return summary.run_summary(summary.run_summary_by_source(flat, CFG), snap, CFG).select(
-        "snapshot_row_count", "total_action_required", "total_matched_renewal", "total_missing_service")
+    used = F.col("settings_snapshot")
+    return summary.run_summary(summary.run_summary_by_source(flat, CFG), snap, CFG, "the/snapshot").select(
+        "snapshot_row_count", "total_action_required", "total_matched_renewal", "total_missing_service", "snapshot_path",
+        F.date_format("run_datetime", "yyyy-MM-dd HH:mm:ss").alias("run_datetime"),
+        F.expr("array_join(transform(sources, s -> concat_ws(':', s.source, s.action_required, s.matched_renewal, s.missing_service, "
+               "s.total_alerts)), ';')").alias("sources"),
+        used["renewal_score_threshold"].alias("renewal_score_threshold"), used["length_ratio_min"].alias("length_ratio_min"),
+        (used["alert_days_max"] + 0).cast("bigint").alias("alert_days_max"), _joined(used["active_sources"]).alias("active_sources"),
+        F.to_json(used["environments"]).alias("environments"))
 
 
 @_query

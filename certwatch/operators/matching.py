@@ -21,6 +21,7 @@ most 2^keys per source), which keeps every lookup an equi-join.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +31,7 @@ from certwatch.functions.scoring import rounded
 from certwatch.functions.text import token_sorted_clean
 from certwatch.operators.ranking import first_k, representatives
 from certwatch.operators.similarity import neighbours, signatures, similar_pairs, strangers, with_bags
-from certwatch.staging import stage
+from certwatch.staging import drop, stage
 
 _POOL_FIELDS = ("cand_id", "distinguished_name", "days_to_expiration", "expiration_date",
                 "csi_application_id", "sp_ssl_cm_status", "sp_name")
@@ -168,36 +169,49 @@ def _ranked(todo: DataFrame, group: Sequence[str], pool: DataFrame, on: Sequence
     ys = stage(with_bags(heads.select(*on, "y"), "y"), "strings")
 
     def ranked(of: DataFrame, pairs: DataFrame) -> DataFrame:
-        links = of.select(*dict.fromkeys([*group, *on, "x"])).join(pairs, [*on, "x"])
-        return stage(rank(stage(_nearest(links, heads, on, group, k), "links")), "ring")
+        links = stage(_nearest(of.select(*dict.fromkeys([*group, *on, "x"])).join(pairs, [*on, "x"]), heads, on, group, k), "links")
+        out = stage(rank(links), "ring")
+        drop(links)
+        return out
+
+    def ring(of: DataFrame, xs: DataFrame, t: float, more: DataFrame | None = None) -> DataFrame:
+        sig = signatures(ys, t)
+        pairs = similar_pairs(xs, sig, t, cfg.length_ratio_min, cfg.hot_key_rows, on)
+        out = ranked(of, pairs if more is None else pairs.unionByName(more))
+        drop(sig)
+        return out
 
     def satisfied(rows: DataFrame) -> DataFrame:
         return rows.where(F.size(found) >= enough)
 
+    def without(of: DataFrame, rows: DataFrame) -> DataFrame:
+        used.append(stage(of.join(satisfied(rows).select(*group), [*group], "left_anti"), "todo"))
+        return used[-1]
+
     def xs_of(of: DataFrame) -> DataFrame:
         return of.select(*on, "x").distinct()
 
-    strict = _rings(threshold)[0]
-    near = satisfied(ranked(todo, neighbours(xs_of(todo), ys, strict, cfg.length_ratio_min, on)))
-    bound = near.select(*group, F.element_at(found, -1)["score"].alias("_least"))
+    near = ranked(todo, neighbours(xs_of(todo), ys, _rings(threshold)[0], cfg.length_ratio_min, on))
+    bound = satisfied(near).select(*group, F.element_at(found, -1)["score"].alias("_least"))
     # a string may be of several groups, each of which must have enough
     xs = stage(todo.join(bound, [*group], "left").groupBy(*on, "x").agg(
         F.min(F.coalesce("_least", F.lit(0.0))).alias("least")), "bounds")
-    done = None
+    used, done = [heads, ys, near, xs], []
     for t in _rings(threshold):
-        rows = ranked(todo, similar_pairs(xs, signatures(ys, t), t, cfg.length_ratio_min, cfg.hot_key_rows, on))
+        rows = ring(todo, xs, t)
         if t > threshold:
-            rows = satisfied(rows)
-            todo = stage(todo.join(rows.select(*group), [*group], "left_anti"), "todo")
+            done.append(satisfied(rows))
+            todo = without(todo, rows)
             xs = xs_of(todo)
-        elif t == 0:
+        elif t > 0:
+            done.append(rows)
+        else:
             # who has enough is ahead of all that scores 0
-            open_ = stage(todo.join(satisfied(rows).select(*group), [*group], "left_anti"), "todo")
-            pairs = similar_pairs(xs_of(open_), signatures(ys, t), t, cfg.length_ratio_min, cfg.hot_key_rows, on)
-            rows = satisfied(rows).unionByName(ranked(open_, pairs.unionByName(
-                strangers(xs_of(open_), ys.select(*on, "y"), cfg.length_ratio_min, on))))
-        done = rows if done is None else done.unionByName(rows)
-    return done
+            done.append(satisfied(rows))
+            rest = without(todo, rows)
+            done.append(ring(rest, xs_of(rest), t, strangers(xs_of(rest), ys.select(*on, "y"), cfg.length_ratio_min, on)))
+    drop(*used)
+    return reduce(DataFrame.unionByName, done)
 
 
 def scored_renewals(rest: DataFrame, pool: DataFrame, cfg: Params) -> DataFrame:

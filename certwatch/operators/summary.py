@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from certwatch.config import ACTION_REQUIRED, MATCHED_RENEWAL, MISSING_SERVICE, Params
@@ -39,28 +39,25 @@ def run_summary_by_source(flat: DataFrame, cfg: Params) -> DataFrame:
     )
 
 
-def settings_snapshot(cfg: Params) -> dict[str, str]:
-    return {
-        "alert_days_threshold": str(cfg.alert_days_threshold),
-        "alert_days_max": str(cfg.alert_days_max),
-        "log_date_staleness_days": str(cfg.log_date_staleness_days),
-        "renewal_min_days": str(cfg.renewal_min_days),
-        "renewal_score_threshold": str(cfg.renewal_score_threshold),
-        "possible_match_score_threshold": str(cfg.possible_match_score_threshold),
-        "length_ratio_min": str(cfg.length_ratio_min),
-        "max_possible_candidates": str(cfg.max_possible_candidates),
-        "max_possible_display": str(cfg.max_possible_display),
-        "ignore_alert_lookback_days": str(cfg.ignore_alert_lookback_days),
-        "environments": ", ".join(cfg.environments),
-        "active_sources": ", ".join(cfg.active_sources),
-        "consolidated_sources": ", ".join(cfg.consolidated_sources),
-    }
-
-
-def run_summary(by_source: DataFrame, snapshot: DataFrame, cfg: Params) -> DataFrame:
-    """One row: totals, snapshot size, per-source rows and the settings used."""
+# fixed values: the settings that a run's summary names
+_SETTINGS = (
+    "alert_days_threshold", "alert_days_max", "log_date_staleness_days", "renewal_min_days", "renewal_score_threshold",
+    "possible_match_score_threshold", "length_ratio_min", "max_possible_candidates", "max_possible_display",
+    "ignore_alert_lookback_days", "environments", "active_sources", "consolidated_sources",
+)
+
+
+def settings_snapshot(cfg: Params) -> Column:
+    """The settings used, as numbers and lists."""
+    def value(v: object) -> Column:
+        return F.array(*map(F.lit, v)).cast("array<string>") if isinstance(v, tuple) else F.lit(v)
+
+    return F.struct(*[value(getattr(cfg, name)).alias(name) for name in _SETTINGS])
+
+
+def run_summary(by_source: DataFrame, snapshot: DataFrame, cfg: Params, snapshot_path: str | None = None) -> DataFrame:
+    """One row: totals, snapshot size and place, per-source rows and the settings used."""
     rows = snapshot.agg(F.count(F.lit(1)).alias("n")).scalar()
-    settings = F.create_map(*[F.lit(x) for kv in settings_snapshot(cfg).items() for x in kv])
     per_source = F.struct("source_order", "source", "action_required", "matched_renewal",
                           "missing_service", "total_alerts")
     return by_source.agg(
@@ -70,8 +67,8 @@ def run_summary(by_source: DataFrame, snapshot: DataFrame, cfg: Params) -> DataF
         # one element per source specification
         F.array_sort(F.collect_list(per_source)).alias("sources"),
     ).select(
-        cfg.as_of_ts.alias("run_datetime"), rows.alias("snapshot_row_count"), "*",
-        settings.alias("settings_snapshot"))
+        cfg.as_of_ts.alias("run_datetime"), F.lit(snapshot_path).cast("string").alias("snapshot_path"),
+        rows.alias("snapshot_row_count"), "*", settings_snapshot(cfg).alias("settings_snapshot"))
 
 
 def source_report_counts(flat: DataFrame, cfg: Params) -> DataFrame:

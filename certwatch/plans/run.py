@@ -37,14 +37,14 @@ def alert_rows(certs: DataFrame, acks: DataFrame, replicas: DataFrame, cfg: Para
     return documents.with_documents(assemble(certs, acks, replicas, cfg), cfg)
 
 
-def run(certs: DataFrame, acks: DataFrame, replicas: DataFrame, cfg: Params) -> Run:
+def run(certs: DataFrame, acks: DataFrame, replicas: DataFrame, cfg: Params, snapshot_path: str | None = None) -> Run:
     assembled = assemble(certs, acks, replicas, cfg)
     valid, rejected = validate(assembled)
     flat = stage(documents.with_documents(valid, cfg), "flat")
     headers = documents.document_headers(flat, cfg)
     by_source = summary.run_summary_by_source(flat, cfg)
     stats = stage(documents.upsert_stats(headers, rejected), "stats")
-    totals = summary.run_summary(by_source, certs, cfg).withColumns(
+    totals = summary.run_summary(by_source, certs, cfg, snapshot_path).withColumns(
         {name: stats.select(name).scalar() for name in stats.columns})
     return Run(flat, rejected, headers, documents.document_certificates(flat, cfg), by_source, totals)
 
