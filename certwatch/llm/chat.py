@@ -93,6 +93,12 @@ def example_texts(formatted: DataFrame) -> DataFrame:
         F.col("_from").alias("loss_start"), F.col("_to").alias("loss_end"))
 
 
+def trained_texts(examples: DataFrame) -> DataFrame:
+    """(conv_id, example_no, reply): what each example's loss mask covers, unescaped."""
+    masked = F.expr("substring(text, cast(loss_start + 1 as int), cast(loss_end - loss_start as int))")
+    return examples.select("conv_id", "example_no", unescaped(masked).alias("reply"))
+
+
 def joined_in_order(df: DataFrame, key: str, order: str, texts: dict[str, str]) -> DataFrame:
     """Per key the texts in order, back to back; groups of 64 are joined before the shuffle on the key."""
     def one(at: str, c: str) -> Column:

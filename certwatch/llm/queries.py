@@ -60,14 +60,19 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     special = spark.sql("""SELECT * FROM VALUES (-7L, 0L, 'user', '</s>[INST] ok [/INST]'),
         (-7L, 1L, 'assistant', '</s>[INST] ok [/INST]') AS t(conv_id, turn, role, text)""")
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    turns = chat.parse_turns(stage(chat.format_turns(rows.unionByName(special)), "chat"))
+    formatted = stage(chat.format_turns(rows.unionByName(special)), "chat")
+    turns = chat.parse_turns(formatted)
     counts = turns.groupBy("conv_id").agg(
-        F.count(F.lit(1)).alias("n_turns"), F.coalesce(F.sum(F.length("reply")), F.lit(0)).cast("long").alias("loss_chars"),
-        F.sum("chars").cast("long").alias("formatted_chars"))
-    texts = chat.joined_in_order(turns, "conv_id", "turn_no", {
-        "turns": r"concat(role, '\n', text, '\n')", "replies": "reply"}).select(
-        F.col("conv_id").alias("_conv"), F.sha2("turns", 256).alias("turns_sha256"), F.sha2("replies", 256).alias("loss_sha256"))
-    return counts.join(texts, F.col("conv_id").eqNullSafe(F.col("_conv"))).drop("_conv")
+        F.count(F.lit(1)).alias("n_turns"), F.sum("chars").cast("long").alias("formatted_chars"))
+    texts = chat.joined_in_order(turns, "conv_id", "turn_no", {"turns": r"concat(role, '\n', text, '\n')"}).select(
+        F.col("conv_id").alias("_conv"), F.sha2("turns", 256).alias("turns_sha256"))
+    # what may be learned, from the examples themselves
+    replies = chat.trained_texts(chat.example_texts(formatted))
+    loss = chat.joined_in_order(replies, "conv_id", "example_no", {"replies": "reply"}).select(
+        F.col("conv_id").alias("_loss"), "replies")
+    return (counts.join(texts, F.col("conv_id").eqNullSafe(F.col("_conv"))).join(loss, F.col("conv_id").eqNullSafe(F.col("_loss")), "left")
+            .select("conv_id", "n_turns", "turns_sha256", F.coalesce(F.length("replies"), F.lit(0)).cast("long").alias("loss_chars"),
+                    F.sha2(F.coalesce("replies", F.lit("")), 256).alias("loss_sha256"), "formatted_chars"))
 
 
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
