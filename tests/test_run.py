@@ -232,3 +232,11 @@ def test_adding_a_source_needs_only_a_spec(spark, cfg):
     assert [(r["upsert_key"], r["source_details"]["lob"]) for r in stored] == [(["=lob"], "lob")]
     assert isinstance(stored[0]["source_details"]["days"], int) and stored[0]["source_details"]["source_type"] == name
     assert reports.action_table_details(out.flat, cfg).first()["summary"] == "Vault: lob"
+
+
+def test_fixture_tasks_grow_with_the_rows(spark, monkeypatch):
+    """No task gets more rows because the table has more, nor because the other table is small enough to broadcast."""
+    monkeypatch.setattr(fx, "_TASK_ROWS", 100)
+    for table in (fx.raw_certs(spark, "/root/testdata/sf0.001"), fx.cert_docs(spark, "/root/testdata/sf0.001")):
+        sizes = [r["n"] for r in table.groupBy(F.spark_partition_id().alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()]
+        assert sum(sizes) == 1500 and len(sizes) >= 12 and max(sizes) <= 300
