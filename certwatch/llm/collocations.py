@@ -35,6 +35,7 @@ from certwatch.staging import stage
 WORDS, LEAST, KEPT, COVERED = 4, 30, 2000, 80
 GROUP_SUFFIXES = 1 << 20
 _BLOCK_BYTES = 4 << 20
+_AT_ONCE = 1 << 16  # suffixes numbered at a time
 _MOST_BITS = 27
 
 _LOW = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
@@ -47,7 +48,8 @@ class _Block:
 
     def __init__(self, langs: list[str], data: np.ndarray, offsets: np.ndarray):
         starts, ends, per_text = word_bounds(_IS_WORD[data], offsets)
-        stops = np.concatenate([[0], np.cumsum(_ENDS_PIECE[data])])
+        stops = np.zeros(len(data) + 1, np.int32)
+        np.cumsum(_ENDS_PIECE[data], out=stops[1:])
         text = np.repeat(np.arange(len(per_text)), per_text)
         follows = (text[1:] == text[:-1]) & (stops[starts[1:]] == stops[ends[:-1]]) if len(starts) else np.zeros(0, bool)
         sizes = ends - starts
@@ -137,35 +139,46 @@ def _parted(hot: list[np.ndarray], groups: int):
             new[1:] = (kind[1:] != kind[:-1]) | (columns[:, 1:] != columns[:, :-1]).any(axis=0)
             first = np.flatnonzero(new)
             times = np.diff(np.append(first, len(kind))).astype("<i4")
-            kinds, at = np.unique(kind[first], return_index=True)
-            if len(kinds) == 0:
-                continue
-            part = np.repeat(np.arange(len(kinds)), np.diff(np.append(at, len(first))))
-            suffixes = columns[:, first].T
-            del order, columns
-            # each part has its own numbers for the words it uses, from 1
-            every = part[:, None] * (len(block.words) + 1) + suffixes
-            used, which = np.unique(every[suffixes > 0], return_inverse=True)
-            owner = used // (len(block.words) + 1)
-            begin = np.searchsorted(owner, np.arange(len(kinds) + 1))
-            small = np.zeros(suffixes.shape, np.int32)
-            small[suffixes > 0] = which - begin[owner[which]] + 1
-            dtype = np.dtype("<u2" if small.max() < 1 << 16 else "<u4")
+            kind, suffixes = kind[first], columns[:, first].T
+            del order, columns, new, first
             spaced = pc.binary_join_element_wise(block.words, pa.scalar(b"", pa.large_binary()), pa.scalar(b" ", pa.large_binary()))
-            text = pa.concat_arrays([spaced.take(pa.array(used % (len(block.words) + 1) - 1))])
-            _, ends, letters = text.buffers()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(kinds // (len(block.langs) * (WORDS + 1))),
-                 pa.array(block.langs, pa.string()).take(pa.array(kinds // (WORDS + 1) % len(block.langs))), pa.array(kinds % (WORDS + 1)),
-                 _binary(np.frombuffer(ends, np.int64)[begin], letters),
-                 pa.array(np.full(len(kinds), dtype.itemsize)),
-                 _binary(np.append(at, len(first)) * WORDS * dtype.itemsize, pa.py_buffer(small.astype(dtype))),
-                 _binary(np.append(at, len(first)) * times.itemsize, pa.py_buffer(times))],
-                names=["group", "lang", "prefix", "words", "width", "suffixes", "times"])
+            begins = np.flatnonzero(np.append(True, kind[1:] != kind[:-1])) if len(kind) else np.zeros(0, np.int64)
+            # whole parts, but never many suffixes at once unless one part has them
+            while len(begins):
+                end = int(np.searchsorted(begins, begins[0] + _AT_ONCE, side="right"))
+                stop = int(begins[end]) if end < len(begins) else len(kind)
+                own = slice(int(begins[0]), stop)
+                yield _rows(block, spaced, kind[own], suffixes[own], times[own])
+                begins = begins[end:]
 
     return run
 
 
+def _rows(block: _Block, spaced: pa.Array, kind: np.ndarray, suffixes: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
+    """A row for each part: its suffixes lie together, and ``kind`` tells group, language and prefix length."""
+    kinds, at = np.unique(kind, return_index=True)
+    ends = np.append(at, len(kind))
+    part = np.repeat(np.arange(len(kinds)), np.diff(ends))
+    # each part has its own numbers for the words it uses, from 1
+    every = part[:, None] * (len(block.words) + 1) + suffixes
+    used, which = np.unique(every[suffixes > 0], return_inverse=True)
+    owner = used // (len(block.words) + 1)
+    begin = np.searchsorted(owner, np.arange(len(kinds) + 1))
+    small = np.zeros(suffixes.shape, np.int32)
+    small[suffixes > 0] = which - begin[owner[which]] + 1
+    dtype = np.dtype("<u2" if small.max() < 1 << 16 else "<u4")
+    text = pa.concat_arrays([spaced.take(pa.array(used % (len(block.words) + 1) - 1))])
+    _, letter_ends, letters = text.buffers()
+    return pa.RecordBatch.from_arrays(
+        [pa.array(kinds // (len(block.langs) * (WORDS + 1))),
+         pa.array(block.langs, pa.string()).take(pa.array(kinds // (WORDS + 1) % len(block.langs))), pa.array(kinds % (WORDS + 1)),
+         _binary(np.frombuffer(letter_ends, np.int64)[begin], letters),
+         pa.array(np.full(len(kinds), dtype.itemsize)),
+         _binary(ends * WORDS * dtype.itemsize, pa.py_buffer(small.astype(dtype))),
+         _binary(ends * times.itemsize, pa.py_buffer(times))],
+        names=["group", "lang", "prefix", "words", "width", "suffixes", "times"])
+
+
 def _pairs(columns: np.ndarray) -> list[np.ndarray]:
     """Sort keys for suffixes, the last one first."""
     return [columns[k].astype(np.int64) << 32 | columns[k + 1] for k in (2, 0)]
@@ -188,16 +201,19 @@ def _subtrees(least: int):
 
 
 def _nodes(table: pa.Table, lang: str, prefix: int, least: int) -> pa.Table:
-    blobs = [b.split(b" ")[:-1] for b in table.column("words").to_pylist()]
-    words = pa.array([w for b in blobs for w in b], pa.binary()).dictionary_encode()
+    split = pc.split_pattern(table.column("words").cast(pa.large_binary()).combine_chunks(), b" ")
+    # a word is followed by a blank, so the last item is empty
+    before = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy().astype(np.int64) - 1)])
+    every = split.flatten()
+    words = every.filter(pc.greater(pc.binary_length(every), 0)).dictionary_encode()
+    del split, every
     numbers = np.concatenate([np.zeros(1, np.int32), words.indices.to_numpy() + np.int32(1)])
-    before = np.cumsum([0, *map(len, blobs)])
     columns = []
     for i, (width, own) in enumerate(zip(table.column("width").to_pylist(), table.column("suffixes").to_pylist())):
         small = np.frombuffer(own, f"<u{width}").reshape(-1, WORDS)
         columns.append(numbers[np.where(small > 0, small + before[i], 0)])
     suffixes = np.concatenate(columns)
-    del columns, blobs
+    del columns
     times = np.concatenate([np.frombuffer(t, "<i4") for t in table.column("times").to_pylist()]).astype(np.int64)
     order = np.lexsort(_pairs(suffixes.T))
     suffixes, times = suffixes[order], times[order]

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 
 from certwatch.llm import collocations, quality_rules, queries, spelling
 from test_operators import ODD_TEXTS, SF, documents
@@ -259,3 +260,14 @@ def test_quality_sample_is_bounded(spark, docs_of):
     finally:
         quality_rules.IsolationForest = kept
     assert not seen or max(seen) <= 40
+
+
+def test_collocations_number_few_suffixes_at_once():
+    """A block's suffixes are sent in several batches, each of whole parts."""
+    text = " ".join(f"w{i * 7919 % 50_000}" for i in range(150_000))
+    batch = pa.RecordBatch.from_pydict({"text": [text], "lang": ["en"]})
+    sent = [b.to_pydict() for b in collocations._parted([], 64)(iter([batch]))]
+    suffixes = [[len(t) // 4 for t in b["times"]] for b in sent]
+    assert len(sent) > 1 and max(map(sum, suffixes)) <= collocations._AT_ONCE + max(map(max, suffixes))
+    assert sum(sum(np.frombuffer(t, "<i4").sum() for t in b["times"]) for b in sent) == 150_000
+    assert len({g for b in sent for g in b["group"]}) == sum(len(b["group"]) for b in sent) == 64
