@@ -5,6 +5,8 @@ words and others. Two limits on them fail a text at once. For the rest a forest
 splits judges: rows that few splits set apart are unlike good ones (Liu, Ting and Zhou). Path
 lengths count labelled good rows, and the score from which a text goes is set on other
 labelled rows: as many bad ones as can be caught while at most ``MOST_LOST`` of the good go.
+All labelled rows take part: half of them in the threshold, to ``1 / CELLS`` of a score, and of the
+other half each tree draws its own few, as the method has it.
 
 Words are what lies between ASCII white space. Words, lines and runs are compared by 64-bit
 hashes within their text. Null and empty texts have no words and fail. Repeated rows are judged each.
@@ -23,10 +25,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from certwatch.llm.batches import free_name, mix, slices, word_bounds, word_hashes
+from certwatch.staging import drop, stage
 
-SAMPLE_ROWS = 20_000  # of the labelled rows, at most
 MOST_LOST = 0.005  # of the good labelled rows
 TREES, TREE_ROWS = 100, 256
+CELLS = 1 << 16  # steps of the threshold
 _SEED = 13
 STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_different")
 
@@ -112,6 +115,15 @@ class IsolationForest:
 
         self.trees = [self._grow(some(x), some(others), rng) for _ in range(trees)]
 
+    @classmethod
+    def of_draws(cls, draws: list[tuple[np.ndarray, np.ndarray]], rows: int, seed: int = _SEED) -> IsolationForest:
+        """A tree of each (rows of ``x``, rows of ``others``) that were drawn for it, ``rows`` of ``x`` each."""
+        forest = cls.__new__(cls)
+        forest.rows, forest.limit = rows, max(1, int(np.ceil(np.log2(max(2, rows)))))
+        rng = np.random.default_rng(seed)
+        forest.trees = [forest._grow(own, near, rng) for own, near in draws]
+        return forest
+
     def _grow(self, x: np.ndarray, others: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, ...]:
         feature, cut, left, path = [-1], [0.0], [0], [0.0]
         open_ = [(0, x, others, 0)]
@@ -145,14 +157,20 @@ class IsolationForest:
         return 2.0 ** (-total / len(self.trees) / max(float(_mean_depth(self.rows)), 1e-9))
 
 
-def best_threshold(good: np.ndarray, bad: np.ndarray, most_lost: float = MOST_LOST) -> float:
-    """The score above which most bad rows and at most ``most_lost`` of the good ones are; of equal ones the highest."""
+def best_threshold(good: np.ndarray, bad: np.ndarray, most_lost: float = MOST_LOST,
+                   n_good: np.ndarray | None = None, n_bad: np.ndarray | None = None) -> float:
+    """The score above which most bad rows and at most ``most_lost`` of the good ones are; of equal ones the highest.
+
+    ``n_good`` and ``n_bad`` are the rows of each score, if not one.
+    """
     cuts = np.unique(np.concatenate([good, bad, [1.0]]))[::-1]
 
-    def above(scores: np.ndarray) -> np.ndarray:
-        return 1 - np.searchsorted(np.sort(scores), cuts, side="right") / max(1, len(scores)) if len(scores) else np.zeros(len(cuts))
+    def above(scores: np.ndarray, n: np.ndarray | None) -> np.ndarray:
+        order = np.argsort(scores)
+        up_to = np.concatenate([[0], np.cumsum(np.ones(len(scores), np.int64) if n is None else n[order])])
+        return (up_to[-1] - up_to[np.searchsorted(scores[order], cuts, side="right")]) / max(1, up_to[-1])
 
-    lost, caught = above(good), above(bad)
+    lost, caught = above(good, n_good), above(bad, n_bad)
     return float(cuts[np.argmax(np.where(lost <= most_lost, caught - lost, -1.0))])
 
 
@@ -173,28 +191,71 @@ def _count_rows(text: str, others: tuple[str, ...]):
     return run
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, text: str = "text") -> Model:
-    """Learn from at most ``sample_rows`` labelled rows: those with the least hash of doc_id.
+def _counts(rows: pa.RecordBatch) -> np.ndarray:
+    return np.stack([rows.column(c).to_numpy() for c in STATISTICS], axis=1)
+
+
+def _drawn(share: float, share_good: float):
+    """(tree, others, draw, statistics): the rows each tree may draw, of the good ones and of all, by a hash of tree and row."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            key, good = rows.column("row").to_numpy().view(np.uint64), rows.column("quality").to_numpy() == 1
+            for tree in range(TREES):
+                for others, of, part in ((0, good, share_good), (1, np.ones(len(good), bool), share)):
+                    draw = mix(key ^ mix(np.array([2 * tree + others + 1], np.uint64))) >> np.uint64(1)
+                    at = pa.array(np.flatnonzero(of & (draw <= part * 2.0 ** 63)))
+                    if len(at):
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.full(len(at), tree, np.int32)), pa.array(np.full(len(at), others, np.int32)),
+                             pa.array(draw.view(np.int64)).take(at), *(rows.column(c).take(at) for c in STATISTICS)],
+                            names=["tree", "others", "draw", *STATISTICS])
+
+    return run
+
+
+def _cells(forest: IsolationForest):
+    """(cell, quality): the least step of the threshold that keeps each row."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            cell = np.ceil(forest.score(features(_counts(rows))) * CELLS).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(cell), rows.column("quality")], names=["cell", "quality"])
+
+    return run
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = TREE_ROWS, text: str = "text") -> Model:
+    """Learn from all labelled rows; each tree draws ``sample_rows`` of the good ones and of all.
 
-    The sample of labels is broadcast; the limit holds again for their statistics, as a doc_id may repeat.
+    Only statistics are joined with labels, and only the draws and a count per step of the threshold reach the driver.
     """
-    sample = (labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
-              .select(F.col("doc_id").alias("_id"), F.col("quality").cast("int").alias("quality")).distinct()
-              .orderBy(F.xxhash64("_id"), "_id", "quality").limit(sample_rows))
-    met = docs.select("doc_id", F.col(f"`{text}`").alias("text")).join(F.broadcast(sample), F.col("doc_id") == F.col("_id")).select(
-        F.xxhash64("_id").alias("hash"), "quality", "text")
+    labelled = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).select(
+        F.col("doc_id").alias("_id"), F.col("quality").cast("int").alias("quality")).distinct()
     kinds = ", ".join(f"{c} long" for c in STATISTICS)
-    table = (met.mapInArrow(_count_rows("text", ("hash", "quality")), f"hash long, quality int, {kinds}").distinct()
-             .orderBy("hash", "quality", *STATISTICS).limit(sample_rows).toPandas())
-    counts = table[list(STATISTICS)].to_numpy(np.int64).reshape(-1, len(STATISTICS))
-    good, first_half = table["quality"].to_numpy() == 1, table["hash"].to_numpy() % 2 == 0
-    passed = ~base_failed(counts) if len(counts) else np.zeros(0, bool)
-    if not (good & passed & first_half).any():
+    texts = docs.select("doc_id", F.col(f"`{text}`").alias("text")).where(F.col("doc_id").isNotNull())
+    counted = texts.mapInArrow(_count_rows("text", ("doc_id",)), f"doc_id {dict(texts.dtypes)['doc_id']}, {kinds}")
+    passed = (F.col("n_words") >= 50) & (100 * F.col("n_repeat_words") <= 50 * F.col("n_words"))
+    known = stage(counted.where(passed).join(labelled, F.col("doc_id") == F.col("_id"))
+                  .select(F.xxhash64("_id").alias("hash"), "quality", *STATISTICS).distinct(), "statistics")
+    first_half = F.pmod("hash", F.lit(2)) == 0
+    grown = known.where(first_half).select(F.xxhash64(*known.columns).alias("row"), "quality", *STATISTICS)
+    sizes = grown.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("quality") == 1).alias("n_good")).first()
+    if not sizes["n_good"]:
+        drop(known)
         return Model(None, 1.0)
-    x = features(counts)
-    forest = IsolationForest(x[good & passed & first_half], x[passed & first_half])
-    scores, judged = forest.score(x), passed & ~first_half
-    return Model(forest, best_threshold(scores[judged & good], scores[judged & ~good]))
+    # eight deviations more than a tree takes, so that it has them all but surely
+    most = sample_rows + 8 * sample_rows ** 0.5 + 16
+    draws = grown.mapInArrow(_drawn(min(1.0, most / sizes["n"]), min(1.0, most / sizes["n_good"])),
+                             f"tree int, others int, draw long, {kinds}").toPandas().sort_values(["tree", "others", "draw", *STATISTICS])
+    sets: dict[tuple[int, int], np.ndarray] = {
+        key: features(rows[list(STATISTICS)].to_numpy(np.int64)[:sample_rows]) for key, rows in draws.groupby(["tree", "others"])}
+    none = np.zeros((0, features(np.zeros((1, len(STATISTICS)), np.int64)).shape[1]))
+    forest = IsolationForest.of_draws([(sets.get((t, 0), none), sets.get((t, 1), none)) for t in range(TREES)],
+                                      min(sample_rows, sizes["n_good"]))
+    cells = (known.where(~first_half).mapInArrow(_cells(forest), "cell long, quality int").groupBy("cell")
+             .agg(F.count_if(F.col("quality") == 1).alias("good"), F.count_if(F.col("quality") == 0).alias("bad")).toPandas())
+    drop(known)
+    score, n_good, n_bad = cells["cell"].to_numpy(np.int64) / CELLS, cells["good"].to_numpy(np.int64), cells["bad"].to_numpy(np.int64)
+    return Model(forest, best_threshold(score, score, n_good=n_good, n_bad=n_bad))
 
 
 def _judge(model: Model, text: str, names: list[str]):

@@ -264,10 +264,29 @@ def test_quality_sample_is_bounded(spark, docs_of):
 
 def test_collocations_number_few_suffixes_at_once():
     """A block's suffixes are sent in several batches, each of whole parts."""
-    text = " ".join(f"w{i * 7919 % 50_000}" for i in range(150_000))
-    batch = pa.RecordBatch.from_pydict({"text": [text], "lang": ["en"]})
+    text = " ".join(f"w{i * 7919 % 150_001}" for i in range(150_000))
+    batch = pa.RecordBatch.from_pydict({"text": [text], "lang": ["en"]}, pa.schema([("text", pa.string()), ("lang", pa.string())]))
     sent = [b.to_pydict() for b in collocations._parted([], 64)(iter([batch]))]
     suffixes = [[len(t) // 4 for t in b["times"]] for b in sent]
     assert len(sent) > 1 and max(map(sum, suffixes)) <= collocations._AT_ONCE + max(map(max, suffixes))
     assert sum(sum(np.frombuffer(t, "<i4").sum() for t in b["times"]) for b in sent) == 150_000
     assert len({g for b in sent for g in b["group"]}) == sum(len(b["group"]) for b in sent) == 64
+
+
+def test_quality_rules_learn_from_every_labelled_row(spark):
+    """The threshold is that of all labelled rows of the second half, and trees draw from all of the first."""
+    def words(seed: int) -> str:
+        return " ".join(f"w{(seed * 31 + i) * 7919 % 997}" for i in range(60 + seed % 17))
+
+    n = 22_000
+    docs = spark.createDataFrame([(i, words(i % 400) + (" ### $$$" * 9 if i % 5 == 0 else "")) for i in range(n)], "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "int(doc_id % 5 <> 0) as quality")
+    model = quality_rules.fit(docs, labels)
+    judged = quality_rules.judge(docs.join(labels, "doc_id"), model).where("not base_failed")
+    rows = judged.selectExpr("pmod(xxhash64(doc_id), 2) = 1 as second", "quality", "anomaly").distinct().toPandas()
+    every = judged.selectExpr("pmod(xxhash64(doc_id), 2) = 1 as second", "quality", "ceil(anomaly * 65536) / 65536 as cell").where("second").toPandas()
+    assert len(every) > 10_500 and len(rows) > 100
+    good, bad = (every.cell[every.quality == q].to_numpy(float) for q in (1, 0))
+    assert model.threshold == quality_rules.best_threshold(good, bad)
+    draws = {tuple(t[0]) + tuple(t[1]) for t in model.forest.trees}
+    assert len(draws) > 50 and model.forest.rows == 256
