@@ -8,13 +8,15 @@ distinct shingles. The result is each document's component over these links.
   hash into k > d parts, so two linked sets have at least k - d parts in common.
   The hash of each part is the set's signature; sets meet where signatures are
   equal. A passage that many documents share fills no part on its own.
-* A set that has fewer signatures in common with others than a link takes is left out. The larger of
-  two linked sets asks; of its signatures, all but as many as a link has to spare, the most common
+* A set that has fewer signatures in common with others than a link takes is left out. Each set is first
+  compared with one other, the likeliest centre of a family of copies. What that joins are clusters, and
+  from then on only signatures that sets of different clusters have count.
+* The larger of two linked sets asks; of its signatures, all but as many as a link has to spare, the most common
   ones, are near. Each link has a near signature in common, so the components of sets
   with near signatures in common hold all links, and are what has to be searched.
 * Components are cut into blocks of about a million shingles, like sets together. A set asks each block
-  in which it has enough signatures in common with other sets: at most one row per set and block, whatever
-  the number of pairs. The sets of a block form inverted lists and are searched by T-occurrence: the
+  in which it has enough signatures in common with sets of other clusters: at most one row per set and block,
+  whatever the number of pairs, and none among copies of one text, however many. The sets of a block form inverted lists and are searched by T-occurrence: the
   short lists of a query's shingles are merged, counting; sets that could still reach the needed
   overlap T are probed in the long lists by binary search (DivideSkip).
 * A block reports the links that join what it had not joined yet, so no pairs are listed.
@@ -41,8 +43,9 @@ from certwatch.staging import drop, stage
 _SPACES = (32, 9, 10, 11, 12, 13)
 _LOW = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 _IS_WORD = ~np.isin(np.arange(256), _SPACES)
-_SPARE = 2  # parts beyond the least number, so that empty parts in common do no harm
 _LEVELS = np.unique(np.round(4 * 2 ** (np.arange(80) / 2)).astype(np.int64))
+# parts beyond the least number, so that empty parts need no signature, which all sets with that part empty would have
+_SPARES = 1 + 3 * _LEVELS // 10
 _SEARCHED = 1 << 20  # shingles in one local index, about
 _ASKED = 16  # times as many shingles may ask it in one task
 _SMALL_ROWS = 1 << 20  # rows of a few numbers that may be broadcast; more are shuffled
@@ -75,16 +78,13 @@ def _class_of(members: np.ndarray) -> int:
     return int(mix(np.array([mix(members).sum() + np.uint64(len(members))], np.uint64)).view(np.int64)[0])
 
 
-def _need(size: int, percent: int) -> int:
-    """Parts that suffice for pairs whose larger set has ``size`` shingles."""
-    return 2 * (100 - percent) * size // (100 + percent) + 1 + _SPARE
-
-
 def _levels(size: int, percent: int) -> np.ndarray:
-    """The numbers of parts a set is dealt into: for any partner, the larger one's number is among them."""
-    low = np.searchsorted(_LEVELS, _need(size, percent))
-    high = np.searchsorted(_LEVELS, _need(100 * size // percent, percent))
-    return _LEVELS[low:high + 1]
+    """Which numbers of parts a set is dealt into: for any partner, the larger one's number is among them.
+
+    The number of the larger one is the least that leaves a part alike, besides spare ones, wherever they differ.
+    """
+    low, high = np.searchsorted(_LEVELS - 1 - _SPARES, [2 * (100 - percent) * n // (100 + percent) for n in (size, 100 * size // percent)])
+    return np.arange(low, high + 1)
 
 
 def _signatures(members: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -97,18 +97,19 @@ def _signatures(members: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarr
         return (np.zeros(0, np.int64),) * 3  # a different set is never near enough
     found, parts, hidden = [], [], []
     mixed = mix(members + np.uint64(1))
-    for k in _levels(size, percent):
+    for level in _levels(size, percent):
+        k, spare = _LEVELS[level], _SPARES[level]
         part = ((members >> np.uint64(32)) * np.uint64(k)) >> np.uint64(32)
         first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
         sums = np.add.reduceat(mixed, first)
         place = part[first]
         empty = int(k) - len(first)
-        if empty > _SPARE:
+        if empty > spare:
             hollow = np.setdiff1d(np.arange(k, dtype=np.uint64), place)
             sums, place = np.concatenate([sums, np.zeros(empty, np.uint64)]), np.concatenate([place, hollow])
         found.append(mix(sums + mix(place + np.uint64(k) * np.uint64(1 << 20))).view(np.int64))
         parts.append(np.full(len(sums), -k if found[1:] else k))
-        hidden.append(np.full(len(sums), min(empty, _SPARE)))
+        hidden.append(np.full(len(sums), min(empty, spare)))
     return np.concatenate(found), np.concatenate(parts), np.concatenate(hidden)
 
 
@@ -143,7 +144,7 @@ def _signature_rows(width: int, percent: int):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(signatures)), pa.array(np.concatenate(classes)),
                      pa.array(np.concatenate(sizes).astype(np.int32)), pa.array(np.concatenate(parts).astype(np.int32)),
-                     pa.array(np.concatenate(hidden).astype(np.int8))],
+                     pa.array(np.concatenate(hidden).astype(np.int32))],
                     names=["signature", "class", "size", "parts", "hidden"])
 
     return run
@@ -280,13 +281,14 @@ def _sets_of(wanted: DataFrame, rows: DataFrame, chosen: DataFrame, width: int)
     return kept.select("text").mapInArrow(_set_rows(width), "class long, members binary")
 
 
-def _links(asks: DataFrame, placed: DataFrame, rows: DataFrame, chosen: DataFrame, width: int, percent: int) -> DataFrame:
-    """The links of each of ``asks`` (class, size, block) with the sets that ``placed`` (class, size, block) has there, staged.
+def _links(asks: DataFrame, placed: DataFrame, rows: DataFrame, chosen: DataFrame, width: int, percent: int,
+           share: int) -> DataFrame:
+    """The links of each of ``asks`` (class, size, block) with the sets that ``placed`` (class, block) has there, staged.
 
-    Where many ask one block, they are dealt into shares, each of which has the block's lists. A set that both is
-    in a share and asks it is sent there once.
+    Where many ask one block, they are dealt into shares of about ``share`` shingles, each of which has the block's
+    lists. A set that both is in a share and asks it is sent there once.
     """
-    shares = asks.groupBy("block").agg(F.ceil(F.sum("size") / (_ASKED * _SEARCHED)).cast("int").alias("shares")).select(
+    shares = asks.groupBy("block").agg(F.ceil(F.sum("size") / share).cast("int").alias("shares")).select(
         F.col("block").alias("_block"), "shares")
     held = placed.join(shares, F.col("block") == F.col("_block")).select(
         "block", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.lit(_HELD).alias("role"), "class")
@@ -334,14 +336,20 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     classes = stage(rows.mapInArrow(_classes(width), "doc_id long, key long, n_shingles long, class long"), "classes")
 
     met = rows.select("text").mapInArrow(
-        _signature_rows(width, percent), "signature long, class long, size int, parts int, hidden byte")
+        _signature_rows(width, percent), "signature long, class long, size int, parts int, hidden int")
     at = Window.partitionBy("signature")
     shared = stage(met.withColumns({"low": F.min("class").over(at), "high": F.max("class").over(at)})
                    .where("low < high").drop("low", "high").distinct(), "shared")
     enough = stage(_enough(shared, percent), "enough")
     drop(shared)
-    kept = stage(_with_widths(enough), "kept")
+    common = stage(_with_widths(enough), "common")
     drop(enough)
+    chosen = classes.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("key").alias("key"))
+    leaders = stage(_leaders(common), "leaders")
+    led = _links(leaders, leaders.select(F.col("block").alias("class"), "block").distinct(), rows, chosen, width, percent, _SEARCHED)
+    clusters = stage(components(led), "clusters")
+    kept = stage(_with_widths(_enough(_between(common, clusters), percent)), "kept")
+    drop(common, leaders)
     asking = stage(_asking(kept, percent), "asking")
     near = asking.where("near").select(F.col("signature").alias("_signature")).distinct()
     edges = kept.join(near, F.col("signature") == F.col("_signature"), "left_semi").where("class <> low").select(
@@ -352,10 +360,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     asks = stage(_asks(asking, kept, placed), "asks")
     drop(kept, asking)
 
-    chosen = classes.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("key").alias("key"))
-    links = _links(asks, placed, rows, chosen, width, percent)
+    links = _links(asks, placed, rows, chosen, width, percent, _ASKED * _SEARCHED)
     drop(asks, placed)
-    final = components(links)
+    final = components(links.unionByName(led))
 
     named = (classes.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("doc_id").alias("least"))
              .join(final, F.col("class") == F.col("node"), "left")
@@ -375,10 +382,10 @@ def _enough(shared: DataFrame, percent: int) -> DataFrame:
     """The rows of sets that share as many signatures at one number of parts as a link takes.
 
     At k parts the larger of two sets has at most the size whose number of parts is k, and differs in at most
-    k - 1 - _SPARE shingles; only empty parts may have no signature.
+    k - 1 shingles less the spare parts; only empty parts may have no signature.
     """
     parts = F.abs("parts")
-    differ = F.least(_differ(F.floor(100 * F.col("size") / percent), percent), parts - 1 - _SPARE)
+    differ = F.least(_differ(F.floor(100 * F.col("size") / percent), percent), parts - 2 - F.floor(3 * parts / 10))
     own = Window.partitionBy("class", "parts")
     return shared.withColumn("_n", F.count(F.lit(1)).over(own)).where(F.col("_n") >= parts - differ - F.col("hidden")).drop("_n")
 
@@ -390,43 +397,74 @@ def _with_widths(rows: DataFrame) -> DataFrame:
     return rows.join(widths, F.col("signature") == F.col("_signature")).drop("_signature", "_parts")
 
 
+def _leaders(common: DataFrame) -> DataFrame:
+    """(class, size, block): the set, named by block, that a set is compared with first.
+
+    A text of which others are copies has all its signatures in common with them, a copy only those of the parts
+    left as they were. So sets are ranked by how many share a signature of theirs on average; of the first one of
+    each of its signatures, a set takes the one that it meets most often.
+    """
+    ranks = common.where("parts > 0").groupBy(F.col("class").alias("_class")).agg((F.sum("width") / F.max("parts")).alias("rank"))
+    firsts = common.join(ranks, F.col("class") == F.col("_class"), "left").groupBy(F.col("signature").alias("_signature")).agg(
+        F.max(F.struct(F.coalesce("rank", F.lit(0.0)).alias("rank"), "class")).alias("first"))
+    met = common.join(firsts, F.col("signature") == F.col("_signature")).groupBy("class", "first").agg(
+        F.max("size").alias("size"), F.count(F.lit(1)).alias("n"))
+    return met.where(F.col("class") != F.col("first.class")).groupBy("class").agg(
+        F.max("size").alias("size"), F.max(F.struct("n", "first")).alias("_best")).select(
+        "class", "size", F.col("_best.first.class").alias("block"))
+
+
+def _between(common: DataFrame, clusters: DataFrame) -> DataFrame:
+    """The rows of ``common``, without width and low, whose signature is one of sets of different ``clusters``
+    (node, component), with the set's cluster and whether it is alone there."""
+    named = common.drop("width", "low").join(clusters, F.col("class") == F.col("node"), "left").withColumn(
+        "cluster", F.coalesce("component", "class")).withColumn("alone", F.col("component").isNull()).drop("node", "component")
+    mixed = named.groupBy(F.col("signature").alias("_signature")).agg(
+        F.min("cluster").alias("_low"), F.max("cluster").alias("_high")).where("_low < _high").select("_signature")
+    return named.join(mixed, F.col("signature") == F.col("_signature"), "left_semi")
+
+
 def _asking(kept: DataFrame, percent: int) -> DataFrame:
-    """(class, size, signature, needed, near) of the sets that may be the larger ones of links: ``needed`` signatures at
+    """(class, size, cluster, signature, needed, near) of the sets that may be the larger ones of links: ``needed`` signatures at
     their own number of parts are in common with each. So up to needed - 1, the widest, may be left out: ``near`` is false.
     """
     own = Window.partitionBy("class")
     return (kept.where("parts > 0").withColumn("needed", F.col("parts") - _differ(F.col("size"), percent) - F.col("hidden"))
             .withColumns({"_all": F.count(F.lit(1)).over(own), "_nth": F.row_number().over(own.orderBy("width", "signature"))})
-            .where("_all >= needed").select("class", "size", "signature", "needed", (F.expr("_nth <= _all - needed + 1")).alias("near")))
+            .where("_all >= needed").select("class", "size", "cluster", "signature", "needed", (F.expr("_nth <= _all - needed + 1")).alias("near")))
 
 
 def _members(kept: DataFrame, trees: DataFrame) -> DataFrame:
-    """(class, size, component, leader) of each set of ``trees`` (node, component); leader is the least set with its narrowest signature."""
-    return kept.groupBy("class").agg(F.max("size").alias("size"), F.min_by("low", F.struct("width", "signature")).alias("leader")).join(
+    """(class, size, cluster, component, leader) of each set of ``trees`` (node, component); leader is its cluster, or where
+    it is alone there the least set with its narrowest signature."""
+    return kept.groupBy("class").agg(
+        F.max("size").alias("size"), F.max("cluster").alias("cluster"), F.max("alone").alias("alone"),
+        F.min_by("low", F.struct("width", "signature")).alias("leader")).withColumn(
+        "leader", F.when(F.col("alone"), F.col("leader")).otherwise(F.col("cluster"))).drop("alone").join(
         trees, F.col("class") == F.col("node")).drop("node")
 
 
 def _placed(sets: DataFrame) -> DataFrame:
-    """(class, size, block) of ``sets``: blocks of about _SEARCHED shingles.
+    """(class, cluster, block) of ``sets``: blocks of about _SEARCHED shingles.
 
-    Sets with one leader go together, so that a large component is cut between unlike sets where it can be.
+    Sets with one leader go together, so that a large component is cut between unlike sets where it can be, and
+    a cluster that fills blocks has them to itself.
     """
     led = sets.groupBy("component", "leader").agg(F.sum("size").alias("shingles"))
-    whole = led.groupBy(F.col("component").alias("_component")).agg(F.ceil(F.sum("shingles") / _SEARCHED).alias("blocks"))
+    whole = led.groupBy(F.col("component").alias("_component")).agg(F.ceil(F.sum(F.when(F.col("shingles") <= _SEARCHED, F.col("shingles"))) / _SEARCHED).alias("blocks"))
     cut = F.ceil(F.col("shingles") / _SEARCHED)
     places = led.join(whole, F.col("component") == F.col("_component")).select(
         "_component", F.col("leader").alias("_leader"), cut.alias("cut"),
         F.xxhash64("component", F.when(cut > 1, F.col("leader")), F.when(cut <= 1, F.pmod(F.xxhash64("leader"), F.col("blocks")))).alias("place"))
     on = (F.col("component") == F.col("_component")) & (F.col("leader") == F.col("_leader"))
-    return sets.join(places, on).select("class", "size", F.when(
+    return sets.join(places, on).select("class", "cluster", F.when(
         F.col("cut") > 1, F.xxhash64("place", F.pmod(F.xxhash64("class"), F.col("cut")))).otherwise(F.col("place")).alias("block"))
 
 
 def _asks(asking: DataFrame, kept: DataFrame, placed: DataFrame) -> DataFrame:
-    """(class, size, block): the blocks in which a set has as many signatures in common with others as a link takes."""
+    """(class, size, block): the blocks in which a set has as many signatures in common with sets of other clusters as a link takes."""
     place = placed.select(F.col("class").alias("_class"), "block")
-    present = kept.select("signature", "class").join(place, F.col("class") == F.col("_class")).groupBy(
-        F.col("signature").alias("_signature"), "block").agg(F.count(F.lit(1)).alias("_n"))
-    own = asking.join(place.withColumnRenamed("block", "home"), F.col("class") == F.col("_class"))
-    return (own.join(present, F.col("signature") == F.col("_signature")).where("block <> home or _n > 1")
+    present = kept.select("signature", "class", "cluster").join(place, F.col("class") == F.col("_class")).groupBy(
+        F.col("signature").alias("_signature"), "block").agg(F.min("cluster").alias("_low"), F.max("cluster").alias("_high"))
+    return (asking.join(present, F.col("signature") == F.col("_signature")).where("_low <> cluster or _high <> cluster")
             .groupBy("class", "size", "block", "needed").agg(F.count(F.lit(1)).alias("n")).where("n >= needed").select("class", "size", "block"))

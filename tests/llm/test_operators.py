@@ -297,6 +297,30 @@ def test_near_duplicates_list_no_pairs(docs_of, monkeypatch):
         assert all(after[label] <= 2.5 * n + 50 for label, n in before.items())
 
 
+def test_near_duplicates_ask_no_block_for_copies_or_unlike_sets(docs_of, monkeypatch):
+    """Copies of one text fill many blocks, and other texts have empty parts in common: neither has to be asked for."""
+    staged = {}
+
+    def counted(df, label):
+        out = kept(df, label)
+        staged[label] = out.count()
+        return out
+
+    kept = ngram_join.stage
+    monkeypatch.setattr(ngram_join, "stage", counted)
+    monkeypatch.setattr(ngram_join, "_SEARCHED", 500)
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(120)]
+    texts = [(0, " ".join(base))]
+    for i in range(1, 100):
+        own = list(base)
+        own[rng.randrange(120)] = f"x{i}"
+        texts.append((i, " ".join(own)))
+    texts += [(1000 + i, " ".join(f"y{rng.randrange(10**9)}" for _ in range(rng.randrange(55, 75)))) for i in range(300)]
+    assert sorted(rows(ngram_join.near_duplicates(docs_of(texts), 5, 80)), key=str) == joined(texts, 5, 80)
+    assert staged["asks"] <= 20 and staged["enough"] <= 99 * 200
+
+
 def test_near_duplicates_of_nothing(docs_of):
     assert ngram_join.near_duplicates(docs_of([])).count() == 0
 
