@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from certwatch.config import Params
 from certwatch.operators.documents import latest_documents
 from certwatch.sources import versions
+from certwatch.staging import shuffled
 
 _KEY = ("source", "upsert_key")
 
@@ -36,8 +37,9 @@ def read_alerts(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame] |
 
     documents, certificates = table("documents"), table("certificates")
     last = documents.groupBy(*_KEY).agg(F.max("_batch").alias("_batch"))
-    documents = documents.join(last, [*_KEY, "_batch"], "left_semi")
-    certificates = certificates.join(documents.select(*_KEY, "group_ord", "_batch"), [*_KEY, "group_ord", "_batch"], "left_semi")
+    documents = documents.join(shuffled(last), [*_KEY, "_batch"], "left_semi")
+    certificates = certificates.join(
+        shuffled(documents.select(*_KEY, "group_ord", "_batch")), [*_KEY, "group_ord", "_batch"], "left_semi")
     return documents.drop("_batch"), certificates.drop("_batch")
 
 

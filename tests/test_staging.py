@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from certwatch.checks import fixtures as fx
+from certwatch.checks import queries
 from certwatch.operators import matching
 from certwatch.staging import measured_broadcasts, stage
 
@@ -36,3 +37,12 @@ def test_matching_stages_by_measured_sizes(spark, cfg, monkeypatch):
     matching.match_outcomes(snapshot, cfg)
     assert len(seen) > 10 and set(seen) == {("-1", before[0])}
     assert (spark.conf.get(BY_FILES), spark.conf.get(BY_ROWS, None)) == before
+
+
+def test_tables_that_grow_with_alerts_are_not_broadcast(spark, monkeypatch):
+    """Neither keys, documents nor numbers per certificate, however small their files."""
+    flat = queries._flat(spark, SF_DIR)
+    monkeypatch.setattr(queries, "_flat", lambda *_: flat)
+    for name in ("action_table_details", "alert_documents_nested", "alert_table", "possible_match_certificates", "upsert_alerts"):
+        plan = queries.QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastExchange" not in plan and "SortMergeJoin" in plan, name
