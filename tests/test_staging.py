@@ -1,10 +1,12 @@
 """What the driver holds while tables are staged."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from certwatch.checks import fixtures as fx
 from certwatch.checks import queries
-from certwatch.operators import matching
+from certwatch.operators import matching, similarity
 from certwatch.staging import measured_broadcasts, stage
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -46,3 +48,21 @@ def test_tables_that_grow_with_alerts_are_not_broadcast(spark, monkeypatch):
     for name in ("action_table_details", "alert_documents_nested", "alert_table", "possible_match_certificates", "upsert_alerts"):
         plan = queries.QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastExchange" not in plan and "SortMergeJoin" in plan, name
+
+
+def test_matching_merges_every_side_that_grows(spark, cfg, monkeypatch):
+    """No join of the matching is left to sizes; the table of key combinations is the only one broadcast."""
+    joins = []
+
+    def watched(df, label, compression=None):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        joins.extend(line for line in plan.splitlines() if re.search(r"\bJoin \w+", line))
+        return stage(df, label, compression)
+
+    for snapshot in (fx.snapshot(spark, SF_DIR), fx.numbered_snapshot(spark, SF_DIR)):
+        monkeypatch.setattr(matching, "stage", watched)
+        monkeypatch.setattr(similarity, "stage", watched)
+        matching.match_outcomes(snapshot, cfg)
+        monkeypatch.undo()
+    assert len(joins) > 20 and [line for line in joins if "strategy=" not in line] == []
+    assert all("sp_name" in line and "forall" in line for line in joins if "strategy=broadcast" in line)
