@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from certwatch.checks import fixtures as fx
 from certwatch.checks import queries
 from certwatch.operators import matching, similarity
+from certwatch.plans import run as plans
 from certwatch.staging import measured_broadcasts, stage
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -66,3 +67,23 @@ def test_matching_merges_every_side_that_grows(spark, cfg, monkeypatch):
         monkeypatch.undo()
     assert len(joins) > 20 and [line for line in joins if "strategy=" not in line] == []
     assert all("sp_name" in line and "forall" in line for line in joins if "strategy=broadcast" in line)
+
+
+def test_flat_rows_are_staged_without_a_broadcast(spark, cfg, monkeypatch):
+    """Acknowledgements, replicas and documents grow with the data; together they would fill the driver."""
+    snapshot, joins, plans_seen = fx.snapshot(spark, SF_DIR), [], []
+    outcomes = matching.match_outcomes(snapshot, cfg)
+
+    def watched(df, label, compression=None):
+        execution = df._jdf.queryExecution()
+        joins.extend(line for line in execution.optimizedPlan().toString().splitlines()
+                     if re.search(r"\bJoin \w+", line) and "o_custkey" not in line)
+        plans_seen.append(execution.executedPlan().toString())
+        return stage(df, label, compression)
+
+    monkeypatch.setattr(plans, "match_outcomes", lambda *_: outcomes)
+    monkeypatch.setattr(plans, "stage", watched)
+    flat = plans.alert_rows(snapshot, fx.acks(spark, SF_DIR), fx.replicas(spark, SF_DIR), cfg)
+    assert flat.count() == outcomes.count() > 0
+    assert len(joins) == 3 and [line for line in joins if "strategy=merge" not in line] == []
+    assert not any("BroadcastHashJoin" in p for p in plans_seen)
