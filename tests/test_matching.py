@@ -165,3 +165,18 @@ def test_numbered_hosts_list_no_pairs(spark, cfg, monkeypatch, threshold):
     assert staged[0]["links"] > 0
     for before, after in zip(staged, staged[1:]):
         assert after["links"] <= 2.2 * before["links"] + 20
+
+
+@pytest.mark.parametrize("pairs_per_keys", [0, 5])
+def test_groups_of_any_size_equal_brute_force(data, cfg, monkeypatch, pairs_per_keys):
+    """Groups are searched by keys, or some of them by lengths."""
+    from certwatch.operators import matching
+
+    monkeypatch.setattr(matching, "_PAIRS_PER_KEYS", pairs_per_keys)
+    certs, rows = data
+    cfg = replace(cfg, renewal_score_threshold=85.0, possible_match_score_threshold=85.0)
+    got = {
+        r["id"]: (r["renewal"] and r["renewal"]["cand_id"], [m["cand_id"] for m in r["possible_matches"]])
+        for r in match_outcomes(certs, cfg).collect()
+    }
+    assert got == brute_force(rows, cfg)

@@ -1,8 +1,10 @@
+import random
+
 import pandas as pd
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from certwatch.functions.scoring import bag_batch, lcs_batch
+from certwatch.functions.scoring import bag_batch, bits_batch, lcs_batch
 
 
 def lcs_table(a: str, b: str) -> int:
@@ -40,3 +42,14 @@ def test_very_long_strings_among_short_ones():
     a, b = pd.Series(["ab" * 3000, "", "abc"]), pd.Series(["ba" * 2000, "x", "ac"])
     assert lcs_batch(a, b).tolist() == [4000, 0, 2]
     assert bag_batch(pd.Series([], dtype=str)).shape == (0, 2)
+
+
+def test_pair_bits_flip_three_times_an_edit():
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("ab 1é") for _ in range(rng.randint(0, 40))) for _ in range(400)]
+    cuts = [(s, rng.randrange(len(s) + 1)) for s in texts]
+    edited = [s[:p] + rng.choice("ab1") + s[p:] if rng.random() < 0.5 else s[:p] + s[p + 1:] for s, p in cuts]
+    a, b = (bits_batch(pd.Series(t)) for t in (texts, edited))
+    for i in range(len(texts)):
+        flips = sum(((int(a[w][i]) ^ int(b[w][i])) & (2**64 - 1)).bit_count() for w in ("two0", "two1"))
+        assert flips <= 3

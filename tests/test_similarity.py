@@ -78,3 +78,30 @@ def test_every_pair_of_a_hot_key_meets_once(spark):
         assert got.count() == got.distinct().count() == left.join(right, "key").count()
         if (hot_rows, pairs) == (10, 50):
             assert got.groupBy("key", "salt").count().agg(F.max("count")).first()[0] < 500
+
+
+def test_words_that_all_share_make_few_strings_meet(spark, monkeypatch):
+    """Random names before one word; of all pairs of them few meet in the join, and none because of the word."""
+    rng, met, joined = random.Random(5), [], similarity._joined
+
+    def counted(left, right, bounds, hot_rows, on):
+        met.append(left.join(right, [*on, "key"]).count())
+        return joined(left, right, bounds, hot_rows, on)
+
+    monkeypatch.setattr(similarity, "_joined", counted)
+    names = ["".join(rng.choice("abcdef0123456789") for _ in range(10)) for _ in range(800)]
+    xs, ys = ([" ".join(sorted([n, "machinery"])) for n in part] for part in (names[:200], names))
+    sig = signatures(with_bags(spark.createDataFrame([(y,) for y in ys], "y string"), "y"), 90.0)
+    got = similar_pairs(spark.createDataFrame([(x,) for x in xs], "x string"), sig, 90.0, 0.6, 200_000)
+    assert {r["x"] for r in got.where("x = y").collect()} == set(xs)
+    assert met[0] < 0.15 * len(xs) * len(ys)
+
+
+def test_neighbours_and_the_search_beyond_them_make_all_pairs(spark):
+    xs, ys = corpus(90)
+    left, right = spark.createDataFrame([(x,) for x in xs], "x string"), with_bags(spark.createDataFrame([(y,) for y in ys], "y string"), "y")
+    whole = {tuple(r) for r in similar_pairs(left, right, 90.0, 0.6, 200_000).collect()}
+    near = {tuple(r) for r in similarity.neighbours(left, right, 90.0, 0.6).collect()}
+    beyond = {tuple(r) for r in similar_pairs(left, right, 90.0, 0.6, 200_000, beyond=True).collect()}
+    assert near | beyond == whole == {tuple(r) for r in similarity.pairs_by_length(left, right, 90.0, 0.6, 200_000).collect()}
+    assert near and beyond and len(beyond) < len(whole)
