@@ -35,3 +35,9 @@ def test_query(spark, db, name):
     want = db.sql(SQL[name]).to_arrow_table()
     assert sorted(got.column_names) == sorted(want.column_names)
     assert rows_of(got.to_pandas(integer_object_nulls=True)) == rows_of(want.to_pandas(integer_object_nulls=True))
+
+
+def test_action_table_looks_up_tickets(spark):
+    """A ticket of the certificate shown in a row, where it has one with a text."""
+    rows = QUERIES["action_table"](spark, SF).select("ticket").collect()
+    assert {r["ticket"] == "N/A" for r in rows} == {True, False}
